@@ -1,0 +1,134 @@
+"""What the operators share: column access over Arrow buffers, hashing, and folders.
+
+Texts are handled as the UTF-8 bytes of Arrow's own buffers, in runs of whole documents of about
+``CHUNK`` bytes, so that a worker's memory does not depend on the size of an Arrow batch. One document
+longer than that is a run of its own.
+"""
+
+from __future__ import annotations
+
+import os
+import tempfile
+import uuid
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+CHUNK = 1 << 20
+#: \x09-\x0D and \x20
+SPACE = np.zeros(256, dtype=bool)
+SPACE[[9, 10, 11, 12, 13, 32]] = True
+
+
+def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share, from spark.checkpoint.dir; a folder in /tmp only where it is unset."""
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if not found:
+        found = "file://" + os.path.join(tempfile.gettempdir(), "checkpoints")
+        spark.conf.set("spark.checkpoint.dir", found)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(found)
+    return found.rstrip("/")
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """df as a table in the shared folder: its lineage ends there, and a lost executor costs nothing."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def fold(key: str, n: int) -> Column:
+    """crc32 of the key's text, modulo n; a null key falls in fold 0."""
+    return F.coalesce(F.crc32(F.col(key).cast("string")) % n, F.lit(0))
+
+
+def bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of a text column and where each row begins in them; a null row is empty."""
+    column = column.cast(pa.large_binary())
+    if column.null_count:
+        column = column.fill_null(b"")
+    at = np.frombuffer(column.buffers()[1], dtype=np.int64, count=len(column) + 1 + column.offset)[column.offset :]
+    data = column.buffers()[2]
+    raw = np.frombuffer(data, dtype=np.uint8)[at[0] : at[-1]] if data is not None and at[-1] > at[0] else np.zeros(0, np.uint8)
+    return raw, at - at[0]
+
+
+def runs(batches: Iterator[pa.RecordBatch], text: str, chunk: int = CHUNK) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """(rows, their bytes, where each begins) for runs of whole rows of about chunk bytes."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        raw, at = bytes_of(batch.column(batch.schema.get_field_index(text)))
+        first = 0
+        while first < batch.num_rows:
+            last = max(first + 1, int(np.searchsorted(at, at[first] + chunk, "right")) - 1)
+            yield batch.slice(first, last - first), raw[at[first] : at[last]], at[first : last + 1] - at[first]
+            first = last
+
+
+def mix(x: np.ndarray) -> np.ndarray:
+    """A 64-bit finaliser, element by element."""
+    x = x ^ (x >> np.uint64(30))
+    x = x * np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x
+
+
+class WordHash:
+    """64-bit hashes of words: differences of prefix sums of byte codes times powers of an odd base."""
+
+    BASE = 0x9E3779B97F4A7C15
+
+    def __init__(self, lower: bool = True, space: np.ndarray = SPACE):
+        self.code = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+        if lower:
+            self.code[65:91] = self.code[97:123]
+        self.word = ~space
+        self.grown = 0
+
+    def grow(self, n: int) -> None:
+        if n > self.grown:
+            n = max(n, CHUNK + 1)
+            base, back = self.BASE, pow(self.BASE, -1, 1 << 64)
+            with np.errstate(over="ignore"):
+                self.power = np.cumprod(np.concatenate([[1], np.full(n, base, dtype=np.uint64)]).astype(np.uint64), dtype=np.uint64)
+                self.inverse = np.cumprod(np.concatenate([[1], np.full(n, back, dtype=np.uint64)]).astype(np.uint64), dtype=np.uint64)
+            self.grown = n
+
+    def spans(self, raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Where words begin and end, and how many words each row has; words never cross rows."""
+        n = len(raw)
+        inside = np.zeros(n + 2, dtype=bool)
+        inside[1:-1] = self.word[raw]
+        edge = np.zeros(n + 1, dtype=bool)
+        edge[at] = True
+        begin = np.flatnonzero(inside[1:-1] & (~inside[:-2] | edge[:-1]))
+        end = np.flatnonzero(inside[1:-1] & (~inside[2:] | edge[1:])) + 1
+        return begin, end, np.diff(np.searchsorted(begin, at))
+
+    def __call__(self, raw: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        self.grow(len(raw))
+        total = np.zeros(len(raw) + 1, dtype=np.uint64)
+        np.cumsum(self.code[raw] * self.power[: len(raw)], out=total[1:])
+        return mix((total[end] - total[begin]) * self.inverse[begin])
+
+
+def within(counts: np.ndarray) -> np.ndarray:
+    """0, 1, 2, ... within each run of so many elements."""
+    ends = np.cumsum(counts)
+    return np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - counts, counts)
