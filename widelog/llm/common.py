@@ -105,9 +105,10 @@ class WordHash:
         if n > self.grown:
             n = max(n, CHUNK + 1)
             base, back = self.BASE, pow(self.BASE, -1, 1 << 64)
-            with np.errstate(over="ignore"):
-                self.power = np.cumprod(np.concatenate([[1], np.full(n, base, dtype=np.uint64)]).astype(np.uint64), dtype=np.uint64)
-                self.inverse = np.cumprod(np.concatenate([[1], np.full(n, back, dtype=np.uint64)]).astype(np.uint64), dtype=np.uint64)
+            for name, step in (("power", base), ("inverse", back)):
+                steps = np.full(n + 1, step, dtype=np.uint64)
+                steps[0] = 1
+                setattr(self, name, np.cumprod(steps, dtype=np.uint64))
             self.grown = n
 
     def spans(self, raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

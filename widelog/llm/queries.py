@@ -7,10 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .language_id import op10_language_id
+from .near_dup import op4_near_dup
 from .quality import op1_quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
+    "op4_near_dup": op4_near_dup,
     "op10_language_id": op10_language_id,
 }
 ORACLE_SQL: dict[str, str] = {}
