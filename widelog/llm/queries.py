@@ -6,13 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import mixing, secrets
+from .decontaminate import op5_decontaminate
 from .language_id import op10_language_id
+from .mixing import op8_mixing
 from .near_dup import op4_near_dup
 from .quality import op1_quality
+from .secrets import op6_secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op4_near_dup": op4_near_dup,
+    "op5_decontaminate": op5_decontaminate,
+    "op6_secrets": op6_secrets,
+    "op8_mixing": op8_mixing,
     "op10_language_id": op10_language_id,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op6_secrets": secrets.SQL, "op8_mixing": mixing.SQL}
