@@ -133,3 +133,102 @@ def within(counts: np.ndarray) -> np.ndarray:
     """0, 1, 2, ... within each run of so many elements."""
     ends = np.cumsum(counts)
     return np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - counts, counts)
+
+
+def landing(n: int) -> list[int]:
+    """For each of n shuffle partitions an int that Spark's hash partitioning sends there."""
+
+    def murmur(x: int) -> int:
+        def rot(a: int, r: int) -> int:
+            return (a << r | a >> (32 - r)) & 0xFFFFFFFF
+
+        k = rot(x * 0xCC9E2D51 & 0xFFFFFFFF, 15) * 0x1B873593 & 0xFFFFFFFF
+        h = (rot(42 ^ k, 13) * 5 + 0xE6546B64) & 0xFFFFFFFF
+        h ^= 4
+        h = (h ^ h >> 16) * 0x85EBCA6B & 0xFFFFFFFF
+        h = (h ^ h >> 13) * 0xC2B2AE35 & 0xFFFFFFFF
+        h ^= h >> 16
+        return h - (1 << 32) if h >> 31 else h
+
+    found: dict[int, int] = {}
+    x = 0
+    while len(found) < n:
+        found.setdefault(murmur(x) % n, x)
+        x += 1
+    return [found[k] for k in range(n)]
+
+
+def dealt(df: DataFrame, n: int) -> DataFrame:
+    """(shard, payload) rows with shard k of n in partition k: every task reads one shard."""
+    keys = F.array(*[F.lit(k) for k in landing(n)])
+    return df.withColumn("__to", F.get(keys, F.col("shard"))).repartition(n, "__to").sortWithinPartitions("shard").drop("__to")
+
+
+def by_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[bytes]]]:
+    """Each shard's payloads, from rows ordered by shard."""
+    shard, got = None, []
+    for batch in batches:
+        for s, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            if s != shard:
+                if got:
+                    yield shard, got
+                shard, got = s, []
+            got.append(x)
+    if got:
+        yield shard, got
+
+
+def packed(*arrays: np.ndarray) -> bytes:
+    """Sorted keys and their values as one compressed payload: keys go as differences, byte planes apart."""
+    import zstandard
+
+    out = []
+    for k, a in enumerate(arrays):
+        if k == 0 and len(a):
+            a = np.concatenate([a[:1], np.diff(a)])
+        plane = np.ascontiguousarray(a.view(np.uint8).reshape(len(a), a.itemsize).T)
+        out.append(plane.tobytes())
+    head = np.array([len(arrays), len(arrays[0]), *(ord(a.dtype.char) for a in arrays)], dtype=np.int64).tobytes()
+    return zstandard.ZstdCompressor(level=1).compress(head + b"".join(out))
+
+
+def unpacked(payload: bytes) -> list[np.ndarray]:
+    import zstandard
+
+    raw = zstandard.ZstdDecompressor().decompress(payload)
+    many, n = np.frombuffer(raw, np.int64, 2)
+    kinds = [np.dtype(chr(c)) for c in np.frombuffer(raw, np.int64, many, 16)]
+    spot, out = 16 + 8 * int(many), []
+    for k, kind in enumerate(kinds):
+        a = np.frombuffer(raw, np.uint8, int(n) * kind.itemsize, spot).reshape(kind.itemsize, int(n)).T.copy().view(kind).reshape(-1)
+        out.append(np.cumsum(a, dtype=kind) if k == 0 else a)
+        spot += int(n) * kind.itemsize
+    return out
+
+
+def totals(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Distinct keys in order, and the sums of their values."""
+    if not len(keys):
+        return keys, *values
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[first], *(np.add.reduceat(v[order], first) for v in values)
+
+
+def mounted(folder: str) -> str:
+    """The path of a shared folder that workers can map files of; it must be a mounted one."""
+    scheme, _, rest = folder.partition(":")
+    if not rest:
+        return folder
+    if scheme != "file":
+        raise ValueError(f"{folder}: memory mapping needs a mounted shared folder in spark.checkpoint.dir")
+    return "/" + rest.lstrip("/")
+
+
+def saved(path: str, array: np.ndarray) -> None:
+    """Writes an array so that a task run twice leaves one whole file."""
+    part = f"{path}.{uuid.uuid4().hex}"
+    with open(part, "wb") as f:
+        np.save(f, array)
+    os.replace(part, path)

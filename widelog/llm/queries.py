@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import mixing, secrets
 from .decontaminate import op5_decontaminate
+from .html_text import op2_html_text
+from .kneser_ney import op7_kneser_ney
 from .language_id import op10_language_id
 from .mixing import op8_mixing
 from .near_dup import op4_near_dup
@@ -16,9 +18,11 @@ from .secrets import op6_secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
+    "op2_html_text": op2_html_text,
     "op4_near_dup": op4_near_dup,
     "op5_decontaminate": op5_decontaminate,
     "op6_secrets": op6_secrets,
+    "op7_kneser_ney": op7_kneser_ney,
     "op8_mixing": op8_mixing,
     "op10_language_id": op10_language_id,
 }
