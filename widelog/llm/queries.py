@@ -15,6 +15,7 @@ from .mixing import op8_mixing
 from .near_dup import op4_near_dup
 from .quality import op1_quality
 from .secrets import op6_secrets
+from .vector_dup import op9_near_vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
@@ -24,6 +25,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_secrets": op6_secrets,
     "op7_kneser_ney": op7_kneser_ney,
     "op8_mixing": op8_mixing,
+    "op9_near_vectors": op9_near_vectors,
     "op10_language_id": op10_language_id,
 }
 ORACLE_SQL: dict[str, str] = {"op6_secrets": secrets.SQL, "op8_mixing": mixing.SQL}
