@@ -15,11 +15,13 @@ from .mixing import op8_mixing
 from .near_dup import op4_near_dup
 from .quality import op1_quality
 from .secrets import op6_secrets
+from .substring_dup import op3_substring_dedup
 from .vector_dup import op9_near_vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_html_text": op2_html_text,
+    "op3_substring_dedup": op3_substring_dedup,
     "op4_near_dup": op4_near_dup,
     "op5_decontaminate": op5_decontaminate,
     "op6_secrets": op6_secrets,
