@@ -37,7 +37,7 @@ from .common import CHUNK, WordHash, by_shard, dealt, fold, mix, mounted, packed
 HASH = WordHash()
 END = np.uint64(0x5EED0E4D00000001)
 #: Tokens that are summed up before they are sent on.
-BUFFER = 2_000_000
+BUFFER = 500_000
 #: Rows are (shard, payload) between stages; a payload is one packed set of arrays.
 SENT = "shard int, payload binary"
 
@@ -200,17 +200,20 @@ def count_pairs(train: DataFrame, model: Model) -> DataFrame:
             saved(f"{folder}/pairs-{shard}.npy", keys)
             saved(f"{folder}/times-{shard}.npy", counts.astype(np.uint32))
             yield pa.RecordBatch.from_pydict({"shard": [-1], "payload": [np.array([(counts == k).sum() for k in (1, 2, 3, 4)] + [len(counts)], np.int64).tobytes()]}, schema=pa.schema({"shard": pa.int32(), "payload": pa.binary()}))
-            context, word = (keys >> np.uint64(32)).astype(np.int64), (keys & np.uint64(0xFFFFFFFF)).astype(np.int64)
-            by = totals(context, counts, *((counts == k).astype(np.int64) for k in (1, 2)), (counts > 2).astype(np.int64))
-            met = totals(word, np.ones(len(word), np.int64))
-            both = np.union1d(by[0], met[0])
+            del parts
+            context, word = (keys >> np.uint64(32)).astype(np.uint32), keys.astype(np.uint32)
+            first = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]]))  # keys are ordered by context
+            by, met, times = context[first], *np.unique(word, return_counts=True)
+            both = np.union1d(by, met).astype(np.int64)
+            spot = np.searchsorted(both, by)
             columns = []
-            for where, values in ((by[0], by[1:]), (met[0], met[1:])):
-                spot = np.searchsorted(both, where)
-                for v in values:
-                    x = np.zeros(len(both), np.uint32)
-                    x[spot] = v
-                    columns.append(x)
+            for values in (counts, counts == 1, counts == 2, counts > 2):
+                x = np.zeros(len(both), np.uint32)
+                x[spot] = np.add.reduceat(values, first, dtype=np.int64)
+                columns.append(x)
+            columns.append(np.zeros(len(both), np.uint32))
+            columns[-1][np.searchsorted(both, met)] = times
+            del context, word, keys, counts
             yield from sent(both // model.stride, both, *columns)
 
     return dealt(train.mapInArrow(count, SENT), n).mapInArrow(merge, SENT)
@@ -281,7 +284,7 @@ def scores(docs: DataFrame, model: Model, key: str, text: str) -> DataFrame:
                     out[a:b] = have[numbers[a:b] - shard[a] * model.stride]
             return out
 
-        for rows, raw, at in runs(batches, "t", 4 * CHUNK):
+        for rows, raw, at in runs(batches, "t"):
             t, counts = tokens(raw, at)
             number, shard, place, inverse = numbered(model, words, t)
             known = number < size
