@@ -1,0 +1,286 @@
+"""Bulk writes: rows become a token-ordered log with checked keys, a manifest and digests."""
+
+from __future__ import annotations
+
+import json
+import time
+import uuid
+from dataclasses import dataclass
+from typing import Protocol
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..functions.convert import converted, write_time
+from ..functions.tokens import MAX_TOKEN, MIN_TOKEN, key_bytes, murmur3_token
+from ..operators.merge import OP, SET, TTL, WRITETIME
+from ..plans.consistency import DEFAULT_WRITE, check_availability
+from ..plans.ring import Ring, TokenPartitioner, range_number, split_range
+from ..spec import TableSpec, quoted, validate_for_write
+
+INSERT, DELETE_PARTITION = "INSERT", "DELETE_PARTITION"
+
+# Options of a write with their defaults.
+DEFAULTS: dict[str, object] = {
+    "BULK_WRITER_CL": DEFAULT_WRITE,
+    "COMMIT_BATCH_SIZE": 10_000,
+    "COMMIT_THREADS_PER_INSTANCE": 2,
+    "COORDINATED_WRITE_CONFIG": None,
+    "DATA_TRANSPORT": "DIRECT",
+    "DIGEST": "XXHASH32",
+    "JOB_ID": None,
+    "JOB_KEEP_ALIVE_MINUTES": 30,
+    "JOB_TIMEOUT_SECONDS": -1,
+    "KEYSPACE": None,
+    "LOCAL_DC": None,
+    "MAX_SIZE_PER_BUNDLE_IN_BYTES": 5 * 1024**3,
+    "NUMBER_SPLITS": -1,
+    "QUOTE_IDENTIFIERS": False,
+    "SKIP_EXTENDED_VERIFY": False,
+    "RUN_SIZE_IN_MIB": 160,
+    "TABLE": None,
+    "TIMESTAMP": None,
+    "TTL": None,
+    "WRITE_MODE": INSERT,
+}
+
+
+def write_options(given: dict[str, object] | None = None) -> dict[str, object]:
+    """Options with defaults; names in any case."""
+    out = dict(DEFAULTS)
+    for k, v in (given or {}).items():
+        if k.upper() not in out:
+            raise ValueError(f"unknown write option {k}")
+        default = out[k.upper()]
+        if isinstance(default, bool):
+            v = v if isinstance(v, bool) else str(v).lower() == "true"
+        elif isinstance(default, int):
+            v = int(v)
+        out[k.upper()] = v
+    if out["WRITE_MODE"] not in (INSERT, DELETE_PARTITION):
+        raise ValueError(f"unknown write mode {out['WRITE_MODE']}")
+    if out["DIGEST"] not in ("XXHASH32", "MD5"):
+        raise ValueError(f"unknown digest {out['DIGEST']}")
+    return out
+
+
+@dataclass(frozen=True)
+class PerWrite:
+    """A number for all rows, or the name of a column that has one for each; neither: not given."""
+
+    constant: int | None = None
+    column: str | None = None
+
+    @classmethod
+    def of(cls, text: object) -> PerWrite:
+        if text is None:
+            return cls()
+        try:
+            return cls(constant=int(text))
+        except ValueError:
+            return cls(column=str(text))
+
+    @property
+    def given(self) -> bool:
+        return self.constant is not None or self.column is not None
+
+    def said(self, quote: bool) -> str:
+        return f":{quoted(self.column, quote)}" if self.column else str(self.constant)
+
+
+def statement(df: DataFrame, spec: TableSpec, options: dict[str, object] | None = None) -> str:
+    """What the write means as a statement."""
+    o = write_options(options)
+    q = bool(o["QUOTE_IDENTIFIERS"])
+    table = f"{quoted(spec.keyspace, q)}.{quoted(spec.name, q)}"
+    if o["WRITE_MODE"] == DELETE_PARTITION:
+        return f"DELETE FROM {table} where " + " AND ".join(f"{quoted(c, q)}=?" for c in df.columns) + ";"
+    ttl, at = PerWrite.of(o["TTL"]), PerWrite.of(o["TIMESTAMP"])
+    names = [c for c in df.columns if c not in (ttl.column, at.column)]
+    using = [f"{word} {x.said(q)}" for word, x in (("TIMESTAMP", at), ("TTL", ttl)) if x.given]
+    said = f"INSERT INTO {table} ({','.join(quoted(c, q) for c in names)}) VALUES ({','.join(':' + quoted(c, q) for c in names)})"
+    return said + (" USING " + " AND ".join(using) if using else "") + ";"
+
+
+def validate(df: DataFrame, spec: TableSpec, options: dict[str, object] | None = None) -> None:
+    """Fails if df's columns don't fit the table and the mode."""
+    o = write_options(options)
+    validate_for_write(spec)
+    have = list(df.columns)
+    if o["WRITE_MODE"] == DELETE_PARTITION:
+        if set(have) != set(spec.partition_key):
+            raise ValueError(f"only partition key columns ({','.join(spec.partition_key)}) go with DELETE_PARTITION, not ({','.join(have)})")
+        return
+    if missing := [k for k in spec.primary_key if k not in have]:
+        raise ValueError(f"missing key columns: {','.join(missing)}")
+    extra = {PerWrite.of(o["TTL"]).column, PerWrite.of(o["TIMESTAMP"]).column}
+    if unknown := [c for c in have if c not in spec.names and c not in extra]:
+        raise ValueError(f"unknown columns: {unknown}")
+    if absent := [c for c in extra if c and c not in have]:
+        raise ValueError(f"missing option columns: {absent}")
+
+
+def normalized(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """df with each of the table's columns converted to the column's type; the others stay."""
+    out = []
+    for f in df.schema:
+        c = F.col(f"`{f.name}`")
+        out.append(converted(c, f.dataType, spec.column(f.name).type, spec.decimals, f.name).alias(f.name) if f.name in spec.names else c)
+    return df.select(*out)
+
+
+def not_null(name: str) -> Column:
+    c = F.col(f"`{name}`")
+    return F.when(c.isNull(), F.raise_error(F.lit(f"null in key column {name}; all key columns must be non-null"))).otherwise(c)
+
+
+def log_of(df: DataFrame, spec: TableSpec, options: dict[str, object] | None = None, now_micros: int | None = None) -> DataFrame:
+    """The log rows of a write: converted, keys checked, with token, write time, time to live and what they set."""
+    o = write_options(options)
+    validate(df, spec, options)
+    ttl, at = PerWrite.of(o["TTL"]), PerWrite.of(o["TIMESTAMP"])
+    now = int(time.time() * 1e6) if now_micros is None else now_micros
+    kinds = {f.name: f.dataType for f in df.schema}
+    keys = spec.primary_key if o["WRITE_MODE"] == INSERT else spec.partition_key
+    ready = normalized(df, spec).withColumns({k: not_null(k) for k in keys})
+    set_names = [c for c in df.columns if c in spec.names and c not in keys]
+    marks = {
+        OP: F.lit("insert" if o["WRITE_MODE"] == INSERT else "delete_partition"),
+        WRITETIME: write_time(F.col(f"`{at.column}`"), kinds[at.column]) if at.column else F.lit(at.constant if at.constant is not None else now).cast("long"),
+        TTL: F.col(f"`{ttl.column}`").cast("int") if ttl.column else F.lit(ttl.constant).cast("int"),
+        SET: F.array(*[F.lit(c) for c in set_names]) if set_names else F.lit(None).cast("array<string>"),
+        "_key": key_bytes(spec),
+    }
+    out = ready.withColumns(marks).withColumn("token", murmur3_token(F.col("_key")))
+    return out.drop(*[c for c in (ttl.column, at.column) if c and c not in spec.names])
+
+
+def dealt_by_token(log: DataFrame, spec: TableSpec, parts: list, extra: list[str] = ()) -> DataFrame:
+    """log by token range, each task in order of token, key bytes and clustering key."""
+    number = range_number(parts, F.col("token"))
+    order = [F.col("token"), F.col("_key"), *[F.col(f"`{c}`").desc() if spec.column(c).descending else F.col(f"`{c}`") for c in spec.clustering_key if c in log.columns]]
+    return log.withColumn("_part", number).repartitionByRange(len(parts), "_part", "token").sortWithinPartitions("_part", *order)
+
+
+@dataclass(frozen=True)
+class Written:
+    job: str
+    path: str
+    rows: int
+    bytes: int
+    seconds: float
+    manifest: DataFrame
+
+
+def file_digests(spark: SparkSession, path: str, kind: str) -> DataFrame:
+    """(file, length, digest) of each data file, hashed where it lies, a file at a time."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(path)
+    if kind == "MD5":
+        digest = F.md5("content")
+    else:
+
+        @F.pandas_udf(T.StringType())
+        def digest_of(content):
+            import xxhash
+
+            return content.map(lambda b: xxhash.xxh32(bytes(b), seed=0).hexdigest())
+
+        digest = digest_of("content")
+    return files.select(F.element_at(F.split("path", "/"), -1).alias("file"), F.col("length"), digest.alias("digest"))
+
+
+def manifest_of(spark: SparkSession, path: str, spec: TableSpec, digest: str) -> DataFrame:
+    """A row for each file: first and last token, rows, length and digest."""
+    data = spark.read.parquet(path).withColumn("file", F.element_at(F.split(F.input_file_name(), "/"), -1))
+    return data.groupBy("file").agg(F.min("token").alias("start_token"), F.max("token").alias("end_token"), F.count("*").alias("rows")).join(file_digests(spark, path, digest), "file")
+
+
+def bundles(manifest: DataFrame, most_bytes: int) -> DataFrame:
+    """Files of a manifest packed, in token order, into bundles of at most most_bytes (a larger file is one of its own).
+
+    A row for each bundle: start_token, end_token, components_checksum (file -> digest), bytes.
+    """
+    from pyspark.sql import Window
+
+    order = Window.orderBy("start_token", "file")  # one row for each file, not for each row of data
+    placed = manifest.withColumn("bundle", F.floor((F.sum("length").over(order) - 1) / F.lit(most_bytes)))
+    sums = F.map_from_entries(F.array_sort(F.collect_list(F.struct("file", "digest"))))
+    return placed.groupBy("bundle").agg(F.min("start_token").alias("start_token"), F.max("end_token").alias("end_token"), sums.alias("components_checksum"), F.sum("length").alias("bytes"))
+
+
+class Transport(Protocol):
+    """Hooks of a storage transport, driver side."""
+
+    def started(self, job: str) -> None: ...
+    def bundle_ready(self, job: str, bundle: dict) -> None: ...
+    def finished(self, job: str, rows: int) -> None: ...
+    def failed(self, job: str, error: BaseException) -> None: ...
+
+
+def bulk_write(df: DataFrame, spec: TableSpec, path: str, options: dict[str, object] | None = None, ring: Ring | None = None, mode: str = "append", transport: Transport | None = None, now_micros: int | None = None) -> Written:
+    """Writes df to a table's log under path as one more set of runs. Only mode append is there.
+
+    With a ring, its ranges deal the work and its instances must be able to meet the consistency level at start, and
+    again at the end; else the token space is cut evenly.
+    """
+    if mode.lower() == "overwrite":
+        raise ValueError("overwrite would need the table truncated; use append")
+    if mode.lower() != "append":
+        raise ValueError(f"unknown mode {mode}")
+    o = write_options(options)
+    spark = df.sparkSession
+    level, center = str(o["BULK_WRITER_CL"]), o["LOCAL_DC"]
+    if ring:
+        check_availability(ring, level, center)
+    workers = spark.sparkContext.defaultParallelism
+    splits = int(o["NUMBER_SPLITS"])
+    parts = TokenPartitioner.of_ring(ring, workers, splits=splits).parts if ring else split_range(MIN_TOKEN, MAX_TOKEN, splits if splits > 0 else workers)
+    job = str(o["JOB_ID"] or uuid.uuid4())
+    out, began = f"{path.rstrip('/')}/{job}", time.time()
+    if transport:
+        transport.started(job)
+    try:
+        if timeout := max(0, int(o["JOB_TIMEOUT_SECONDS"])):
+            spark.sparkContext.setJobGroup(job, f"bulk write to {spec.keyspace}.{spec.name}", True)
+        log = dealt_by_token(log_of(df, spec, options, now_micros), spec, parts).drop("_part")
+        log.write.mode("append").parquet(out)
+        manifest = manifest_of(spark, out, spec, str(o["DIGEST"]))
+        totals = manifest.agg(F.sum("rows").alias("rows"), F.sum("length").alias("bytes")).first()
+        if not o["SKIP_EXTENDED_VERIFY"]:
+            verify(spark, out, spec)
+        if ring:
+            check_availability(ring, level, center)
+        if timeout and time.time() - began > timeout:
+            spark.sparkContext.cancelJobGroup(job)
+            raise TimeoutError(f"job {job} took more than {timeout} s")
+        if transport:
+            for row in bundles(manifest, int(o["MAX_SIZE_PER_BUNDLE_IN_BYTES"])).toLocalIterator():
+                transport.bundle_ready(job, row.asDict(True))
+            transport.finished(job, int(totals["rows"] or 0))
+    except BaseException as e:
+        if transport:
+            transport.failed(job, e)
+        raise
+    return Written(job, out, int(totals["rows"] or 0), int(totals["bytes"] or 0), time.time() - began, manifest)
+
+
+def verify(spark: SparkSession, path: str, spec: TableSpec) -> None:
+    """Reads a set of runs back: every row must have its keys and the token that its key hashes to."""
+    data = spark.read.parquet(path)
+    wrong = data.filter(F.col("token").isNull() | (F.col("token") != murmur3_token(key_bytes(spec))))
+    if n := wrong.count():
+        raise RuntimeError(f"{n} rows of {path} don't have their key's token")
+
+
+def coordinated_write(df: DataFrame, targets: dict[str, tuple[TableSpec, str, Ring]], options: dict[str, object] | None = None) -> dict[str, Written]:
+    """One write to several clusters: {id: (spec, path, ring)}. Rings must share a partitioner; all are checked before any is written."""
+    if len({r.partitioner for _, _, r in targets.values()}) > 1:
+        raise ValueError("clusters with different partitioners can't be written together")
+    o = write_options(options)
+    conf = json.loads(str(o["COORDINATED_WRITE_CONFIG"] or "{}"))
+    for name, (spec, _, ring) in targets.items():
+        validate(df, spec, options)
+        check_availability(ring, str(o["BULK_WRITER_CL"]), conf.get(name, {}).get("localDc", o["LOCAL_DC"]))
+    now = int(time.time() * 1e6)
+    return {name: bulk_write(df, spec, path, {**(options or {}), "LOCAL_DC": conf.get(name, {}).get("localDc", o["LOCAL_DC"])}, ring, now_micros=now) for name, (spec, path, ring) in targets.items()}
