@@ -203,7 +203,7 @@ def cleaned(docs: DataFrame, machine: SuffixAutomaton, coverage: float = 0.5) ->
             texts = [None if null[k] or t is None else t.decode() for k, t in enumerate(texts)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.string())], names=batch.schema.names).filter(keep)
 
-    shape = docs.withColumn("__text", F.lit("").cast("string"))
+    shape = docs.withColumn("__text", F.lit(None).cast("string"))
     out = shape.withColumn("__text", F.col("text")).mapInArrow(clean, shape.schema)
     changed = ~F.col("text").eqNullSafe(F.col("__text"))
     new = {"text": F.col("__text")}

@@ -199,10 +199,12 @@ def redacted(docs: DataFrame, key: str = "doc_id", text: str = "text", more: tup
 
     clean = F.aggregate("__spans", start, step, lambda s: F.concat(s["done"], F.substr(body, s["at"] + 1, F.length(body))))
     hit = F.size("__spans") > 0
-    new = {text: F.when(hit, clean).otherwise(body)}
+    # the new text has a name of its own: within lambdas, a replaced column's name would mean the replacement
+    done = found.withColumn("__clean", F.when(hit, clean).otherwise(body))
+    new = {text: F.col("__clean")}
     if "n_chars" in docs.columns:
-        new["n_chars"] = F.when(hit, F.length(clean)).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
-    return found.withColumns(new).select(*docs.columns)
+        new["n_chars"] = F.when(hit, F.length("__clean")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
+    return done.withColumns(new).select(*docs.columns)
 
 
 def _sql() -> str:
