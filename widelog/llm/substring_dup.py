@@ -36,7 +36,7 @@ from .kneser_ney import SENT, Lookup, range_of, sent
 from .suffix_array import suffixes
 
 WIDTH, K = 50, 24
-SYMBOLS_AT_ONCE, QUEUE_BYTES = 2_000_000, 32 << 20
+SYMBOLS_AT_ONCE, QUEUE_BYTES = 600_000, 16 << 20
 HASH = WordHash(lower=False)
 #: Anchors keep so many bits; an accidental match costs time, never a wrong result.
 ANCHOR_BITS = 48
@@ -137,12 +137,12 @@ def opened(payload: bytes) -> tuple[list[np.ndarray], bytes]:
     return unpacked(payload[8:cut]), zstandard.ZstdDecompressor().decompress(payload[cut:])
 
 
-def stretches_sent(rows: DataFrame, folder: str, n: int) -> DataFrame:
+def stretches_sent(rows: DataFrame, folder: str, n: int, shards: int) -> DataFrame:
     """(shard, payload): stretches whose anchors are shared, with document, offset and length."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         anchors = Lookup(folder, "anchors", n)
-        for batch, raw, at in runs(batches, "t", 4 * CHUNK):
+        for batch, raw, at in runs(batches, "t", 2 * CHUNK):
             anchor, begin, end = stretches(raw, at)
             keys, back = np.unique(anchor, return_inverse=True)
             found = anchors.find(keys, anchor_shard(keys, n))[1]
@@ -153,7 +153,7 @@ def stretches_sent(rows: DataFrame, folder: str, n: int) -> DataFrame:
             anchor, begin, size = anchor[keep], begin[keep], (end - begin)[keep]
             own = owners(at, begin)
             docs, offset = batch.column(0).to_numpy()[own], begin - at[own]
-            shard = anchor_shard(anchor, n)
+            shard = anchor_shard(anchor, shards)
             cuts = np.flatnonzero(np.concatenate([[True], shard[1:] != shard[:-1], [True]]))
             for a, b in zip(cuts[:-1], cuts[1:], strict=True):
                 payload = body((anchor[a:b], docs[a:b], offset[a:b].astype(np.int32), size[a:b].astype(np.int32)), gathered(raw, begin[a:b], size[a:b]))
@@ -258,15 +258,16 @@ def doc_shard(doc: np.ndarray, n: int) -> np.ndarray:
     return (doc ^ (doc >> 15) ^ (doc >> 31)) % n
 
 
-def spans_found(sent_rows: DataFrame, n: int) -> DataFrame:
+def spans_found(sent_rows: DataFrame, n: int, shards: int) -> DataFrame:
     """(shard, payload): spans by shards of documents."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, parts in by_shard(batches):
             arrays, texts = zip(*map(opened, parts), strict=True)
             anchor, doc, offset, size = (np.concatenate(x) for x in zip(*arrays, strict=True))
+            del parts, arrays
             text = np.frombuffer(b"".join(texts), np.uint8)
-            del parts, arrays, texts
+            del texts
             begin = np.cumsum(size) - size
             order = np.argsort(anchor, kind="stable")
             edge = np.concatenate([[True], anchor[order][1:] != anchor[order][:-1]])
@@ -285,7 +286,7 @@ def spans_found(sent_rows: DataFrame, n: int) -> DataFrame:
                 d, low, high = (x[order_out] for x in got)
                 yield from sent(shard[order_out], d, low.astype(np.int32), (high - low).astype(np.int32))
 
-    return dealt(sent_rows, n).mapInArrow(find, SENT)
+    return dealt(sent_rows, shards).mapInArrow(find, SENT)
 
 
 def cut(rows: DataFrame, spans: DataFrame, n: int) -> DataFrame:
@@ -348,7 +349,7 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     rows = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("t"))
     some = rows.filter("doc is not null")
     shared_anchors(some, folder, n)
-    return cut(rows, written(spans_found(stretches_sent(some, folder, n), n), "spans"), n)
+    return cut(rows, written(spans_found(stretches_sent(some, folder, n, 2 * n), n, 2 * n), "spans"), n)
 
 
 def op3_substring_dedup(spark, sf_dir: str) -> DataFrame:

@@ -111,7 +111,7 @@ class InducedSort:
         self.text, self.cap, self.folder, self.budget = text, cap, folder, budget
         n = len(text)
         turn = np.flatnonzero(text[:-1] != text[1:])
-        where = np.searchsorted(turn, np.arange(n - 1))
+        where = np.searchsorted(turn, np.arange(n - 1)).astype(np.int32)
         self.run = np.ones(n, np.int32)  # equal symbols from a place on
         self.run[:-1] = turn[where] - np.arange(n - 1) + 1
         small = np.ones(n, bool)
