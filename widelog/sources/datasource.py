@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import SparkSession
 from pyspark.sql import datasource as D
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from ..functions.tokens import murmur3_tokens
 from ..plans.filters import EqualTo, In, key_product, key_values, split_filters
@@ -55,6 +56,7 @@ class TableReader(D.DataSourceReader):
 
     def __init__(self, spec: TableSpec, paths: list[str], schema: T.StructType, options: ReadOptions):
         self.spec, self.paths, self.names, self.options = spec, paths, schema.names, options
+        self.types = [to_arrow_type(f.dataType) for f in schema]
         self.tokens: tuple[int, ...] | None = None
 
     def pushFilters(self, filters: list[D.Filter]) -> Iterator[D.Filter]:
@@ -86,9 +88,12 @@ class TableReader(D.DataSourceReader):
         keep = (token > partition.part.lower) & (token <= partition.part.upper)
         if partition.tokens is not None:
             keep = keep & token.isin(list(partition.tokens))
-        for batch in ds.dataset(self.paths if len(self.paths) > 1 else self.paths[0], format="parquet").to_batches(columns=self.names, filter=keep):
+        files = ds.dataset(self.paths if len(self.paths) > 1 else self.paths[0], format="parquet")
+        there = [n for n in self.names if n in files.schema.names]
+        for batch in files.to_batches(columns=there, filter=keep):
             if batch.num_rows:
-                yield batch
+                columns = [batch.column(n) if n in there else pa.nulls(batch.num_rows, t) for n, t in zip(self.names, self.types, strict=True)]
+                yield pa.RecordBatch.from_arrays(columns, names=self.names)
 
 
 class TableSource(D.DataSource):

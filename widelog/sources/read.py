@@ -122,7 +122,7 @@ CACHE_SECONDS = 12 * 3600
 
 def cached(key: dict[str, object], make) -> DataFrame:
     """The same frame for equal options (but whether a snapshot is made), for twelve hours."""
-    text = json.dumps({k: v for k, v in key.items() if k != "create_snapshot"}, sort_keys=True, default=str)
+    text = json.dumps({k: v for k, v in key.items() if k.replace("_", "").lower() != "createsnapshot"}, sort_keys=True, default=str)
     now = time.time()
     if text not in _CACHE or _CACHE[text][0] < now - CACHE_SECONDS:
         _CACHE[text] = (now, make())
