@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, secrets
+from . import mixing, secrets, sql
 from .decontaminate import op5_decontaminate
 from .html_text import op2_html_text
 from .kneser_ney import op7_kneser_ney
@@ -30,4 +30,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_near_vectors": op9_near_vectors,
     "op10_language_id": op10_language_id,
 }
-ORACLE_SQL: dict[str, str] = {"op6_secrets": secrets.SQL, "op8_mixing": mixing.SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op3_substring_dedup": sql.SUBSTRING_DEDUP,
+    "op4_near_dup": sql.NEAR_DUP,
+    "op5_decontaminate": sql.DECONTAMINATE,
+    "op6_secrets": secrets.SQL,
+    "op8_mixing": mixing.SQL,
+    "op9_near_vectors": sql.NEAR_VECTORS,
+}
