@@ -23,7 +23,14 @@ SPACE = np.zeros(256, dtype=bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 
 
+#: Bytes of an Arrow batch between the JVM and a worker; both sides hold a few at a time.
+BATCH_BYTES = 4 << 20
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    limit = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None)
+    if limit is None or not limit.isdigit() or int(limit) > BATCH_BYTES:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
