@@ -1,7 +1,7 @@
 """Connected components of a link table by alternating large and small stars, all in joins and grouped minima.
 
 No vertex's neighbours are ever gathered in one place: a round takes each vertex's smallest neighbour by a partial
-aggregate and joins it back, and a join on a vertex with many links can be split. Every round ends in a table in the
+aggregate and joins it back, and the few vertices with a large share of all links are joined by broadcast. Every round ends in a table in the
 shared folder. An empty link table gives an empty result; self links and repeated links change nothing.
 """
 
@@ -13,14 +13,19 @@ from pyspark.sql import functions as F
 from .common import written
 
 
-def starred(links: DataFrame, small: bool) -> DataFrame:
-    """One star step over links (u, v) with u > v."""
+#: A vertex with more than a share 1 / HOT of all link ends is joined by broadcast; there are fewer than HOT of them.
+HOT, FEW = 500, 64
+
+
+def starred(links: DataFrame, small: bool, total: int) -> DataFrame:
+    """One star step over links (u, v) with u > v, of which there are total."""
     if small:
         ends = links
     else:
         ends = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    centre = ends.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-    joined = ends.join(centre, "u")
+    centre = ends.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).withColumn("m", F.least("u", "m"))
+    hot = F.broadcast(centre.filter(F.col("n") > max(FEW, 2 * total // HOT)).select("u", "m"))
+    joined = ends.join(hot, "u").unionByName(ends.join(hot.select("u"), "u", "left_anti").join(centre.select("u", "m"), "u"))
     if small:
         moved = joined.select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v"))
     else:
@@ -32,10 +37,11 @@ def components(links: DataFrame, u: str, v: str, max_rounds: int = 60) -> DataFr
     """(node, component) of every linked node but the smallest of each component, which is its component's name."""
     now = links.select(F.greatest(u, v).alias("u"), F.least(u, v).alias("v")).filter("u > v").distinct()
     now = written(now, "links")
-    mark = None
+    total, mark = now.count(), None
     for _ in range(max_rounds):
-        now = written(starred(starred(now, small=False), small=True), "links")
+        now = written(starred(written(starred(now, small=False, total=total), "links"), small=True, total=total), "links")
         was, mark = mark, now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        total = mark[0]
         if mark == was:
             return now.select(F.col("u").alias("node"), F.col("v").alias("component"))
     raise RuntimeError("components did not settle")
