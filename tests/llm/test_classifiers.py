@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from tests.llm.helpers import SCHEMA, awkward, by_id, empty
 from widelog.llm.common import fold
-from widelog.llm.language_id import ContextTrees, identify, op10_language_id
+from widelog.llm.language_id import ContextTrees, HashIndex, folded, identify, op10_language_id
 from widelog.llm.language_id import train as train_languages
 from widelog.llm.quality import FactorisationMachine, features, keep_good, op1_quality, scored, train
 from widelog.llm.sample import bounded
@@ -44,17 +44,65 @@ def test_language_of_held_out_rows(spark):
     assert len(rows) > 100 and sum(r["lang_pred"] == r["lang"] for r in rows) / len(rows) > 0.97
 
 
-def test_code_lengths_are_probabilities():
-    trees = ContextTrees({"a": [b"abracadabra", b"abba"], "b": [b"zyx zyx", "éé".encode()]})
-    bits = trees.costs().reshape(128, 128, 128, 2)
-    for context in ((0, 0), (0, 2), (2, 3), (5, 90)):
-        p = np.exp2(-bits[context].astype(np.float64))
-        assert np.allclose(p[2:].sum(0) + p[1] * trees.others, 1, atol=1e-4)
-    raw, at = np.frombuffer(b"abrabra" + b"" + b"zyx", np.uint8), np.array([0, 7, 7, 10])
-    lengths = trees.lengths(raw, at)
-    assert lengths[0, 0] < lengths[0, 1] and lengths[2, 1] < lengths[2, 0] and not lengths[1].any()
-    alone = trees.lengths(np.frombuffer(b"zyx", np.uint8), np.array([0, 3]))
-    assert np.allclose(alone[0], lengths[2])
+class BruteTree:
+    """A context tree of one language in dictionaries."""
+
+    def __init__(self, trees, texts, kept):
+        self.trees, self.order = trees, trees.order
+        self.counts = {}
+        for t in texts:
+            s = [0] * self.order + trees.symbol[folded(np.frombuffer(t, np.uint8))].tolist()
+            for i in range(self.order, len(s)):
+                for n in range(self.order + 1):
+                    gram = tuple(s[i - n : i + 1])
+                    if n < 3 or gram in kept:
+                        at = self.counts.setdefault(gram[:-1], {})
+                        at[gram[-1]] = at.get(gram[-1], 0) + 1
+
+    def p(self, context, c):
+        if context is None:
+            return 0 if c == 0 else self.trees.others / 256 if c == 1 else 1 / 256
+        shorter = context[1:] if context else None
+        have = self.counts.get(context)
+        if not have:
+            return self.p(shorter, c)
+        total, distinct = sum(have.values()), len(have)
+        left = 1 - sum(self.p(shorter, x) for x in have)
+        escape = distinct / (total + distinct)
+        return have[c] * (1 - escape) / total if c in have else self.p(shorter, c) * escape / left
+
+
+def test_code_lengths_against_dictionaries():
+    texts = {"a": [b"abracadabra abracadabra", b"abba abra"], "b": [b"zyx zyx zyxabra", "éé éé é".encode(), b"zyzzy"]}
+    trees = ContextTrees(texts)
+    trees.costs()
+    grams = {}
+    for ts in texts.values():
+        for t in ts:
+            s = [0] * 4 + trees.symbol[folded(np.frombuffer(t, np.uint8))].tolist()
+            for i in range(4, len(s)):
+                for n in (3, 4):
+                    g = tuple(s[i - n : i + 1])
+                    grams[g] = grams.get(g, 0) + 1
+    kept = {g for g, n in grams.items() if n >= 2}
+    brute = [BruteTree(trees, texts[k], kept) for k in ("a", "b")]
+    probes = [b"abracadabra", b"zyx", b"abraxyz ~~", "éé".encode(), b"", b"zyzzyabra abra"]
+    got = trees.lengths(np.frombuffer(b"".join(probes), np.uint8), np.cumsum([0, *map(len, probes)]))
+    for row, t in zip(got, probes):
+        s = [0] * 4 + trees.symbol[folded(np.frombuffer(t, np.uint8))].tolist()
+        want = [sum(-np.log2(b.p(tuple(s[i - 4 : i]), s[i]) / (trees.others if s[i] == 1 else 1)) for i in range(4, len(s))) for b in brute]
+        assert np.allclose(row, want, atol=1e-3), t
+    assert got[0, 0] < got[0, 1] and got[1, 1] < got[1, 0] and not got[4].any()
+    for context in ((0, 0, 0, 0), (2, 3, 4, 2), (9, 9, 9, 9)):
+        assert abs(sum(brute[0].p(context, c) for c in range(2 + 256 - trees.others)) - 1) < 1e-9
+
+
+def test_hash_index():
+    rng = np.random.default_rng(3)
+    keys = rng.permutation(np.unique(rng.integers(0, 1 << 35, 5000)))
+    index = HashIndex(keys)
+    assert (index.find(keys) == np.arange(len(keys))).all()
+    assert (index.find(np.setdiff1d(rng.integers(0, 1 << 35, 5000), keys)) == -1).all() and (HashIndex(keys[:0]).find(keys) == -1).all()
 
 
 def test_language_of_awkward_rows(spark):
