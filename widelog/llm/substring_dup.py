@@ -72,7 +72,8 @@ def stretches(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     if not len(first):
         return none
     stop = np.flatnonzero(inside & np.append(fresh[1:] | ~inside[1:], True))
-    return least[first] >> np.uint64(64 - ANCHOR_BITS), first, stop + WIDTH
+    # least hashes are small numbers; mixed anew they spread evenly over shards
+    return mix(least[first]) >> np.uint64(64 - ANCHOR_BITS), first, stop + WIDTH
 
 
 def owners(at: np.ndarray, begin: np.ndarray) -> np.ndarray:
