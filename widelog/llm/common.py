@@ -25,6 +25,7 @@ SPACE[[9, 10, 11, 12, 13, 32]] = True
 
 #: Bytes of an Arrow batch between the JVM and a worker; both sides hold a few at a time.
 BATCH_BYTES = 4 << 20
+FILES = 4
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -46,10 +47,13 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """df as a table in the shared folder: its lineage ends there, and a lost executor costs nothing."""
+    """df as a table in the shared folder: its lineage ends there, and a lost executor costs nothing.
+
+    It gets no more files than FILES for each core, as a task writes all its partitions to one.
+    """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.coalesce(FILES * spark.sparkContext.defaultParallelism).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -39,6 +39,8 @@ K, TREES, ROUNDS, CHUNK_ROWS, BITS = 8, 6, 3, 64, 14
 AUDITED, RECALL, AUDITS = 256, 0.995, 3
 BLOCK = 1024
 SLACK = 1e-6
+#: Starting lists are made anew as long as this share of nodes joins balls by them.
+SHRUNK = 0.02
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -73,22 +75,37 @@ LISTS = "id long, near array<struct<sim:float,other:long>>"
 LIST_TYPE = pa.list_(pa.struct([("sim", pa.float32()), ("other", pa.int64())]))
 
 
-def nearest(ids: np.ndarray, raw: list[bytes], k: int) -> Iterator[tuple[int, list[dict]]]:
-    """Each row's k nearest among the others."""
-    for spot, u in matrices(raw):
-        if len(spot) < 2:
-            continue
-        s = u @ u.T
-        s[ids[spot][:, None] == ids[spot][None, :]] = -2
-        many = min(k, len(spot) - 1)
-        best = np.argpartition(-s, many - 1, axis=1)[:, :many]
-        sims, who = np.round(np.take_along_axis(s, best, axis=1), 6).astype(np.float32), ids[spot][best]
-        for r, own in enumerate(ids[spot]):
-            yield int(own), [{"sim": a, "other": b} for a, b in zip(sims[r].tolist(), who[r].tolist(), strict=True) if a > -2]
-
-
-def as_lists(rows: list[tuple[int, list[dict]]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], LIST_TYPE)], names=["id", "near"])
+class Lists:
+    """Neighbour lists on their way out, as flat arrays."""
+
+    def __init__(self) -> None:
+        self.own, self.size, self.sim, self.other = [], [], [], []
+        self.held = 0
+
+    def add(self, ids: np.ndarray, raw: list[bytes], k: int) -> None:
+        """Each row's k nearest among the others."""
+        for spot, u in matrices(raw):
+            if len(spot) < 2:
+                continue
+            mine = ids[spot]
+            s = u @ u.T
+            s[mine[:, None] == mine[None, :]] = -2
+            many = min(k, len(spot) - 1)
+            best = np.argpartition(-s, many - 1, axis=1)[:, :many]
+            sims = np.take_along_axis(s, best, axis=1)
+            real = sims > -2
+            self.own.append(mine)
+            self.size.append(real.sum(1))
+            self.sim.append(np.round(sims[real], 6).astype(np.float32))
+            self.other.append(mine[best][real])
+            self.held += real.size
+
+    def batch(self) -> pa.RecordBatch:
+        own, size, sim, other = (np.concatenate(x) for x in (self.own, self.size, self.sim, self.other))
+        self.__init__()
+        pairs = pa.StructArray.from_arrays([pa.array(sim), pa.array(other)], fields=list(LIST_TYPE.value_type))
+        ends = pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32))
+        return pa.RecordBatch.from_arrays([pa.array(own), pa.ListArray.from_arrays(ends, pairs).cast(LIST_TYPE)], names=["id", "near"])
 
 
 def best_of(lists: DataFrame, k: int) -> DataFrame:
@@ -116,20 +133,21 @@ def started(nodes: DataFrame, k: int, trees: int, seed: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*columns, batch.column(0).take(pa.array(take)), batch.column(1).take(pa.array(take))], names=["tree", "code", "value", "id", "raw"])
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree, ids, raw = -1, [], []
-
-        def closed() -> Iterator[pa.RecordBatch]:
-            if len(ids) > 1:
-                yield as_lists(list(nearest(np.array(ids), raw, k)))
-
+        tree, ids, raw, out = -1, [], [], Lists()
         for batch in batches:
             for t, i, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 if t != tree or len(ids) == chunk:
-                    yield from closed()
+                    if len(ids) > 1:
+                        out.add(np.array(ids), raw, k)
                     tree, ids, raw = t, [], []
                 ids.append(i)
                 raw.append(x)
-        yield from closed()
+            if out.held > 200_000:
+                yield out.batch()
+        if len(ids) > 1:
+            out.add(np.array(ids), raw, k)
+        if out.held:
+            yield out.batch()
 
     placed = nodes.select("id", "raw").mapInArrow(place, "tree int, code long, value double, id long, raw binary")
     ordered = placed.repartitionByRange(partitions(nodes.sparkSession), "tree", "code", "value").sortWithinPartitions("tree", "code", "value")
@@ -146,22 +164,21 @@ def descended(nodes: DataFrame, graph: DataFrame, k: int) -> DataFrame:
     sent = met.join(nodes.select("id", "raw"), "id")
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, ids, raw, out = None, [], [], []
+        at, ids, raw, out = None, [], [], Lists()
         for batch in batches:
             for a, i, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 if a != at:
                     if len(ids) > 1:
-                        out += nearest(np.array(ids), raw, max(3, k // 2))
+                        out.add(np.array(ids), raw, max(3, k // 2))
                     at, ids, raw = a, [], []
                 ids.append(i)
                 raw.append(x)
-            if len(out) > 20_000:
-                yield as_lists(out)
-                out = []
+                if out.held > 200_000:
+                    yield out.batch()
         if len(ids) > 1:
-            out += nearest(np.array(ids), raw, max(3, k // 2))
-        if out:
-            yield as_lists(out)
+            out.add(np.array(ids), raw, max(3, k // 2))
+        if out.held:
+            yield out.batch()
 
     together = sent.select("at", "id", "raw").repartition(partitions(nodes.sparkSession), "at").sortWithinPartitions("at")
     fresh = together.mapInArrow(meet, LISTS)
@@ -220,23 +237,28 @@ def joined_balls(members: DataFrame, nodes: DataFrame, edges: DataFrame, thresho
 def found_edges(nodes: DataFrame, threshold: float, k: int, trees: int, rounds: int, seed: int) -> tuple[DataFrame, DataFrame]:
     """Edges (id, other) between linked or nearly linked nodes, and members (id, centre) of balls."""
     members = written(nodes.select("id", F.col("id").alias("centre")), "members")
-    active, all_edges = nodes, None
+    active, many, all_edges = nodes, nodes.count(), None
+    dense = True  # first, dense groups shrink to centres by the starting lists alone, as long as much moves
     while True:
-        graph = descent(active, k, trees, rounds, seed)
+        graph = written(started(active, k, trees, seed), "graph") if dense else descent(active, k, trees, rounds, seed)
         # a radius beyond the threshold, for balls whose members link where their centres do not
         edges = graph.select("id", F.explode("near").alias("x")).select("id", "x.other", "x.sim").filter(F.col("sim") >= 2 * threshold**2 - 1 - SLACK)
         edges = written(edges, "edges")
         all_edges = edges if all_edges is None else all_edges.unionByName(edges)
         members, moved = joined_balls(members, nodes, edges, threshold)
-        full = graph.filter((F.size("near") >= k) & (F.col("near")[k - 1]["sim"] >= threshold - SLACK)).select("id")
-        centres = members.select(F.col("centre").alias("id")).distinct()
-        left = written(full.join(centres, "id", "left_semi").join(nodes, "id"), "active")
-        many = left.count()
-        if many < 2 or (not moved and k >= many):
+        left = members.select(F.col("centre").alias("id")).distinct()
+        descended_once = not dense
+        if dense:
+            dense = moved > SHRUNK * many
+        else:
+            full = graph.filter((F.size("near") >= k) & (F.col("near")[k - 1]["sim"] >= threshold - SLACK)).select("id")
+            left = full.join(left, "id", "left_semi")
+        active, seed = written(left.join(nodes, "id"), "active"), seed + 1
+        many = active.count()
+        if many < 2 or (descended_once and not moved and k >= many):
             return all_edges, members
-        if not moved:
+        if descended_once and not moved:
             k *= 4
-        active, seed = left, seed + 1
 
 
 def settled(nodes: DataFrame, members: DataFrame, edges: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
