@@ -1,7 +1,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from tests.llm.helpers import SCHEMA, awkward, by_id, empty
+from tests.llm.helpers import awkward, by_id, empty
 from widelog.llm.common import fold
 from widelog.llm.language_id import ContextTrees, HashIndex, folded, identify, op10_language_id
 from widelog.llm.language_id import train as train_languages

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import CHUNK, WordHash, by_shard, dealt, fold, mix, mounted, packed, partitions, runs, saved, shared_folder, totals, unpacked, written
+from .common import WordHash, by_shard, dealt, fold, mix, mounted, packed, partitions, runs, saved, shared_folder, totals, unpacked, written
 
 HASH = WordHash()
 END = np.uint64(0x5EED0E4D00000001)

@@ -15,7 +15,6 @@ ignored, or kept by ``redacted``.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 from itertools import product
 from re import _constants as sre
 from re import _parser
