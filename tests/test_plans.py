@@ -3,7 +3,7 @@ import pytest
 from widelog.functions.tokens import MAX_TOKEN, MIN_TOKEN
 from widelog.plans.consistency import ClusterFailures, FailureHandler, ReplicaSet, block_for, can_be_satisfied, check_availability, split_replicas, validate_read, write_availability
 from widelog.plans.filters import EqualTo, In, KeyFilter, Other, key_product, key_values, split_filters, tasks_for
-from widelog.plans.ring import Instance, Ring, TokenPartitioner, TokenRange, consolidated, overlay, range_number, split_range, token_ranges
+from widelog.plans.ring import Instance, Ring, TokenPartitioner, TokenRange, consolidated, overlay, parts_of, range_number, split_range, token_ranges
 from widelog.spec import Replication, TableSpec
 
 SIMPLE = Replication("SimpleStrategy", {"replication_factor": 3})
@@ -59,6 +59,20 @@ def test_task_ranges(spark):
     assert TokenPartitioner.of_ring(Ring(NODES, SIMPLE), 1, splits=5).splits == 5
 
 
+def test_rows_meet_their_range(spark):
+    import random
+
+    rng = random.Random(2)
+    cuts = sorted({MIN_TOKEN, MAX_TOKEN, *(rng.randrange(MIN_TOKEN, MAX_TOKEN) for _ in range(50)), 5, 6, 7, 1000})
+    ranges = [TokenRange(a, b) for a, b in zip(cuts, cuts[1:])][1:]
+    tokens = [rng.randrange(MIN_TOKEN, MAX_TOKEN) for _ in range(300)] + cuts + [MIN_TOKEN + 1, 0, 8]
+    got = parts_of(spark.createDataFrame([(t,) for t in tokens], "token long"), ranges)
+    assert "BroadcastHashJoin" in got._jdf.queryExecution().executedPlan().toString()
+    want = [(t, r.lower, r.upper) for t in tokens for r in ranges if t in r]
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+    assert parts_of(spark.createDataFrame([(1,)], "token long"), []).count() == 0
+
+
 def test_block_for():
     want = {"ONE": 1, "LOCAL_ONE": 1, "ANY": 1, "TWO": 2, "THREE": 3, "QUORUM": 4, "LOCAL_QUORUM": 2, "EACH_QUORUM": 4, "ALL": 6}
     assert {k: block_for(k, TWO, "dc1") for k in want} == want

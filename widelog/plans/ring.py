@@ -193,9 +193,18 @@ def range_number(parts: list[TokenRange], token: Column) -> Column:
 
 
 def parts_of(df: DataFrame, parts: list[TokenRange], token: str = "token") -> DataFrame:
-    """df with lower and upper of the range that each row's token is in, by a join on bounds; rows outside all leave."""
-    ranges = df.sparkSession.createDataFrame([(p.lower, p.upper) for p in parts], "lower long, upper long")
-    return df.join(F.broadcast(ranges), (F.col(token) > F.col("lower")) & (F.col(token) <= F.col("upper")))
+    """df with lower and upper of the range that each row's token is in; rows outside all leave.
+
+    Ranges are listed under the leading bits of the tokens they hold, some four such numbers for each range, so that a row meets
+    the one or two ranges of its own number in a hash join. The list is a few times as long as parts.
+    """
+    some = [p for p in parts if not p.is_empty]
+    span = max((p.upper for p in some), default=1) - min((p.lower for p in some), default=0)
+    drop = max(0, span.bit_length() - (4 * len(some)).bit_length())
+    rows = [(b, p.lower, p.upper) for p in some for b in range((p.lower + 1) >> drop, (p.upper >> drop) + 1)]
+    ranges = df.sparkSession.createDataFrame(rows, "__leading long, lower long, upper long")
+    within = (F.shiftright(F.col(token).cast("long"), drop) == F.col("__leading")) & (F.col(token) > F.col("lower")) & (F.col(token) <= F.col("upper"))
+    return df.join(F.broadcast(ranges), within).drop("__leading")
 
 
 def consolidated(*rings: Ring) -> list[tuple[TokenRange, tuple[Instance, ...]]]:
