@@ -157,10 +157,10 @@ def log_of(df: DataFrame, spec: TableSpec, options: dict[str, object] | None = N
 
 
 def dealt_by_token(log: DataFrame, spec: TableSpec, parts: list, extra: list[str] = ()) -> DataFrame:
-    """log by token range, each task in order of token, key bytes and clustering key."""
+    """log with each token range in a task of its own, in order of token, key bytes and clustering key; nothing is sampled first."""
     number = range_number(parts, F.col("token"))
     order = [F.col("token"), F.col("_key"), *[F.col(f"`{c}`").desc() if spec.column(c).descending else F.col(f"`{c}`") for c in spec.clustering_key if c in log.columns]]
-    return log.withColumn("_part", number).repartitionByRange(len(parts), "_part", "token").sortWithinPartitions("_part", *order)
+    return log.withColumn("_part", number).repartitionById(len(parts), F.col("_part")).sortWithinPartitions("_part", *order)
 
 
 @dataclass(frozen=True)
