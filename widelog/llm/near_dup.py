@@ -33,7 +33,7 @@ from .components import components
 from .shingles import sets
 
 K, PERCENT, SIGMAS = 64, 75, 5.0
-BLOCK_ROWS, BLOCK_SHINGLES = 1024, 500_000
+BLOCK_ROWS, BLOCK_SHINGLES = 256, 250_000
 
 
 def sketches(docs: DataFrame, key: str, text: str) -> DataFrame:
