@@ -25,6 +25,7 @@ class Brute:
         self.n, self.v = sum(self.words.values()), len(self.words)
         self.met = Counter(w for _, w in self.pairs)
         self.d, self.u = self.discounts(self.pairs), self.discounts(self.met)
+        self.spare = sum(self.u[min(c, 3)] for c in self.met.values())
         self.total, self.kinds = Counter(), defaultdict(lambda: [0] * 4)
         for (v, _), c in self.pairs.items():
             self.total[v] += c
@@ -37,8 +38,7 @@ class Brute:
         return [0] + [min(max(k - (k + 1) * y * n[k + 1] / n[k], 0), k - 0.05) if n[k] else 0 for k in (1, 2, 3)]
 
     def low(self, w):
-        spare = sum(self.u[min(c, 3)] for c in self.met.values())
-        return (self.met[w] - self.u[min(self.met[w], 3)] + spare / (self.v + 1)) / len(self.pairs)
+        return (self.met[w] - self.u[min(self.met[w], 3)] + self.spare / (self.v + 1)) / len(self.pairs)
 
     def p(self, v, w):
         if not self.total[v]:
