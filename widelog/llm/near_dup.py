@@ -185,6 +185,6 @@ def op4_near_dup(spark, sf_dir: str) -> DataFrame:
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """The rows of docs that stand for their component, with all their columns; repeated ids leave one row."""
+    """The rows of docs that stand for their component, with all their columns; repeated ids leave one row, null ids none."""
     kept = near_duplicates(docs).filter("kept").select(F.col("doc_id").alias("__kept")).distinct()
     return docs.join(kept.hint("shuffle_hash"), F.col("doc_id") == F.col("__kept"), "left_semi").dropDuplicates(["doc_id"])

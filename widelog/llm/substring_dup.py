@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import shutil
 import uuid
 from collections.abc import Iterator
 
@@ -350,7 +351,9 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     rows = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("t"))
     some = rows.filter("doc is not null")
     shared_anchors(some, folder, n)
-    return cut(rows, written(spans_found(stretches_sent(some, folder, n, 2 * n), n, 2 * n), "spans"), n)
+    spans = written(spans_found(stretches_sent(some, folder, n, 2 * n), n, 2 * n), "spans")
+    shutil.rmtree(folder)
+    return cut(rows, spans, n)
 
 
 def op3_substring_dedup(spark, sf_dir: str) -> DataFrame:
