@@ -25,7 +25,8 @@ SPACE[[9, 10, 11, 12, 13, 32]] = True
 
 #: Bytes of an Arrow batch between the JVM and a worker; both sides hold a few at a time.
 BATCH_BYTES = 4 << 20
-FILES = 4
+#: Files of a written table for each core at most, and those of one that holds links or lists rather than texts.
+FILES, FEW_FILES = 16, 4
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -46,14 +47,14 @@ def shared_folder(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, files: int = FILES) -> DataFrame:
     """df as a table in the shared folder: its lineage ends there, and a lost executor costs nothing.
 
-    It gets no more files than FILES for each core, as a task writes all its partitions to one.
+    It gets no more than so many files for each core; beyond that a task takes several partitions in turn.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.coalesce(FILES * spark.sparkContext.defaultParallelism).write.parquet(path)
+    df.coalesce(files * spark.sparkContext.defaultParallelism).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

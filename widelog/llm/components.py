@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import FEW_FILES, written
 
 
 #: A vertex with more than a share 1 / HOT of all link ends is joined by broadcast; there are fewer than HOT of them.
@@ -36,10 +36,10 @@ def starred(links: DataFrame, small: bool, total: int) -> DataFrame:
 def components(links: DataFrame, u: str, v: str, max_rounds: int = 60) -> DataFrame:
     """(node, component) of every linked node but the smallest of each component, which is its component's name."""
     now = links.select(F.greatest(u, v).alias("u"), F.least(u, v).alias("v")).filter("u > v").distinct()
-    now = written(now, "links")
+    now = written(now, "links", FEW_FILES)
     total, mark = now.count(), None
     for _ in range(max_rounds):
-        now = written(starred(written(starred(now, small=False, total=total), "links"), small=True, total=total), "links")
+        now = written(starred(written(starred(now, small=False, total=total), "links", FEW_FILES), small=True, total=total), "links", FEW_FILES)
         was, mark = mark, now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         total = mark[0]
         if mark == was:

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import partitions, written
+from .common import FEW_FILES, partitions, written
 from .components import components
 
 THRESHOLD = 0.9
@@ -189,9 +189,9 @@ def descended(nodes: DataFrame, graph: DataFrame, k: int) -> DataFrame:
 
 
 def descent(nodes: DataFrame, k: int, trees: int, rounds: int, seed: int) -> DataFrame:
-    graph = written(started(nodes, k, trees, seed), "graph")
+    graph = written(started(nodes, k, trees, seed), "graph", FEW_FILES)
     for _ in range(rounds):
-        graph = written(descended(nodes, graph, k), "graph")
+        graph = written(descended(nodes, graph, k), "graph", FEW_FILES)
     return graph
 
 
@@ -229,21 +229,21 @@ def joined_balls(members: DataFrame, nodes: DataFrame, edges: DataFrame, thresho
     tried = members.join(moves.withColumnRenamed("id", "centre"), "centre").select("id", "centre", "to")
     with_raw = tried.join(nodes.select("id", F.col("raw").alias("a")), "id").join(nodes.select(F.col("id").alias("to"), F.col("raw").alias("b")), "to")
     moved = cosines("a", "b", with_raw.select("id", "to", "a", "b"), "sim").filter(F.col("sim") >= half_way(threshold)).select("id", "to")
-    moved = written(moved, "moved")
+    moved = written(moved, "moved", FEW_FILES)
     after = members.join(moved, "id", "left").select("id", F.coalesce("to", "centre").alias("centre"))
-    return written(after, "members"), moved.count()
+    return written(after, "members", FEW_FILES), moved.count()
 
 
 def found_edges(nodes: DataFrame, threshold: float, k: int, trees: int, rounds: int, seed: int) -> tuple[DataFrame, DataFrame]:
     """Edges (id, other) between linked or nearly linked nodes, and members (id, centre) of balls."""
-    members = written(nodes.select("id", F.col("id").alias("centre")), "members")
+    members = written(nodes.select("id", F.col("id").alias("centre")), "members", FEW_FILES)
     active, many, all_edges = nodes, nodes.count(), None
     dense = True  # first, dense groups shrink to centres by the starting lists alone, as long as much moves
     while True:
-        graph = written(started(active, k, trees, seed), "graph") if dense else descent(active, k, trees, rounds, seed)
+        graph = written(started(active, k, trees, seed), "graph", FEW_FILES) if dense else descent(active, k, trees, rounds, seed)
         # a radius beyond the threshold, for balls whose members link where their centres do not
         edges = graph.select("id", F.explode("near").alias("x")).select("id", "x.other", "x.sim").filter(F.col("sim") >= 2 * threshold**2 - 1 - SLACK)
-        edges = written(edges, "edges")
+        edges = written(edges, "edges", FEW_FILES)
         all_edges = edges if all_edges is None else all_edges.unionByName(edges)
         members, moved = joined_balls(members, nodes, edges, threshold)
         left = members.select(F.col("centre").alias("id")).distinct()
@@ -253,7 +253,7 @@ def found_edges(nodes: DataFrame, threshold: float, k: int, trees: int, rounds:
         else:
             full = graph.filter((F.size("near") >= k) & (F.col("near")[k - 1]["sim"] >= threshold - SLACK)).select("id")
             left = full.join(left, "id", "left_semi")
-        active, seed = written(left.join(nodes, "id"), "active"), seed + 1
+        active, seed = written(left.join(nodes, "id"), "active", FEW_FILES), seed + 1
         many = active.count()
         if many < 2 or (descended_once and not moved and k >= many):
             return all_edges, members
@@ -267,7 +267,7 @@ def settled(nodes: DataFrame, members: DataFrame, edges: DataFrame, threshold: f
     ball = weighed.groupBy("centre").agg(F.sum("weight").alias("size"), F.min("id").alias("name"), F.count("*").alias("rows"))
     to_centre = members.join(nodes.select("id", F.col("raw").alias("a")), "id").join(nodes.select(F.col("id").alias("centre"), F.col("raw").alias("b")), "centre")
     spread = cosines("a", "b", to_centre.filter("id != centre"), "sim").groupBy("centre").agg(F.min("sim").alias("least"))
-    ball = written(ball.join(spread, "centre", "left").withColumn("angle", F.acos(F.least(F.coalesce("least", F.lit(1.0)), F.lit(1.0)))), "balls")
+    ball = written(ball.join(spread, "centre", "left").withColumn("angle", F.acos(F.least(F.coalesce("least", F.lit(1.0)), F.lit(1.0)))), "balls", FEW_FILES)
 
     ends = edges.select("id", "other").distinct()
     ends = ends.join(members.withColumnRenamed("centre", "p"), "id").join(members.select(F.col("id").alias("other"), F.col("centre").alias("q")), "other")
@@ -278,7 +278,7 @@ def settled(nodes: DataFrame, members: DataFrame, edges: DataFrame, threshold: f
     pairs = cosines("p_raw", "q_raw", pairs, "sim").withColumn("apart", F.acos(F.least(F.greatest("sim", F.lit(-1.0)), F.lit(1.0))))
     limit = acos(threshold)
     slack = F.col("p_angle") + F.col("q_angle")
-    pairs = written(pairs.filter(F.col("apart") <= slack + limit + 1e-6), "pairs")
+    pairs = written(pairs.filter(F.col("apart") <= slack + limit + 1e-6), "pairs", FEW_FILES)
     lone = (F.col("p_rows") == 1) & (F.col("q_rows") == 1)
     whole = pairs.filter((F.col("apart") + slack <= limit - 1e-6) | (lone & (F.col("sim") >= threshold)))
     rest = pairs.filter((F.col("apart") + slack > limit - 1e-6) & ~lone)
@@ -307,12 +307,12 @@ def settled(nodes: DataFrame, members: DataFrame, edges: DataFrame, threshold: f
         n = np.concatenate([link @ b["weight"].to_numpy(), a["weight"].to_numpy() @ link]).astype(np.int64)
         return pd.DataFrame({"p": rows["p"].iloc[0], "q": rows["q"].iloc[0], "id": ids[n > 0], "n": n[n > 0]})
 
-    single = written(sent[0].unionByName(sent[1]).groupBy("p", "q", "i", "j").applyInPandas(compare, "p long, q long, id long, n long"), "across")
+    single = written(sent[0].unionByName(sent[1]).groupBy("p", "q", "i", "j").applyInPandas(compare, "p long, q long, id long, n long"), "across", FEW_FILES)
     extra = single.groupBy("id").agg(F.sum("n").alias("extra"))
     counted = members.join(ball.select("centre", "size", "name"), "centre").join(more, "centre", "left").join(extra, "id", "left")
     counted = counted.select("id", "name", (F.col("size") - 1 + F.coalesce("more", F.lit(0)) + F.coalesce("extra", F.lit(0))).alias("n_links"))
     links = whole.select("p_name", "q_name").unionByName(pairs.join(single.select("p", "q").distinct(), ["p", "q"], "left_semi").select("p_name", "q_name"))
-    return written(counted, "counted"), written(links, "links")
+    return written(counted, "counted", FEW_FILES), written(links, "links", FEW_FILES)
 
 
 def audited(nodes: DataFrame, counted: DataFrame, threshold: float) -> float:
@@ -340,17 +340,17 @@ def audited(nodes: DataFrame, counted: DataFrame, threshold: float) -> float:
 
 def near_vectors(df: DataFrame, key: str = "vec_id", column: str = "embedding", threshold: float = THRESHOLD, k: int = K, trees: int = TREES, rounds: int = ROUNDS) -> DataFrame:
     """One row for each row of df: vec_id, n_links, component_id, kept."""
-    all_rows = written(vectors(df, key, column).withColumn("same", F.md5("raw")), "vectors")
+    all_rows = written(vectors(df, key, column).withColumn("same", F.md5("raw")), "vectors", FEW_FILES)
     named = all_rows.filter("raw is not null")
     ids = F.coalesce(F.min("vec_id"), F.min(-F.abs(F.xxhash64("raw")) - 1))  # a class without any id gets a negative number of its own
-    nodes = written(named.groupBy("same").agg(ids.alias("id"), F.count("*").alias("weight"), F.min("raw").alias("raw")), "nodes")
+    nodes = written(named.groupBy("same").agg(ids.alias("id"), F.count("*").alias("weight"), F.min("raw").alias("raw")), "nodes", FEW_FILES)
     edges, members = found_edges(nodes, threshold, k, trees, rounds, 1)
     for again in range(AUDITS):
         counted, links = settled(nodes, members, edges, threshold)
         if again + 1 == AUDITS or audited(nodes, counted, threshold) >= RECALL:
             break
         fresh, _ = found_edges(nodes, threshold, k, trees << (again + 1), rounds + 1, 101 * (again + 1))
-        edges = written(edges.unionByName(fresh).select("id", "other", "sim"), "edges")
+        edges = written(edges.unionByName(fresh).select("id", "other", "sim"), "edges", FEW_FILES)
     group = components(links, "p_name", "q_name").select(F.col("node").alias("name"), "component")
     told = counted.join(group, "name", "left").select("id", "n_links", F.coalesce("component", "name").alias("component"))
     told = nodes.select("same", "id").join(told, "id").select("same", "n_links", "component")
