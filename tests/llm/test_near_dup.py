@@ -53,6 +53,17 @@ def test_large_group_is_dealt_in_blocks(spark, monkeypatch):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_duplicates(docs).collect()} == brute(texts)
 
 
+def test_whole_sets_meet_sampled_ones(spark):
+    rng, texts = random.Random(7), {}
+    word = lambda: f"w{rng.randrange(10**9)}"
+    for k, (n, m) in enumerate([(64, 85), (63, 84), (62, 82), (64, 82), (60, 80), (55, 73), (58, 70), (64, 86)] * 30):
+        base = [word() for _ in range(n + 4)]
+        texts[2 * k], texts[2 * k + 1] = " ".join(base), " ".join(base + [word() for _ in range(m - n)])
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in texts.items()], SCHEMA)
+    want = {i: (len(shingles(t)), i - i % 2 if 4 * len(shingles(texts[i - i % 2])) >= 3 * len(shingles(texts[i - i % 2 + 1])) else i) for i, t in texts.items()}
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_duplicates(docs).collect()} == want
+
+
 def test_awkward_rows(spark):
     rows = near_duplicates(awkward(spark)).collect()
     assert len(rows) == 14

@@ -3,7 +3,7 @@
 1. Each text's set of shingles gives its size, a digest of the whole set, and a sketch: the K smallest hashes.
    Documents with equal sets form a class; the smallest id stands for it from here on.
 2. Inverted lists of the retained values. Two sets with Jaccard index J >= T share about J * K of K retained values
-   (all of them where the sets are no larger than K); fewer than ``needed`` is five standard deviations away. With each
+   (all of them where the sets are no larger than K); ``fewest_shared`` says how few it may be. With each
    sketch in one global order, rarest values first, two such sketches meet in the first size - needed + 1
    values of both, so only those are listed: passages that many documents share come last and mostly drop out.
 3. Each list links its members to its smallest one. Groups that hang together by such links hold every candidate pair.
@@ -52,11 +52,23 @@ def sketches(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("t")).mapInArrow(sketch, "doc long, n long, set_key binary, sketch array<long>")
 
 
+def fewest_shared(n: int) -> int:
+    """The fewest retained values that a set of n members shares with the sketch of any set it is linked with.
+
+    Sets of up to K are whole. A linked partner of m > K members holds at least ceil(T * (n + m) / (1 + T)) of theirs, so its
+    sketch has at most m less that many others, whichever values it retains. For larger sets the bound is five standard deviations away.
+    """
+    if n > K:
+        t = PERCENT / 100
+        return max(1, int(t * K - SIGMAS * (K * t * (1 - t)) ** 0.5))
+    whole = -(-PERCENT * n // 100)
+    return min([whole, *(K - m - (-PERCENT * (n + m) // (100 + PERCENT)) for m in range(K + 1, 100 * n // PERCENT + 1))])
+
+
 def needed() -> Column:
-    """The fewest retained values that two linked sets share, by the size n of either."""
-    t = PERCENT / 100
-    many = int(t * K - SIGMAS * (K * t * (1 - t)) ** 0.5)
-    return F.when(F.col("n") <= K, F.ceil(F.col("n") * t)).otherwise(F.lit(max(1, many))).cast("int")
+    """``fewest_shared`` by the column n."""
+    bounds = F.array(*(F.lit(fewest_shared(n)) for n in range(K + 2)))
+    return F.get(bounds, F.least("n", F.lit(K + 1)).cast("int"))
 
 
 def candidate_links(classes: DataFrame) -> DataFrame:
