@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 
 from widelog.llm import vector_dup
 from widelog.llm.vector_dup import near_vectors
@@ -64,3 +65,26 @@ def test_awkward_rows(spark):
     twice = spark.createDataFrame([(1, [1.0, 2.0]), (1, [1.0, 2.0]), (None, [1.0, 2.0]), (2, [1.0, -2.0])], "vec_id long, embedding array<double>")
     got = sorted((r["vec_id"] or 0, r["n_links"], r["component_id"], r["kept"]) for r in near_vectors(twice).collect())
     assert got == [(0, 2, 1, False), (1, 2, 1, True), (1, 2, 1, True), (2, 0, 2, True)]
+
+
+def test_audit_counts_each_node_alike(spark):
+    rng = np.random.default_rng(4)
+    hot, pairs = rng.normal(size=32), rng.normal(size=(20, 32))
+    rows = [hot + rng.normal(size=32) * 0.01 for _ in range(160)] + [p + rng.normal(size=32) * 0.01 for p in pairs for _ in range(2)]
+    nodes = spark.createDataFrame([(i, 1, v.tobytes()) for i, v in enumerate(rows)], "id long, weight long, raw binary")
+    counted = spark.createDataFrame([(i, 159 if i < 160 else 0) for i in range(len(rows))], "id long, n_links long")
+    assert vector_dup.audited(nodes, counted, 0.9) < vector_dup.RECALL
+    whole = spark.createDataFrame([(i, 159 if i < 160 else 1) for i in range(len(rows))], "id long, n_links long")
+    assert vector_dup.audited(nodes, whole, 0.9) == 1
+
+
+def test_failed_audits_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(vector_dup, "AUDITS", 1)
+    monkeypatch.setattr(vector_dup, "audited", lambda *_: 0.9)
+    with pytest.raises(RuntimeError, match="recall"):
+        near_vectors(frame(spark, {k: [1.0, float(k)] for k in range(4)}))
+
+
+def test_orders_grow_with_rows():
+    few, many, more = (vector_dup.orders(n, 0.9, 8, 6) for n in (1_000, 40_000, 4_000_000))
+    assert 6 <= few < many < more < 100

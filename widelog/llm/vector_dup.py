@@ -4,14 +4,16 @@
 2. A neighbour graph starts from rows that lie together in several orders by random projections, cut into chunks of
    fixed size. Each round of descent then meets, at every node, its neighbours and a bounded sample of the nodes that have
    it as theirs; all pairs met are compared, and every node keeps its K nearest.
-3. A list is saturated if even its last neighbour is linked: more links may exist than it holds. Then nodes within half the
+3. A list is saturated if even its last neighbour is linked, or for the centre of a ball of several so near that members may
+   be: more links may exist than it holds. Then nodes within half the
    linking angle of a smaller-numbered one join the ball around it - all members of a ball are linked with each other,
    by the triangle inequality, without looking at their pairs - and the descent goes on among the centres of saturated lists.
    Where nothing can be joined, lists are enlarged instead.
 4. Found edges name pairs of balls. A pair of balls near enough to link throughout counts as such; any other is settled by
    exact cosines between blocks of members. What a task compares is bounded, however large a ball.
-5. Recall is audited: a bounded set of nodes is compared with all others. If links are missing, another descent
-   with more starting orders adds its edges.
+5. Recall is audited: a bounded set of nodes is compared with all others, and each node's share of its links counts
+   alike, also among nodes with few links alone. As long as links are missing, another descent with twice the starting
+   orders adds its edges; if the last audit still misses some, the query fails.
 
 Cosines are in double precision. Vectors that are null, empty, zero or hold null or non-finite components link with nothing:
 no links, a component of their own. Vectors of different lengths do not link. Rows that repeat an id are vectors of their
@@ -22,7 +24,7 @@ the two named columns are read.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from math import acos, sqrt
+from math import acos, ceil, log, log1p, log2, pi, sqrt
 
 import numpy as np
 import pandas as pd
@@ -36,7 +38,7 @@ from .components import components
 
 THRESHOLD = 0.9
 K, TREES, ROUNDS, CHUNK_ROWS, BITS = 8, 6, 3, 64, 14
-AUDITED, RECALL, AUDITS = 256, 0.995, 3
+AUDITED, RECALL, AUDITS = 256, 0.995, 6
 BLOCK = 1024
 SLACK = 1e-6
 #: Starting lists are made anew as long as this share of nodes joins balls by them.
@@ -114,9 +116,20 @@ def best_of(lists: DataFrame, k: int) -> DataFrame:
     return lists.groupBy("id").agg(F.slice(every, 1, k).alias("near"))
 
 
-def started(nodes: DataFrame, k: int, trees: int, seed: int) -> DataFrame:
+def halvings(many: int, k: int) -> float:
+    """How many times many rows are halved down to one chunk."""
+    return log2(max(1.0, many / max(CHUNK_ROWS, 4 * k)))
+
+
+def orders(many: int, threshold: float, k: int, trees: int) -> int:
+    """Starting orders, trees at least, of which two seeds bring all but 1 - RECALL of barely linked pairs among many rows into one chunk."""
+    together = (1 - acos(threshold) / pi) ** halvings(many, k)
+    return trees if together >= 1 else max(trees, ceil(log(1 - RECALL) / (2 * log1p(-together))))
+
+
+def started(nodes: DataFrame, k: int, trees: int, seed: int, many: int) -> DataFrame:
     """Lists from chunks of rows that are neighbours in orders by random projections."""
-    chunk = max(CHUNK_ROWS, 4 * k)
+    chunk, bits = max(CHUNK_ROWS, 4 * k), max(BITS, ceil(halvings(many, k)))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -124,10 +137,10 @@ def started(nodes: DataFrame, k: int, trees: int, seed: int) -> DataFrame:
             code, value = np.zeros((len(raw), trees), np.int64), np.zeros((len(raw), trees))
             for spot, u in matrices(raw):
                 for t in range(trees):
-                    axes = np.random.default_rng([seed, t, u.shape[1]]).normal(size=(u.shape[1], BITS + 1))
+                    axes = np.random.default_rng([seed, t, u.shape[1]]).normal(size=(u.shape[1], bits + 1))
                     along = u @ axes
-                    code[spot, t] = (along[:, :BITS] > 0) @ (1 << np.arange(BITS))
-                    value[spot, t] = along[:, BITS]
+                    code[spot, t] = (along[:, :bits] > 0) @ (1 << np.arange(bits))
+                    value[spot, t] = along[:, bits]
             take = np.repeat(np.arange(len(raw)), trees)
             columns = [pa.array(np.tile(np.arange(trees), len(raw)).astype(np.int32)), pa.array(code.reshape(-1)), pa.array(value.reshape(-1))]
             yield pa.RecordBatch.from_arrays([*columns, batch.column(0).take(pa.array(take)), batch.column(1).take(pa.array(take))], names=["tree", "code", "value", "id", "raw"])
@@ -188,8 +201,8 @@ def descended(nodes: DataFrame, graph: DataFrame, k: int) -> DataFrame:
     return best_of(graph.unionByName(short), k)
 
 
-def descent(nodes: DataFrame, k: int, trees: int, rounds: int, seed: int) -> DataFrame:
-    graph = written(started(nodes, k, trees, seed), "graph", FEW_FILES)
+def descent(nodes: DataFrame, k: int, trees: int, rounds: int, seed: int, many: int) -> DataFrame:
+    graph = written(started(nodes, k, trees, seed, many), "graph", FEW_FILES)
     for _ in range(rounds):
         graph = written(descended(nodes, graph, k), "graph", FEW_FILES)
     return graph
@@ -234,13 +247,14 @@ def joined_balls(members: DataFrame, nodes: DataFrame, edges: DataFrame, thresho
     return written(after, "members", FEW_FILES), moved.count()
 
 
-def found_edges(nodes: DataFrame, threshold: float, k: int, trees: int, rounds: int, seed: int) -> tuple[DataFrame, DataFrame]:
+def found_edges(nodes: DataFrame, threshold: float, k: int, trees: int, rounds: int, seed: int, times: int = 1) -> tuple[DataFrame, DataFrame]:
     """Edges (id, other) between linked or nearly linked nodes, and members (id, centre) of balls."""
     members = written(nodes.select("id", F.col("id").alias("centre")), "members", FEW_FILES)
     active, many, all_edges = nodes, nodes.count(), None
     dense = True  # first, dense groups shrink to centres by the starting lists alone, as long as much moves
     while True:
-        graph = written(started(active, k, trees, seed), "graph", FEW_FILES) if dense else descent(active, k, trees, rounds, seed)
+        enough = orders(many, threshold, k, trees) * times
+        graph = written(started(active, k, enough, seed, many), "graph", FEW_FILES) if dense else descent(active, k, enough, rounds, seed, many)
         # a radius beyond the threshold, for balls whose members link where their centres do not
         edges = graph.select("id", F.explode("near").alias("x")).select("id", "x.other", "x.sim").filter(F.col("sim") >= 2 * threshold**2 - 1 - SLACK)
         edges = written(edges, "edges", FEW_FILES)
@@ -251,7 +265,9 @@ def found_edges(nodes: DataFrame, threshold: float, k: int, trees: int, rounds:
         if dense:
             dense = moved > SHRUNK * many
         else:
-            full = graph.filter((F.size("near") >= k) & (F.col("near")[k - 1]["sim"] >= threshold - SLACK)).select("id")
+            several = members.groupBy(F.col("centre").alias("id")).agg((F.count("*") > 1).alias("several"))
+            reach = F.when(F.col("several"), 2 * threshold**2 - 1).otherwise(threshold) - SLACK
+            full = graph.filter(F.size("near") >= k).join(several, "id").filter(F.col("near")[k - 1]["sim"] >= reach).select("id")
             left = full.join(left, "id", "left_semi")
         active, seed = written(left.join(nodes, "id"), "active", FEW_FILES), seed + 1
         many = active.count()
@@ -316,7 +332,7 @@ def settled(nodes: DataFrame, members: DataFrame, edges: DataFrame, threshold: f
 
 
 def audited(nodes: DataFrame, counted: DataFrame, threshold: float) -> float:
-    """The share of links that were found, over a bounded set of nodes compared with all."""
+    """The mean share of a node's links that were found, over a bounded set of nodes compared with all; that of nodes with few links if it is less."""
     chosen = nodes.select("id", "raw").orderBy(F.xxhash64("id", F.lit("audit")), "id").limit(AUDITED).collect()
     if not chosen:
         return 1.0
@@ -335,7 +351,9 @@ def audited(nodes: DataFrame, counted: DataFrame, threshold: float) -> float:
 
     truth = {r["id"]: r["n"] - 1 for r in nodes.select("raw", "weight").mapInArrow(compare, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()}
     got = {r["id"]: r["n_links"] for r in counted.filter(F.col("id").isin(ids)).collect()}
-    return sum(min(got[k], n) for k, n in truth.items()) / max(sum(truth.values()), 1) if sum(truth.values()) else 1.0
+    shares = {k: min(got[k], n) / n for k, n in truth.items() if n}
+    few = [x for k, x in shares.items() if truth[k] <= K]
+    return min((sum(x) / len(x) for x in (list(shares.values()), few) if x), default=1.0)
 
 
 def near_vectors(df: DataFrame, key: str = "vec_id", column: str = "embedding", threshold: float = THRESHOLD, k: int = K, trees: int = TREES, rounds: int = ROUNDS) -> DataFrame:
@@ -347,9 +365,12 @@ def near_vectors(df: DataFrame, key: str = "vec_id", column: str = "embedding",
     edges, members = found_edges(nodes, threshold, k, trees, rounds, 1)
     for again in range(AUDITS):
         counted, links = settled(nodes, members, edges, threshold)
-        if again + 1 == AUDITS or audited(nodes, counted, threshold) >= RECALL:
+        recall = audited(nodes, counted, threshold)
+        if recall >= RECALL:
             break
-        fresh, _ = found_edges(nodes, threshold, k, trees << (again + 1), rounds + 1, 101 * (again + 1))
+        if again + 1 == AUDITS:
+            raise RuntimeError(f"recall of links is {recall:.4f} after {AUDITS} descents, less than {RECALL}")
+        fresh, _ = found_edges(nodes, threshold, k, trees, rounds + 1, 101 * (again + 1), 2 << again)
         edges = written(edges.unionByName(fresh).select("id", "other", "sim"), "edges", FEW_FILES)
     group = components(links, "p_name", "q_name").select(F.col("node").alias("name"), "component")
     told = counted.join(group, "name", "left").select("id", "n_links", F.coalesce("component", "name").alias("component"))
