@@ -1,7 +1,9 @@
+import random
+
 import numpy as np
 from pyspark.sql import functions as F
 
-from tests.llm.helpers import awkward, by_id, empty
+from tests.llm.helpers import SCHEMA, awkward, by_id, empty, prose
 from widelog.llm.common import fold
 from widelog.llm.language_id import ContextTrees, HashIndex, folded, identify, op10_language_id
 from widelog.llm.language_id import train as train_languages
@@ -129,3 +131,26 @@ def test_folds(spark):
     import zlib
 
     assert got[5]["f"] == zlib.crc32(b"5") % 5 and got[None]["f"] == 0
+
+
+def test_every_language_is_learned(spark):
+    rng = random.Random(11)
+    rows = []
+    for k in range(41):
+        words = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(12)]
+        size = 12_000 if k == 40 else 30  # one language has long texts only
+        rows += [(10 * k + j, " ".join(rng.choices(words, k=size)), f"l{k:02}", "s", 1) for j in range(3 if k < 33 else 2)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    trees = train_languages(docs, "text", "lang", "doc_id")
+    assert trees.languages == [f"l{k:02}" for k in range(41)]
+    got = by_id(identify(docs, trees))
+    assert all(got[i]["lang_pred"] == lang for i, _, lang, _, _ in rows)
+
+
+def test_pairs_and_triples_cost_the_same(monkeypatch):
+    texts = {"a": [t.encode() for t in prose(1, 20)], "b": [t.encode() for t in prose(2, 20)]}
+    raw = np.frombuffer(" ".join(prose(1, 3) + prose(3, 3)).encode(), np.uint8)
+    at = np.array([0, 100, 101, len(raw)])
+    want = ContextTrees(texts).lengths(raw, at)
+    monkeypatch.setattr("widelog.llm.language_id.UNROLLED", 1)
+    assert ContextTrees(texts).base == 2 and np.allclose(ContextTrees(texts).lengths(raw, at), want, rtol=1e-4)

@@ -5,8 +5,8 @@ the bytes that followed. A byte costs -log2 of its share in the longest context
 there costs the escape (method C: distinct / (total + distinct)) and then its cost in the context shorter by a byte
 among the bytes not excluded, down to a uniform order -1. Statistics are frozen after training, so a text's code
 length is exact and does not depend on the order of texts. Continuations of three bytes and more that were met fewer than
-LEAST times in training are pruned. Costs in contexts of up to two bytes unroll into one array; deeper nodes are
-found by hashing, with all languages' costs side by side.
+LEAST times in training are pruned. Costs in contexts of up to two bytes unroll into one array (of up to one byte where there are
+more than UNROLLED languages); deeper nodes are found by hashing, with all languages' costs side by side.
 
 A null text or one without any letter is ``und`` with score 0, as are all texts when nothing could be learned.
 Other texts get the language of the smallest code length (ties: the alphabetically first); the score is that
@@ -20,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import fold, mix, runs, totals
@@ -30,6 +30,8 @@ from .sample import bounded
 SYMBOLS, BITS = 128, 7
 #: Longest context, and how often a deep continuation must have been met.
 ORDER, LEAST = 4, 2
+#: Up to this many languages, the array of costs has triples of symbols, 8 MB a language; beyond, it has pairs.
+UNROLLED = 32
 LETTER = re.compile(r"[^\W\d_]")
 ASCII_LETTER = np.zeros(256, dtype=bool)
 ASCII_LETTER[65:91] = ASCII_LETTER[97:123] = True
@@ -125,6 +127,7 @@ class ContextTrees:
             keys, total = totals(*(np.concatenate([c[k] for c in self.counts[n].values()] or [np.zeros(0, np.int64)]) for k in (0, 1)))
             kept = keys[total >= LEAST]
             self.counts[n] = {name: (k[np.isin(k, kept)], c[np.isin(k, kept)]) for name, (k, c) in self.counts[n].items()}
+        self.base = 3 if len(self.languages) <= UNROLLED else 2
         self.table: np.ndarray | None = None
         self.levels: list[Level] = []
 
@@ -132,20 +135,20 @@ class ContextTrees:
         return self.__dict__ | {"table": None, "levels": []}  # workers unroll the counts themselves
 
     def costs(self) -> np.ndarray:
-        """Bits of each triple's last symbol by language; deeper levels are made along with it."""
+        """Bits of the last of ``base`` symbols by language; deeper levels are made along with it."""
         if self.table is None:
-            self.table = np.zeros((SYMBOLS**3, len(self.languages)), dtype=np.float32)
+            self.table = np.zeros((SYMBOLS**self.base, len(self.languages)), dtype=np.float32)
             for k, name in enumerate(self.languages):
                 n = np.zeros(SYMBOLS**3)
                 n[self.counts[3][name][0]] = self.counts[3][name][1]
                 n = n.reshape(SYMBOLS, SYMBOLS, SYMBOLS)
                 p = np.zeros((1, SYMBOLS))
                 p[0, 1], p[0, 2 : 258 - self.others] = self.others / 256, 1 / 256
-                for order in range(3):
+                for order in range(self.base):
                     have = n.sum(axis=tuple(range(2 - order))).reshape(-1, SYMBOLS)
                     p = self.blended(have, np.tile(p, (SYMBOLS, 1)) if order else p)
                 self.table[:, k] = -np.log2(np.maximum(p, 1e-12)).reshape(-1)
-            for n in range(4, self.order + 2):
+            for n in range(self.base + 1, self.order + 2):
                 self.levels.append(self.level(n))
         return self.table
 
@@ -179,9 +182,9 @@ class ContextTrees:
 
     def bits(self, key: np.ndarray, n: int) -> np.ndarray:
         """Costs by language of the last of n symbols after the others."""
-        if n == 3:
+        if n == self.base:
             return self.costs()[key] if self.table is None else self.table[key]
-        level = self.levels[n - 4]
+        level = self.levels[n - self.base - 1]
         place = level.keys.find(key)
         found, missed = np.flatnonzero(place >= 0), np.flatnonzero(place < 0)
         out = np.empty((len(key), len(self.languages)), np.float32)
@@ -207,12 +210,18 @@ class ContextTrees:
         return out
 
 
-def train(df: DataFrame, text: str, lang: str, key: str, per_language: int = 400, max_languages: int = 32, max_chars: int = 20_000) -> ContextTrees:
-    """Context trees from a bounded sample: per_language texts of up to max_chars characters of each language."""
-    rows = df.select(F.col(key).alias("k"), F.col(text).alias("t"), F.col(lang).alias("l")).filter("t is not null and l is not null and length(t) <= %d" % max_chars)
-    rows, _ = bounded(rows, "l", "k", per_language, max_languages)
+def train(df: DataFrame, text: str, lang: str, key: str, per_language: int = 400, max_chars: int = 20_000) -> ContextTrees:
+    """Context trees from a bounded sample: per_language texts of every language, those of up to max_chars characters first.
+
+    Where a language has too few of these, the first max_chars characters of longer texts stand in for the rest.
+    """
+    rows = df.select(F.col(key).alias("k"), F.col(text).alias("t"), F.col(lang).alias("l")).filter("t is not null and l is not null")
+    long = F.length("t") > max_chars
+    rows = rows.select("k", "l", F.substring("t", 1, max_chars).alias("t"), F.concat(F.when(long, "1").otherwise("0"), "l").alias("part"))
+    rows, _ = bounded(rows, "part", "k", per_language, None)
+    rank = F.row_number().over(Window.partitionBy("l").orderBy(F.substring("part", 1, 1), F.xxhash64("k"), "k", "t"))
     texts: dict[str, list[bytes]] = {}
-    for row in rows.orderBy("l", "k", "t").collect():
+    for row in rows.withColumn("rank", rank).filter(F.col("rank") <= per_language).orderBy("l", "k", "t").collect():
         texts.setdefault(row["l"], []).append(row["t"].encode())
     return ContextTrees(texts)
 
@@ -225,7 +234,7 @@ def identify(df: DataFrame, trees: ContextTrees, key: str = "doc_id", text: str
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shipped.value
         names = np.array(model.languages or ["und"], dtype=object)
-        for rows, raw, at in runs(batches, "__text", 1 << 19):
+        for rows, raw, at in runs(batches, "__text", (1 << 19) * UNROLLED // max(UNROLLED, len(model.languages))):
             bits = model.lengths(raw, at)
             letters = np.concatenate([[0], np.cumsum(ASCII_LETTER[raw])])
             none = letters[at[1:]] == letters[at[:-1]]
