@@ -82,6 +82,18 @@ def test_keep_first_keeps_columns_and_one_row(spark):
     assert sorted(r["doc_id"] for r in out.collect()) == [1, 4, 5, 6, 7, 9, 10, 11]
 
 
+def test_rows_without_ids_and_with_shared_ids(spark):
+    a, b, c, d = prose(21, 4)
+    rows = [(None, a), (None, a + " x"), (None, b), (5, c), (5, d), (6, d + " y"), (7, c + " z"), (None, ""), (None, ""), (None, None), (5, d)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], SCHEMA)
+    kept = [(r["doc_id"], r["text"]) for r in keep_first(docs).collect()]
+    assert sorted(t for i, t in kept if i is None and t) in (sorted([a, b]), sorted([a + " x", b]))
+    assert sorted(t for i, t in kept if i is not None) == sorted([c, d]) and {i for i, _ in kept} == {None, 5}
+    assert sum(not t for _, t in kept) == 3
+    got = near_duplicates(docs).collect()
+    assert len(got) == len(rows) and {r["component_id"] for r in got if r["doc_id"] in (6, 7)} == {5}
+
+
 def test_empty_table(spark):
     assert near_duplicates(empty(spark)).count() == 0
 

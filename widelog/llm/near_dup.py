@@ -1,7 +1,7 @@
 """Near-duplicate documents by bottom-k sketches from one hash function.
 
 1. Each text's set of shingles gives its size, a digest of the whole set, and a sketch: the K smallest hashes.
-   Documents with equal sets form a class; the smallest id stands for it from here on.
+   Documents with equal sets form a class; a row with the smallest id stands for it from here on.
 2. Inverted lists of the retained values. Two sets with Jaccard index J >= T share about J * K of K retained values
    (all of them where the sets are no larger than K); ``fewest_shared`` says how few it may be. With each
    sketch in one global order, rarest values first, two such sketches meet in the first size - needed + 1
@@ -13,8 +13,9 @@
    Each task returns a spanning forest of the links found, and stars join them up over all tasks.
 
 Texts without words, empty and null texts have no shingles and are linked with nothing: component_id is their own id.
-Repeated rows with one id and equal sets are one member each with the same answer. A row without an id is
-answered with its class's component (null where none of the class has an id) and is never kept. Extra columns are ignored.
+Classes are told apart by numbers of their own, so rows without an id and rows that share one link like all others. A component
+is named by its least id (null where it has none); the texts kept are those of that id, or the one of the least digest
+where there is no id, and rows that repeat id and text get the same answer. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -36,8 +37,14 @@ K, PERCENT, SIGMAS = 64, 75, 5.0
 BLOCK_ROWS, BLOCK_SHINGLES = 256, 250_000
 
 
+def marked(key: str, text: str) -> Column:
+    """A digest of a row's id and text."""
+    body = F.coalesce(F.concat(F.lit("="), F.col(text)), F.lit(""))
+    return F.md5(F.concat(F.coalesce(F.col(key).cast("long").cast("string"), F.lit("")), body))
+
+
 def sketches(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """doc, n, set_key, sketch (longs that order as the unsigned hashes do)."""
+    """doc, mark, n, set_key, sketch (longs that order as the unsigned hashes do)."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, raw, at in runs(batches, "t"):
@@ -47,9 +54,9 @@ def sketches(docs: DataFrame, key: str, text: str) -> DataFrame:
             ends = np.concatenate([[0], np.cumsum(np.minimum(sizes, K))]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(kept.view(np.int64)))
             digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in found]
-            yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(sizes), pa.array(digests, pa.binary()), lists], names=["doc", "n", "set_key", "sketch"])
+            yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.array(sizes), pa.array(digests, pa.binary()), lists], names=["doc", "mark", "n", "set_key", "sketch"])
 
-    return docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("t")).mapInArrow(sketch, "doc long, n long, set_key binary, sketch array<long>")
+    return docs.select(F.col(key).cast("long").alias("doc"), marked(key, text).alias("mark"), F.col(text).alias("t")).mapInArrow(sketch, "doc long, mark string, n long, set_key binary, sketch array<long>")
 
 
 def fewest_shared(n: int) -> int:
@@ -72,15 +79,15 @@ def needed() -> Column:
 
 
 def candidate_links(classes: DataFrame) -> DataFrame:
-    """(doc, pivot): each listed class and the smallest one in the same inverted list."""
+    """(node, pivot): each listed class and the smallest one in the same inverted list."""
     size = F.least("n", F.lit(K)).cast("int")
-    postings = classes.filter("doc is not null").select("doc", size.alias("size"), needed().alias("needed"), F.explode("sketch").alias("value"))
+    postings = classes.select("node", size.alias("size"), needed().alias("needed"), F.explode("sketch").alias("value"))
     shared = postings.groupBy("value").agg(F.count("*").alias("df")).filter("df > 1")
-    own = Window.partitionBy("doc")  # K rows at most
+    own = Window.partitionBy("node")  # K rows at most
     ranked = postings.join(shared, "value").withColumns({"alone": F.col("size") - F.count("*").over(own), "rank": F.row_number().over(own.orderBy("df", "value"))})
-    listed = written(ranked.filter("alone + rank - 1 <= size - needed").select("value", "doc"), "lists")
-    pivot = listed.groupBy("value").agg(F.min("doc").alias("pivot"))
-    return listed.join(pivot, "value").filter("doc > pivot").select("doc", "pivot").distinct()
+    listed = written(ranked.filter("alone + rank - 1 <= size - needed").select("value", "node"), "lists")
+    pivot = listed.groupBy("value").agg(F.min("node").alias("pivot"))
+    return listed.join(pivot, "value").filter("node > pivot").select("node", "pivot").distinct()
 
 
 def linked(found: list[np.ndarray]) -> np.ndarray:
@@ -138,31 +145,28 @@ def hopeful(found: list[np.ndarray]) -> np.ndarray:
 
 
 def verified_links(docs: DataFrame, members: DataFrame, key: str, text: str) -> DataFrame:
-    """(u, v): spanning forests of the links inside groups; members has doc, set_key, n and its group."""
+    """(u, v): spanning forests of the links inside groups; members has node, mark, n and its group."""
     sizes = members.groupBy("part").agg(F.count("*").alias("rows"), F.sum("n").alias("total"))
     blocks = F.greatest(F.ceil(F.col("rows") / BLOCK_ROWS), F.ceil(F.col("total") / BLOCK_SHINGLES)).cast("int")
     dealt = members.join(sizes.select("part", blocks.alias("blocks")), "part")
-    texts = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("t")).join(dealt.select("doc", "set_key", "part", "blocks").hint("shuffle_hash"), "doc")
-    block = F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int")
-    texts = texts.select("doc", "set_key", "part", "blocks", block.alias("block"), "t")
+    texts = docs.select(marked(key, text).alias("mark"), F.col(text).alias("t")).join(dealt.select("node", "mark", "part", "blocks").hint("shuffle_hash"), "mark")
+    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    texts = texts.select("node", "part", "blocks", block.alias("block"), "t")
 
     def members_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, raw, at in runs(batches, "t"):
-            found = sets(raw, at)
-            got = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in found]
-            same = pa.array([a == b for a, b in zip(got, rows.column(1).to_pylist(), strict=True)])
-            out = pa.RecordBatch.from_arrays([rows.column(0), rows.column(2), rows.column(3), rows.column(4), pa.array([s.tobytes() for s in found], pa.binary())], names=["doc", "part", "blocks", "block", "members"])
-            yield out.filter(same)
+            found = pa.array([s.tobytes() for s in sets(raw, at)], pa.binary())
+            yield pa.RecordBatch.from_arrays([*(rows.column(k) for k in range(4)), found], names=["node", "part", "blocks", "block", "members"])
 
-    kept = texts.mapInArrow(members_of, "doc long, part long, blocks int, block int, members binary")
+    kept = texts.mapInArrow(members_of, "node long, part long, blocks int, block int, members binary")
     other = F.sequence(F.lit(0), F.col("blocks") - 1)
     pairs = F.when(F.col("blocks") == 1, F.array(F.lit(0))).otherwise(F.filter(other, lambda x: x != F.col("block")))
-    sent = kept.withColumn("other", F.explode(pairs)).select("doc", "part", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "members")
+    sent = kept.withColumn("other", F.explode(pairs)).select("node", "part", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "members")
 
     def verify(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.drop_duplicates("doc").sort_values("doc")
+        rows = rows.drop_duplicates("node").sort_values("node")  # rows that repeat id and text
         found = [np.frombuffer(x, dtype=np.uint64) for x in rows["members"]]
-        ids = rows["doc"].to_numpy()
+        ids = rows["node"].to_numpy()
         some = np.flatnonzero(hopeful(found))
         if len(some) < 2:
             return pd.DataFrame({"u": np.zeros(0, np.int64), "v": np.zeros(0, np.int64)})
@@ -173,21 +177,32 @@ def verified_links(docs: DataFrame, members: DataFrame, key: str, text: str) ->
     return sent.groupBy("part", "i", "j").applyInPandas(verify, "u long, v long")
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row for each row of docs: doc_id, n_shingles, component_id, kept."""
+def grouped(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """One row for each row of docs: doc, mark, n, head (doc and mark of the row that its component keeps; null without shingles)."""
     sk = written(sketches(docs, key, text), "sketches")
-    some = sk.filter("n > 0").groupBy("set_key").agg(F.min(F.struct("doc", "n", "sketch")).alias("x"), F.min("doc").alias("least"))
-    classes = written(some.select("set_key", F.col("least").alias("doc"), "x.n", "x.sketch"), "classes")
+    first = F.min(F.struct(F.col("doc").isNull().alias("no_id"), "doc", "mark", "n", "sketch"))
+    some = sk.filter("n > 0").groupBy("set_key").agg(first.alias("x"))
+    classes = written(some.select("set_key", F.monotonically_increasing_id().alias("node"), F.struct("x.no_id", "x.doc", "x.mark").alias("row"), "x.n", "x.sketch"), "classes")
     links = written(candidate_links(classes), "candidates")
-    group = components(links, "doc", "pivot")
+    group = components(links, "node", "pivot")
     group = group.unionByName(group.select(F.col("component").alias("node"), "component").distinct())
-    members = written(classes.select("doc", "set_key", "n").join(group.select(F.col("node").alias("doc"), F.col("component").alias("part")), "doc"), "members")
+    members = written(classes.select("node", "row.mark", "n").join(group.select("node", F.col("component").alias("part")), "node"), "members")
     found = components(verified_links(docs, members, key, text), "u", "v")
-    named = classes.select("set_key", "doc").join(found.select(F.col("node").alias("doc"), "component"), "doc", "left")
-    named = named.select("set_key", F.coalesce("component", "doc").alias("component"))
-    out = sk.select("doc", "n", "set_key").join(named, "set_key", "left")
-    component = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc"))
-    return out.select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("doc") == component, F.lit(False)).alias("kept"))
+    found = written(found.unionByName(found.select(F.col("component").alias("node"), "component").distinct()), "found")
+    heads = found.join(classes.select("node", "row"), "node").groupBy("component").agg(F.min("row").alias("head"))
+    heads = found.join(heads, "component").select("node", "head")
+    named = classes.join(heads, "node", "left").select("set_key", F.coalesce("head", "row").alias("head"))
+    return sk.select("doc", "mark", "n", "set_key").join(named, "set_key", "left").select("doc", "mark", "n", F.when(F.col("n") > 0, F.col("head")).alias("head"))
+
+
+def stands() -> Column:
+    return F.when(F.col("n") > 0, F.col("mark") == F.col("head.mark")).otherwise(F.lit(True))
+
+
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row for each row of docs: doc_id, n_shingles, component_id, kept."""
+    component = F.when(F.col("n") > 0, F.col("head.doc")).otherwise(F.col("doc"))
+    return grouped(docs, key, text).select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), component.alias("component_id"), stands().alias("kept"))
 
 
 def op4_near_dup(spark, sf_dir: str) -> DataFrame:
@@ -197,6 +212,12 @@ def op4_near_dup(spark, sf_dir: str) -> DataFrame:
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """The rows of docs that stand for their component, with all their columns; repeated ids leave one row, null ids none."""
-    kept = near_duplicates(docs).filter("kept").select(F.col("doc_id").alias("__kept")).distinct()
-    return docs.join(kept.hint("shuffle_hash"), F.col("doc_id") == F.col("__kept"), "left_semi").dropDuplicates(["doc_id"])
+    """One row of docs of each component, with all its columns, whether it has an id or not.
+
+    Texts without shingles are near-duplicates of nothing: they leave one row of each id and text, and all that have no id.
+    """
+    kept = grouped(docs, "doc_id", "text").filter(stands() & ((F.col("n") > 0) | F.col("doc").isNotNull()))
+    kept = kept.select(F.col("mark").alias("__kept")).distinct()
+    one = docs.withColumn("__mark", marked("doc_id", "text")).join(kept.hint("shuffle_hash"), F.col("__mark") == F.col("__kept"), "left_semi")
+    blank = ~F.coalesce(F.col("text").rlike(r"[^\x09-\x0D\x20]"), F.lit(False))
+    return one.dropDuplicates(["__mark"]).drop("__mark").unionByName(docs.filter(F.col("doc_id").isNull() & blank))
