@@ -55,6 +55,12 @@ MORE = (
     Rule("private_key", r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----"),
 )
 
+# What is cut out: a private key goes to its footer or, where that is missing, to the end of its lines of base64.
+_BREAK = r"(?:\s|\\[nr])*+"
+_LINES = rf"(?:\s*+(?:Proc-Type|DEK-Info):[^\n]*+){{0,2}}(?:{_BREAK}[A-Za-z0-9+/=]{{16,}}+){{0,1000}}(?:{_BREAK}[A-Za-z0-9+/]{{2,15}}={{1,2}})?"
+_WHOLE = r"(?:(?:[^-]++|-(?!----)){0,64}+-----END [A-Z ]{0,20}PRIVATE KEY-----|" + _LINES + ")"
+CUT = tuple(Rule(r.kind, r.regex + _WHOLE) if r.kind == "private_key" else r for r in MORE)
+
 
 def literal(op, arg) -> set[str] | None:
     """The few strings that one element of a parsed regex stands for, in lower case, or None."""
@@ -186,8 +192,8 @@ def op6_secrets(spark, sf_dir: str) -> DataFrame:
     return scan(read(spark, sf_dir, "documents"))
 
 
-def redacted(docs: DataFrame, key: str = "doc_id", text: str = "text", more: tuple[Rule, ...] = MORE, mark: str = "[SECRET]") -> DataFrame:
-    """docs with each run of characters that spans cover replaced by mark; n_chars follows."""
+def redacted(docs: DataFrame, key: str = "doc_id", text: str = "text", more: tuple[Rule, ...] = CUT, mark: str = "[SECRET]") -> DataFrame:
+    """docs with each run of characters that spans cover replaced by mark, private keys whole; n_chars follows."""
     found = spanned(docs, BASE + more, key, text)
     start = F.expr("struct(0 as at, '' as done)")
     body = F.col(text)
