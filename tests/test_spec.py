@@ -1,52 +1,67 @@
 import pytest
 from pyspark.sql import types as T
 
-from widelog.spec import Replication, TableSpec, clean, index_count, keyspaces, parse_udts, replication, table_statement, udt_statements, validate_for_write
+from widelog.schema_text import Schema, said, tokens
+from widelog.spec import Replication, TableSpec, parse_udts, replication, validate_for_write
 from widelog.types import Decimals, UnsupportedType, parse_type, spark_type
 
-SCHEMA = r"""CREATE KEYSPACE "ks" WITH REPLICATION = { 'class' : 'org.example.NetworkTopologyStrategy', 'dc1': '3', 'dc2': '5' } AND DURABLE_WRITES = true;\n
-CREATE KEYSPACE system_x WITH REPLICATION = { 'class' : 'SimpleStrategy', 'replication_factor': '1' };
-CREATE TYPE ks.outer (a frozen<inner>, b set<text>);
-CREATE TYPE ks.inner (x int, "Y" text);
-CREATE TABLE ks.t (a bigint, "B" text, c map<text, frozen<list<int>>>, d decimal static, e uuid, f frozen<outer>, PRIMARY KEY ((a, "B"), e)) WITH CLUSTERING ORDER BY (e DESC)
- AND bloom_filter_fp_chance = 0.1 AND comment = 'x' AND compression = {'class': 'y'} AND default_time_to_live = 5 AND gc_grace_seconds = 1;
-CREATE INDEX idx ON ks.t (c);
-CREATE CUSTOM INDEX "i2" ON "ks"."t" (d) USING 'z';
-CREATE TABLE ks.t2 (id int PRIMARY KEY, v varint);"""
-
-
-def test_schema_text():
-    assert keyspaces(SCHEMA) == {"ks"}
-    assert replication(SCHEMA, "ks") == Replication("NetworkTopologyStrategy", {"dc1": 3, "dc2": 5})
-    assert index_count(SCHEMA, "ks", "t") == 2 and index_count(SCHEMA, "ks", "t2") == 0
-    said = table_statement(SCHEMA, "ks", "t")
-    assert said.endswith("WITH CLUSTERING ORDER BY (e DESC) AND bloom_filter_fp_chance = 0.1 AND compression = {'class': 'y'} AND default_time_to_live = 5;")
-    assert "gc_grace" not in said and "comment" not in said and len(udt_statements(SCHEMA, "ks")) == 2
-    assert clean("a\\nb\nc\\d") == "abcd"
-    for bad in (lambda: table_statement(SCHEMA, "ks", "none"), lambda: replication(SCHEMA, "none")):
+SCHEMA = r"""
+-- rides of a bicycle rental; the next line ends in a written line break
+CREATE KEYSPACE IF NOT EXISTS rides WITH replication = {'class': 'NetworkTopologyStrategy', 'north': 2, 'south': '1'} AND durable_writes = true;\n
+create keyspace system_rides with replication = {'class': 'SimpleStrategy', 'replication_factor': '1'};
+CREATE TYPE rides.trip (leg list<frozen<stop>>, note text);
+CREATE TYPE rides.stop (dock int, "At" timestamp);
+/* one table with everything; ( in a comment */
+CREATE TABLE rides.log (
+  bike bigint, "Day" date, seen timestamp, fee decimal static, tags map<text, frozen<list<int>>>, way frozen<trip>,
+  PRIMARY KEY ((bike, "Day"), seen)
+) WITH CLUSTERING ORDER BY (seen DESC) AND comment = 'a; b AND c = (d' AND default_time_to_live = 60 AND compression = {'class': 'zip', 'size': 4} AND speculative_retry = '99p' AND bloom_filter_fp_chance = 0.05;
+CREATE INDEX by_tag ON rides.log (tags);
+CREATE CUSTOM INDEX IF NOT EXISTS ON rides.log (fee) USING 'x.Y' WITH OPTIONS = {'a': 'b'};
+CREATE TABLE rides.docks (dock int PRIMARY KEY, place varint);
+CREATE MATERIALIZED VIEW rides.v AS SELECT dock FROM rides.docks;
+"""
+
+
+def test_statements_of_a_schema():
+    s = Schema(SCHEMA)
+    assert s.keyspaces() == {"rides"} and s.keyspaces(hidden=("none",)) == {"rides", "system_rides"}
+    assert replication(SCHEMA, "rides") == Replication("NetworkTopologyStrategy", {"north": 2, "south": 1})
+    assert (s.indexes("rides", "log"), s.indexes("rides", "docks")) == (2, 0)
+    assert [t.name for t in s.types("rides")] == ["trip", "stop"]
+    cut = s.table("rides", "log").text(("default_time_to_live", "bloom_filter_fp_chance", "compression"))
+    assert cut.endswith(") WITH CLUSTERING ORDER BY (seen DESC) AND default_time_to_live = 60 AND compression = {'class': 'zip', 'size': 4} AND bloom_filter_fp_chance = 0.05;")
+    assert Schema(cut).table("rides", "log").columns() == s.table("rides", "log").columns()
+    for bad in (lambda: s.table("rides", "none"), lambda: s.replication("none"), lambda: TableSpec.from_ddl("DROP TABLE x"), lambda: TableSpec.from_ddl("CREATE TABLE x (a int"), lambda: TableSpec.from_ddl("CREATE TYPE x (a int)")):
         with pytest.raises(ValueError):
             bad()
 
 
+def test_scanner():
+    assert said(list(tokens("a\\nb  /* x */ 'it''s -- no' \"Q\"\"r\"\\ c"))) == "a b 'it''s -- no' \"Q\"\"r\" c"
+    assert [t.name for t in tokens('Ab "Ab" "x""y"')] == ["ab", "Ab", 'x"y']
+    assert Schema("").statements == [] and Schema(";;").statements == []
+
+
 def test_table_from_schema():
-    spec = TableSpec.from_ddl(SCHEMA, "ks", "t")
-    assert (spec.partition_key, spec.clustering_key, spec.statics, spec.regulars) == (["a", "B"], ["e"], ["d"], ["c", "f"])
-    assert spec.column("e").descending and spec.default_ttl == 5 and spec.indexes == 2
+    spec = TableSpec.from_ddl(SCHEMA, "rides", "log")
+    assert (spec.partition_key, spec.clustering_key, spec.statics, spec.regulars) == (["bike", "Day"], ["seen"], ["fee"], ["tags", "way"])
+    assert spec.column("seen").descending and spec.default_ttl == 60 and spec.indexes == 2
     f = spec.struct_type(("last_modified_timestamp",))
-    assert f.names == ["a", "B", "e", "d", "c", "f", "last_modified_timestamp"]
-    assert f["e"].metadata["isClusteringKey"] and f["a"].metadata["isPrimaryKey"] and f["d"].metadata["isStaticColumn"] and f["c"].metadata["isValueColumn"]
-    assert f["f"].dataType.simpleString() == "struct<a:struct<x:int,Y:string>,b:array<string>>"
-    assert spec.partition_size_type().names == ["a", "B", "uncompressed", "compressed"]
+    assert f.names == ["bike", "Day", "seen", "fee", "tags", "way", "last_modified_timestamp"]
+    assert f["seen"].metadata["isClusteringKey"] and f["bike"].metadata["isPrimaryKey"] and f["fee"].metadata["isStaticColumn"] and f["tags"].metadata["isValueColumn"]
+    assert f["way"].dataType.simpleString() == "struct<leg:array<struct<dock:int,At:timestamp>>,note:string>"
+    assert spec.partition_size_type().names == ["bike", "Day", "uncompressed", "compressed"]
     with pytest.raises(ValueError):
         validate_for_write(spec)
-    one = TableSpec.from_ddl(SCHEMA, "ks", "t2")
-    assert one.partition_key == ["id"] and one.regulars == ["v"]
+    one = TableSpec.from_ddl(SCHEMA, "rides", "docks")
+    assert one.partition_key == ["dock"] and one.regulars == ["place"]
     validate_for_write(one)
 
 
 def test_quoted_names_keep_their_case():
-    spec = TableSpec.from_ddl('CREATE TABLE k.t ("IdEnTiFiEr" text, IdEnTiFiEr int, PRIMARY KEY("IdEnTiFiEr"));')
-    assert spec.names == ["IdEnTiFiEr", "identifier"]
+    spec = TableSpec.from_ddl('CREATE TABLE "Zoo"."Pens" ("Pen" text, PEN int, v int, PRIMARY KEY ("Pen", pen));')
+    assert (spec.keyspace, spec.name, spec.names) == ("Zoo", "Pens", ["Pen", "pen", "v"])
 
 
 @pytest.mark.parametrize("text,want", [("text", "string"), ("bigint", "bigint"), ("varint", "decimal(38,0)"), ("decimal", "decimal(38,19)"), ("time", "bigint"), ("inet", "binary"), ("list<int>", "array<int>"), ("set<frozen<list<uuid>>>", "array<array<string>>"), ("map<text, map<int, date>>", "map<string,map<int,date>>"), ("tuple<int, text>", "struct<0:int,1:string>")])

@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
-import json
 import re
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import types as T
 
+from .schema_text import Schema, Statement, parted, tokens
+from .schema_text import statement as read_statement
 from .types import Decimals, SourceType, UnsupportedType, parse_type, spark_type
 
 PARTITION, CLUSTERING, STATIC, REGULAR = "partition", "clustering", "static", "regular"
-# Table properties that stay when schema text is cut down, and keyspaces that are not listed.
+# Table properties that stay when schema text is cut down.
 KEPT_PROPERTIES = ("bloom_filter_fp_chance", "compression", "default_time_to_live", "min_index_interval", "max_index_interval")
-HIDDEN_KEYSPACES = ("system_", "cie_")
 LAST_MODIFIED = "last_modified_timestamp"
 
 
@@ -123,48 +123,30 @@ class TableSpec:
     def from_ddl(cls, ddl: str, keyspace: str | None = None, table: str | None = None, udts: tuple[str, ...] = (), decimals: Decimals | None = None) -> TableSpec:
         """From a CREATE TABLE statement, or from a whole schema's text with keyspace and table named."""
         if keyspace and table:
-            indexes = index_count(ddl, keyspace, table)
-            known = parse_udts([*udts, *udt_statements(ddl, keyspace)])
-            statement = table_statement(ddl, keyspace, table)
+            schema = Schema(ddl)
+            made, indexes = schema.table(keyspace, table), schema.indexes(keyspace, table)
+            known = user_types([*map(one_statement, udts), *schema.types(keyspace)])
         else:
-            statement, indexes, known = clean(ddl), 0, parse_udts(list(udts))
-        m = re.match(r'\s*CREATE TABLE (?:IF NOT EXISTS )?(?:"?(\w+)"?\.)?"?(\w+)"?\s*\(', statement, re.IGNORECASE)
-        if not m:
-            raise ValueError(f"no CREATE TABLE in {statement[:80]}")
-        end = _closing(statement, m.end() - 1)
-        columns: dict[str, tuple[SourceType, bool]] = {}
-        partition: list[str] = []
-        clustering: list[str] = []
-        for part in split_outside(statement[m.end() : end]):
-            key = re.fullmatch(r"PRIMARY KEY\s*\((.*)\)", part.strip(), re.IGNORECASE | re.DOTALL)
-            if key:
-                parts = split_outside(key[1])
-                first = parts[0].strip()
-                partition = [unquoted(x) for x in (split_outside(first[1:-1]) if first.startswith("(") else [first])]
-                clustering = [unquoted(x) for x in parts[1:]]
-                continue
-            c = re.fullmatch(r'("[^"]+"|\w+)\s+(.+?)(\s+static)?(\s+primary\s+key)?', part.strip(), re.IGNORECASE | re.DOTALL)
-            if not c:
-                raise ValueError(f"cannot read column {part!r}")
-            name = unquoted(c[1])
-            columns[name] = (parse_type(c[2], known), bool(c[3]))
-            if c[4]:
-                partition = [name]
-        rest = statement[end + 1 :]
-        descending = set()
-        if order := re.search(r"CLUSTERING ORDER BY \(([^)]*)\)", rest, re.IGNORECASE):
-            descending = {unquoted(x.strip().rsplit(None, 1)[0]) for x in order[1].split(",") if x.strip().upper().endswith(" DESC")}
-        ttl = re.search(r"default_time_to_live\s*=\s*(\d+)", rest)
-        made = [Column(n, columns[n][0], PARTITION) for n in partition] + [Column(n, columns[n][0], CLUSTERING, n in descending) for n in clustering]
-        others = sorted(n for n in columns if n not in partition and n not in clustering)
-        made += [Column(n, columns[n][0], STATIC if columns[n][1] else REGULAR) for n in others]
-        return cls(m[1] or keyspace or "", m[2], tuple(made), indexes, int(ttl[1]) if ttl else 0, statement, decimals)
-
-
-def unquoted(name: str) -> str:
-    """A quoted name as it is, any other in lower case."""
-    name = name.strip()
-    return name[1:-1] if name.startswith('"') else name.lower()
+            made, indexes, known = one_statement(ddl), 0, user_types(list(map(one_statement, udts)))
+        if made.kind != "table":
+            raise ValueError(f"no table is created in {ddl[:80]!r}")
+        listed, partition, clustering = made.columns()
+        kinds = {c.name: parse_type(c.type, known) for c in listed}
+        descending = made.descending
+        columns = [Column(n, kinds[n], PARTITION) for n in partition] + [Column(n, kinds[n], CLUSTERING, n in descending) for n in clustering]
+        others = sorted((c for c in listed if c.name not in partition and c.name not in clustering), key=lambda c: c.name)
+        columns += [Column(c.name, kinds[c.name], STATIC if c.static else REGULAR) for c in others]
+        ttl = made.given("default_time_to_live")
+        return cls(made.keyspace or keyspace or "", made.name, tuple(columns), indexes, int(ttl[0].text) if ttl else 0, made.text(KEPT_PROPERTIES), decimals)
+
+
+def one_statement(text: str) -> Statement:
+    """The first statement of a text; a user type may come without its first two words."""
+    some = next(iter(parted(list(tokens(text)), ";")), [])
+    found = read_statement(some) or read_statement([*tokens("CREATE TYPE "), *some])
+    if not found:
+        raise ValueError(f"cannot read {text[:80]!r}")
+    return found
 
 
 def quoted(name: str, always: bool) -> str:
@@ -179,89 +161,32 @@ RESERVED = frozenset(
 )
 
 
-def clean(ddl: str) -> str:
-    """Schema text without newlines, escaped newlines and backslashes."""
-    return re.sub(r"\\", "", re.sub(r"(?:\\r|\\n|\n)+", "", ddl))
-
-
-def _closing(text: str, opening: int) -> int:
-    depth = 0
-    for i in range(opening, len(text)):
-        depth += (text[i] == "(") - (text[i] == ")")
-        if depth == 0:
-            return i
-    raise ValueError("unbalanced parentheses")
-
-
-def split_outside(text: str) -> list[str]:
-    """Splits at commas outside round and angle brackets."""
-    out, depth, last = [], 0, 0
-    for i, c in enumerate(text):
-        depth += (c in "(<") - (c in ")>")
-        if c == "," and depth == 0:
-            out.append(text[last:i])
-            last = i + 1
-    return [x for x in [*out, text[last:]] if x.strip()]
-
-
-def keyspaces(schema: str) -> set[str]:
-    """Names of the keyspaces that a schema's text creates, but system ones."""
-    found = re.findall(r'CREATE KEYSPACE "?(\w+)"? [^;]*;', clean(schema))
-    return {k for k in found if not k.startswith(HIDDEN_KEYSPACES)}
-
-
-def replication(schema: str, keyspace: str) -> Replication:
-    m = re.search(rf'CREATE KEYSPACE "?{re.escape(keyspace)}"? [^;]*?WITH REPLICATION = (\{{[^}}]*\}})', clean(schema), re.IGNORECASE)
-    if not m:
-        raise ValueError(f"no replication of keyspace {keyspace}")
-    return Replication.from_options(json.loads(m[1].replace("'", '"')))
-
-
-def table_statement(schema: str, keyspace: str, table: str) -> str:
-    """The CREATE TABLE of a table with its clustering order and kept properties only."""
-    m = re.search(rf'CREATE TABLE "?{re.escape(keyspace)}"?\."?{re.escape(table)}"?[ (][^;]*;', clean(schema))
-    if not m:
-        raise ValueError(f"no table {keyspace}.{table} in the schema")
-    whole = m[0]
-    if "(" not in whole:
-        raise ValueError(f"missing parentheses in {whole}")
-    end = _closing(whole, whole.index("("))
-    rest = whole[end + 1 :]
-    kept = [x[0] for x in re.finditer(r"CLUSTERING ORDER BY \([^)]*\)", rest)][:1]
-    kept += [x[0] for x in re.finditer(rf"(?:{'|'.join(KEPT_PROPERTIES)}) = (?:[\w.|]+|\{{[^}}]+\}})", rest)]
-    return whole[: end + 1] + (" WITH " + " AND ".join(kept) if kept else "") + ";"
-
-
-def udt_statements(schema: str, keyspace: str) -> list[str]:
-    return [clean(x) for x in re.findall(rf'CREATE TYPE "?{re.escape(keyspace)}"?\.[^;]*;', clean(schema))]
-
-
-def index_count(schema: str, keyspace: str, table: str) -> int:
-    return len(re.findall(rf'CREATE (?:CUSTOM )?INDEX "?[^ ]* ON "?{re.escape(keyspace)}"?\."?{re.escape(table)}"? [^;]*;', clean(schema)))
-
-
-def parse_udts(statements: list[str]) -> dict[str, SourceType]:
+def user_types(statements: list[Statement]) -> dict[str, SourceType]:
     """User types by name, in whatever order their dependencies allow."""
-    waiting = [clean(s) for s in statements]
     known: dict[str, SourceType] = {}
+    waiting = list(statements)
     while waiting:
-        later, problem = [], None
+        later: list[tuple[Statement, UnsupportedType]] = []
         for s in waiting:
-            m = re.match(r'\s*(?:CREATE TYPE )?(?:"?\w+"?\.)?"?(\w+)"?\s*\((.*)\)\s*;?\s*$', s, re.IGNORECASE | re.DOTALL)
-            if not m:
-                raise ValueError(f"cannot read user type {s!r}")
+            fields, _, _ = s.columns()
             try:
-                pairs = [re.fullmatch(r'\s*("[^"]+"|\w+)\s+(.+?)\s*', x, re.DOTALL) for x in split_outside(m[2])]
-                known[m[1]] = SourceType("udt", m[1], tuple(parse_type(p[2], known) for p in pairs), tuple(unquoted(p[1]) for p in pairs))
-            except UnsupportedType as e:
-                later.append(s)
-                problem = e
+                known[s.name] = SourceType("udt", s.name, tuple(parse_type(c.type, known) for c in fields), tuple(c.name for c in fields))
+            except UnsupportedType as e:  # may name a type that comes later
+                later.append((s, e))
         if len(later) == len(waiting):
-            raise problem
-        waiting = later
+            raise later[0][1]
+        waiting = [s for s, _ in later]
     return known
 
 
+def parse_udts(statements: list[str]) -> dict[str, SourceType]:
+    return user_types(list(map(one_statement, statements)))
+
+
+def replication(schema: str, keyspace: str) -> Replication:
+    return Replication.from_options(Schema(schema).replication(keyspace))
+
+
 def validate_for_write(spec: TableSpec) -> None:
     from .types import WRITABLE_KEYS
 
