@@ -55,7 +55,17 @@ def written(df: DataFrame, name: str, files: int = FILES) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.coalesce(files * spark.sparkContext.defaultParallelism).write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_at = path
+    return out
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Removes tables made by ``written`` that nothing will read again."""
+    for df in tables:
+        context = df.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(df.written_at)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def partitions(spark: SparkSession) -> int:
@@ -176,6 +186,28 @@ def dealt(df: DataFrame, n: int) -> DataFrame:
     return df.withColumn("__to", F.get(keys, F.col("shard"))).repartition(n, "__to").sortWithinPartitions("shard").drop("__to")
 
 
+def by_key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All rows of each value of the first column, from rows ordered by it."""
+    held: list[pa.RecordBatch] = []
+
+    def whole() -> pa.RecordBatch:
+        out = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+        held.clear()
+        return out
+
+    for batch in batches:
+        key = batch.column(0).to_numpy()
+        if held and len(key) and key[0] != held[-1].column(0)[-1].as_py():
+            yield whole()
+        cuts = np.concatenate([[0], np.flatnonzero(key[1:] != key[:-1]) + 1, [len(key)]]) if len(key) else np.zeros(0, int)
+        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            held.append(batch.slice(a, b - a))
+            if b < len(key):
+                yield whole()
+    if held:
+        yield whole()
+
+
 def by_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[bytes]]]:
     """Each shard's payloads, from rows ordered by shard."""
     shard, got = None, []

@@ -2,39 +2,50 @@
 
 1. Each text's set of shingles gives its size, a digest of the whole set, and a sketch: the K smallest hashes.
    Documents with equal sets form a class; a row with the smallest id stands for it from here on.
-2. Inverted lists of the retained values. Two sets with Jaccard index J >= T share about J * K of K retained values
-   (all of them where the sets are no larger than K); ``fewest_shared`` says how few it may be. With each
+2. Inverted lists of the retained values. ``fewest_shared`` says how many of them two linked sets share at least. With each
    sketch in one global order, rarest values first, two such sketches meet in the first size - needed + 1
    values of both, so only those are listed: passages that many documents share come last and mostly drop out.
-3. Each list links its members to its smallest one. Groups that hang together by such links hold every candidate pair.
-   Larger groups are dealt out as pairs of blocks of bounded size, each block pair to its own task.
-4. Within a block pair, the union of two sketches (its K smallest values) estimates J; pairs above ``T`` less
-   five standard deviations go on to the exact test on the full sets: 100 * intersection >= 100 * T * union.
-   Each task returns a spanning forest of the links found, and stars join them up over all tasks.
+   Lists count each class's overlap with the smallest class of every list; lists that hang together make groups.
+3. ``refined`` goes over the groups twice, first with sketches, then with full sets. The class with the largest overlap counted is
+   tested first for each member, which settles most of a group in linear time. Only members that are still in different
+   parts meet after that, in blocks of bounded size dealt by part and by size of set, each pair of blocks in a task of its own.
+   - With sketches, a pair goes on if the union of both sketches (its K smallest values) holds as many shared values as a linked pair's.
+     Texts are read again only for the classes that this leaves together.
+   - With full sets, the test is exact: 100 * intersection >= PERCENT * union.
+   Each task returns a spanning forest of what it found, and stars join forests up over all tasks.
+
+Certainty: sets of up to K members have whole sketches, and bounds on their overlaps hold always. For larger sets the K smallest values of
+the union are a random sample of it; a linked pair shows fewer shared values than ``fewest_shared`` in less than one of 1 / MISS cases,
+whatever the sizes, which is rarer than two shingles with one 64-bit hash. Nothing else lets a link go.
 
 Texts without words, empty and null texts have no shingles and are linked with nothing: component_id is their own id.
 Classes are told apart by numbers of their own, so rows without an id and rows that share one link like all others. A component
 is named by its least id (null where it has none); the texts kept are those of that id, or the one of the least digest
-where there is no id, and rows that repeat id and text get the same answer. Extra columns are ignored.
+where there is no id, and rows that repeat id and text get the same answer. Where one id has several texts, each is judged
+by itself. Extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import cache
+from math import comb
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import runs, written
+from .common import FEW_FILES, by_key, dropped, runs, written
 from .components import components
 from .shingles import sets
 
-K, PERCENT, SIGMAS = 64, 75, 5.0
-BLOCK_ROWS, BLOCK_SHINGLES = 256, 250_000
+K, PERCENT, MISS = 64, 75, 1e-12
+BLOCK_ROWS, BLOCK_VALUES = 256, 250_000
+#: Sets whose sizes differ by this factor or more can't be linked (it is a little over 100 / PERCENT).
+BAND = 1.34
+TOP = np.uint64(1 << 63)
 
 
 def marked(key: str, text: str) -> Column:
@@ -43,33 +54,58 @@ def marked(key: str, text: str) -> Column:
     return F.md5(F.concat(F.coalesce(F.col(key).cast("long").cast("string"), F.lit("")), body))
 
 
+def as_lists(found: list[np.ndarray]) -> pa.ListArray:
+    """Sorted hashes as longs that order as the hashes do."""
+    ends = np.concatenate([[0], np.cumsum([len(s) for s in found])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array((np.concatenate(found) ^ TOP).view(np.int64)))
+
+
+def from_lists(column: pa.ListArray) -> list[np.ndarray]:
+    at, flat = column.offsets.to_numpy(), column.values.to_numpy()
+    return [flat[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
+
+
 def sketches(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """doc, mark, n, set_key, sketch (longs that order as the unsigned hashes do)."""
+    """doc, mark, n, set_key, sketch."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, raw, at in runs(batches, "t"):
             found = sets(raw, at)
-            sizes = np.array([len(s) for s in found])
-            kept = np.concatenate([s[:K] for s in found]) ^ np.uint64(1 << 63)
-            ends = np.concatenate([[0], np.cumsum(np.minimum(sizes, K))]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(kept.view(np.int64)))
             digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in found]
-            yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.array(sizes), pa.array(digests, pa.binary()), lists], names=["doc", "mark", "n", "set_key", "sketch"])
+            columns = [rows.column(0), rows.column(1), pa.array([len(s) for s in found], pa.int64()), pa.array(digests, pa.binary()), as_lists([s[:K] for s in found])]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc", "mark", "n", "set_key", "sketch"])
 
     return docs.select(F.col(key).cast("long").alias("doc"), marked(key, text).alias("mark"), F.col(text).alias("t")).mapInArrow(sketch, "doc long, mark string, n long, set_key binary, sketch array<long>")
 
 
+def least_intersection(n: int, m: int) -> int:
+    """The smallest intersection of linked sets of n and m members."""
+    return -(-PERCENT * (n + m) // (100 + PERCENT))
+
+
+@cache
+def fewest_of_sample() -> int:
+    """The fewest shared ones among K members of a linked pair's union, but for one case in 1 / MISS.
+
+    Drawing from the union without replacement strays less than independent draws, which this counts.
+    """
+    t, below, k = PERCENT / 100, 0.0, 0
+    while below + (one := comb(K, k) * t**k * (1 - t) ** (K - k)) < MISS:
+        below, k = below + one, k + 1
+    return max(1, k)
+
+
+@cache
 def fewest_shared(n: int) -> int:
     """The fewest retained values that a set of n members shares with the sketch of any set it is linked with.
 
-    Sets of up to K are whole. A linked partner of m > K members holds at least ceil(T * (n + m) / (1 + T)) of theirs, so its
-    sketch has at most m less that many others, whichever values it retains. For larger sets the bound is five standard deviations away.
+    Sets of up to K are whole. A linked partner of m > K members holds at least ``least_intersection`` of theirs, so its
+    sketch has at most m less that many others, whichever values it retains.
     """
     if n > K:
-        t = PERCENT / 100
-        return max(1, int(t * K - SIGMAS * (K * t * (1 - t)) ** 0.5))
+        return fewest_of_sample()
     whole = -(-PERCENT * n // 100)
-    return min([whole, *(K - m - (-PERCENT * (n + m) // (100 + PERCENT)) for m in range(K + 1, 100 * n // PERCENT + 1))])
+    return min([whole, *(K - m + least_intersection(n, m) for m in range(K + 1, 100 * n // PERCENT + 1))])
 
 
 def needed() -> Column:
@@ -78,121 +114,241 @@ def needed() -> Column:
     return F.get(bounds, F.least("n", F.lit(K + 1)).cast("int"))
 
 
-def candidate_links(classes: DataFrame) -> DataFrame:
-    """(node, pivot): each listed class and the smallest one in the same inverted list."""
+def counted_overlaps(classes: DataFrame) -> DataFrame:
+    """(node, pivot, shared): each listed class, the smallest class of a list that it is in, and in how many lists they meet."""
     size = F.least("n", F.lit(K)).cast("int")
     postings = classes.select("node", size.alias("size"), needed().alias("needed"), F.explode("sketch").alias("value"))
-    shared = postings.groupBy("value").agg(F.count("*").alias("df")).filter("df > 1")
+    common = postings.groupBy("value").agg(F.count("*").alias("df")).filter("df > 1")
     own = Window.partitionBy("node")  # K rows at most
-    ranked = postings.join(shared, "value").withColumns({"alone": F.col("size") - F.count("*").over(own), "rank": F.row_number().over(own.orderBy("df", "value"))})
+    ranked = postings.join(common, "value").withColumns({"alone": F.col("size") - F.count("*").over(own), "rank": F.row_number().over(own.orderBy("df", "value"))})
     listed = written(ranked.filter("alone + rank - 1 <= size - needed").select("value", "node"), "lists")
     pivot = listed.groupBy("value").agg(F.min("node").alias("pivot"))
-    return listed.join(pivot, "value").filter("node > pivot").select("node", "pivot").distinct()
-
-
-def linked(found: list[np.ndarray]) -> np.ndarray:
-    """Each set's local component (the index of one member of it), by exact tests of all estimated pairs."""
-    n = len(found)
-    sizes = np.array([len(s) for s in found])
-    label = np.arange(n)
-
-    def overlaps(parts: list[np.ndarray]) -> np.ndarray:
-        """Intersection sizes of all pairs, by slabs of the values that two sets or more hold."""
-        values, own = np.concatenate(parts), np.repeat(np.arange(n), [len(p) for p in parts])
-        _, column, count = np.unique(values, return_inverse=True, return_counts=True)
-        dense = np.cumsum(count > 1) - 1
-        keep = count[column] > 1
-        own, column = own[keep], dense[column[keep]]
-        total = np.zeros((n, n), dtype=np.float32)
-        order = np.argsort(column, kind="stable")
-        own, column = own[order], column[order]
-        for first in range(0, int(column[-1]) + 1 if len(column) else 0, 1024):
-            a, b = np.searchsorted(column, [first, first + 1024])
-            slab = np.zeros((n, min(1024, int(column[-1]) + 1 - first)), dtype=np.float32)
-            slab[own[a:b], column[a:b] - first] = 1
-            total += slab @ slab.T
-        return total
+    out = written(listed.join(pivot, "value").filter("node > pivot").groupBy("node", "pivot").agg(F.count("*").alias("shared")), "overlaps", FEW_FILES)
+    dropped(listed)
+    return out
+
+
+#: Whether the sets of a pair may be, or are, linked: (their sizes, their retained or all members) -> bool.
+Test = Callable[[int, int, np.ndarray, np.ndarray], bool]
+
+
+def common_members(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    small, large = (a, b) if len(a) <= len(b) else (b, a)
+    place = np.minimum(np.searchsorted(large, small), max(len(large) - 1, 0))
+    return small[large[place] == small] if len(large) else small[:0]
+
+
+def by_sketch(n: int, m: int, a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether the union sketch of a pair shows as many shared values as a linked pair's does."""
+    if PERCENT * max(n, m) > 100 * min(n, m):
+        return False
+    both = common_members(a, b)
+    if max(n, m) <= K:
+        return by_set(n, m, a, b)
+    if len(both) < min(fewest_shared(n), fewest_shared(m)):
+        return False
+    union = np.unique(np.concatenate([a, b]))
+    hits = np.searchsorted(both, union[K - 1], "right") if len(union) >= K else len(both)
+    return hits >= fewest_of_sample()
+
+
+def by_set(n: int, m: int, a: np.ndarray, b: np.ndarray) -> bool:
+    both = len(common_members(a, b))
+    return 100 * both >= PERCENT * (n + m - both)
+
 
-    both = overlaps(found)
-    union = sizes[:, None] + sizes[None, :] - both
-    link = 100 * both >= PERCENT * union
-    while True:
-        least = np.minimum(label, np.where(link, label[None, :], n).min(1))
-        least = least[least]
-        if (least == label).all():
-            return label
-        label = least
-
-
-def estimated(sketch_a: np.ndarray, sketch_b: np.ndarray) -> float:
-    """Jaccard index estimated from the K smallest values of the union of two sketches."""
-    union = np.union1d(sketch_a, sketch_b)[:K]
-    return len(np.intersect1d(np.intersect1d(sketch_a, sketch_b), union)) / max(len(union), 1)
-
-
-def hopeful(found: list[np.ndarray]) -> np.ndarray:
-    """Which sets have a partner whose estimate comes within five standard deviations of the threshold."""
-    n = len(found)
-    floor = PERCENT / 100 - SIGMAS * (0.1875 / K) ** 0.5
-    if n > 64:  # a large group pays less for the exact test of all pairs than for estimates one by one
-        return np.ones(n, dtype=bool)
-    out = np.zeros(n, dtype=bool)
-    for a in range(n):
-        for b in range(a + 1, n):
-            if not (out[a] and out[b]) and estimated(found[a][:K], found[b][:K]) >= floor:
-                out[a] = out[b] = True
+def overlap_matrix(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all sets of a with all of b, by slabs of the values that both sides hold."""
+    u, v = np.concatenate(a), np.concatenate(b)
+    values = common_members(np.unique(u), np.unique(v))
+    total = np.zeros((len(a), len(b)), dtype=np.float32)
+    if not len(values):
+        return total
+    sides = []
+    for flat, parts in ((u, a), (v, b)):
+        own, column = np.repeat(np.arange(len(parts)), [len(p) for p in parts]), np.searchsorted(values, flat)
+        keep = values[np.minimum(column, len(values) - 1)] == flat
+        own, column = own[keep], column[keep]
+        order = np.argsort(column, kind="stable")
+        sides.append((own[order], column[order], len(parts)))
+    for first in range(0, len(values), 1024):
+        slabs = []
+        for own, column, rows in sides:
+            x, y = np.searchsorted(column, [first, first + 1024])
+            slab = np.zeros((rows, 1024), dtype=np.float32)
+            slab[own[x:y], column[x:y] - first] = 1
+            slabs.append(slab)
+        total += slabs[0] @ slabs[1].T
+    return total
+
+
+def forest(label: np.ndarray, n: np.ndarray, data: list[np.ndarray], side: np.ndarray, floor: Callable[[np.ndarray, np.ndarray], np.ndarray], test: Test) -> list[tuple[int, int]]:
+    """A spanning forest, over parts that label names, of the pairs that pass.
+
+    Pairs are between side 0 and side 1, or within side 0 if that is all there is. ``floor`` gives the least overlap of a pair worth a test.
+    """
+    left = np.flatnonzero(side == 0)
+    right = np.flatnonzero(side == 1)
+    right = right if len(right) else left
+    if not len(left) or len(np.unique(label)) < 2:
+        return []
+    over = overlap_matrix([data[k] for k in left], [data[k] for k in right])
+    worth = (over >= floor(n[left][:, None], n[right][None, :])) & (label[left][:, None] != label[right][None, :])
+    i, j = np.nonzero(worth)
+    order = np.argsort(-over[i, j], kind="stable")
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while parent.get(x, x) != x:
+            parent[x] = parent.get(parent[x], parent[x])
+            x = parent[x]
+        return x
+
+    out = []
+    for a, b in zip(left[i[order]].tolist(), right[j[order]].tolist(), strict=True):
+        x, y = root(int(label[a])), root(int(label[b]))
+        if x != y and test(int(n[a]), int(n[b]), data[a], data[b]):
+            parent[max(x, y)] = min(x, y)
+            out.append((a, b))
     return out
 
 
-def verified_links(docs: DataFrame, members: DataFrame, key: str, text: str) -> DataFrame:
-    """(u, v): spanning forests of the links inside groups; members has node, mark, n and its group."""
-    sizes = members.groupBy("part").agg(F.count("*").alias("rows"), F.sum("n").alias("total"))
-    blocks = F.greatest(F.ceil(F.col("rows") / BLOCK_ROWS), F.ceil(F.col("total") / BLOCK_SHINGLES)).cast("int")
-    dealt = members.join(sizes.select("part", blocks.alias("blocks")), "part")
-    texts = docs.select(marked(key, text).alias("mark"), F.col(text).alias("t")).join(dealt.select("node", "mark", "part", "blocks").hint("shuffle_hash"), "mark")
+def sketch_floor(n: np.ndarray, m: np.ndarray) -> np.ndarray:
+    bound = np.array([fewest_shared(k) for k in range(K + 2)])
+    low = np.minimum(bound[np.minimum(n, K + 1)], bound[np.minimum(m, K + 1)])
+    return np.where(PERCENT * np.maximum(n, m) > 100 * np.minimum(n, m), np.inf, low)
+
+
+def set_floor(n: np.ndarray, m: np.ndarray) -> np.ndarray:
+    return -(-PERCENT * (n + m) // (100 + PERCENT))
+
+
+def tested(pairs: DataFrame, members: DataFrame, test: Test) -> DataFrame:
+    """Those of pairs (u, v) that pass; members has node, n, data."""
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = zip(batch.column(2).to_pylist(), batch.column(4).to_pylist(), from_lists(batch.column(3)), from_lists(batch.column(5)), strict=True)
+            keep = pa.array([test(n, m, a, b) for n, m, a, b in sizes], pa.bool_())
+            yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["u", "v"]).filter(keep)
+
+    u = members.select(F.col("node").alias("u"), F.col("n").alias("n"), F.col("data").alias("a"))
+    v = members.select(F.col("node").alias("v"), F.col("n").alias("m"), F.col("data").alias("b"))
+    return pairs.join(u, "u").join(v, "v").select("u", "v", "n", "a", "m", "b").mapInArrow(judge, "u long, v long")
+
+
+def blocks_met(members: DataFrame, floor: Callable[[np.ndarray, np.ndarray], np.ndarray], test: Test) -> DataFrame:
+    """(u, v): spanning forests of the pairs inside a group that pass and are in different parts; members has node, part (its group), label (its part), n, data.
+
+    A large part has blocks of its own, which never meet each other; the members of small parts share blocks. Blocks hold sets of one band of
+    sizes and meet those of the same band and the next one only.
+    """
+    several = members.groupBy("part").agg(F.min("label").alias("a"), F.max("label").alias("b")).filter("a < b").select("part")
+    band = F.floor(F.log(BAND, F.col("n").cast("double"))).cast("int")
+    placed = members.join(several, "part").select("node", "part", "label", "n", F.size("data").alias("size"), band.alias("band"))
+    large = placed.groupBy("part", "label").agg(F.count("*").alias("rows")).filter(F.col("rows") >= BLOCK_ROWS // 2).select("part", "label", F.lit(True).alias("large"))
+    placed = placed.join(large, ["part", "label"], "left").withColumn("own", F.when(F.col("large"), F.col("label")).otherwise(F.lit(-1)))
+    placed = written(placed.select("node", "part", "label", "n", "size", "own", "band"), "placed", FEW_FILES)
+    cells = placed.groupBy("part", "own", "band").agg(F.count("*").alias("rows"), F.greatest(F.ceil(F.count("*") / BLOCK_ROWS), F.ceil(F.sum("size") / BLOCK_VALUES)).cast("int").alias("blocks"))
+    cells = written(cells, "cells", FEW_FILES)
+    a, b = (cells.select("part", *(F.col(c).alias(f"{s}_{c}") for c in ("own", "band", "rows", "blocks"))) for s in "ab")
+    same = (F.col("a_own") == F.col("b_own")) & (F.col("a_band") == F.col("b_band"))
+    first = F.struct("a_own", "a_band") <= F.struct("b_own", "b_band")
+    apart = (F.col("a_own") != F.col("b_own")) | (F.col("a_own") == -1)
+    met = a.join(b, "part").filter(first & apart & (F.abs(F.col("a_band") - F.col("b_band")) <= 1) & (~same | (F.col("a_rows") > 1)))
+    met = met.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("a_blocks") - 1))).withColumn("j", F.explode(F.sequence(F.when(same, F.col("i")).otherwise(F.lit(0)), F.col("b_blocks") - 1)))
+    # numbers of tasks; should two get the same, their members meet in vain
+    met = met.withColumn("task", F.xxhash64("part", "a_own", "a_band", "i", "b_own", "b_band", "j"))
+    lone = same & (F.col("i") == F.col("j"))
+    sides = met.select("part", F.col("a_own").alias("own"), F.col("a_band").alias("band"), F.col("i").alias("block"), "task", F.lit(0).alias("side"))
+    sides = sides.unionByName(met.filter(~lone).select("part", F.col("b_own").alias("own"), F.col("b_band").alias("band"), F.col("j").alias("block"), "task", F.lit(1).alias("side")))
     block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    texts = texts.select("node", "part", "blocks", block.alias("block"), "t")
+    dealt = placed.join(cells.select("part", "own", "band", "blocks"), ["part", "own", "band"]).withColumn("block", block)
+    dealt = dealt.join(sides, ["part", "own", "band", "block"]).select("task", "side", "node", "label", "n")
+    sent = dealt.join(members.select("node", "data"), "node").select("task", "side", "node", "label", "n", "data")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in by_key(batches):
+            side, node, label, n = (rows.column(k).to_numpy() for k in range(1, 5))
+            out = forest(label, n, from_lists(rows.column(5)), side, floor, test)
+            if out:
+                u, v = np.array(out).T
+                yield pa.RecordBatch.from_arrays([pa.array(node[u]), pa.array(node[v])], names=["u", "v"])
+
+    found = sent.repartition("task").sortWithinPartitions("task").mapInArrow(compare, "u long, v long")
+    found = written(found, "met", FEW_FILES)
+    dropped(placed, cells)
+    return found
+
+
+def refined(members: DataFrame, seeds: DataFrame, floor: Callable[[np.ndarray, np.ndarray], np.ndarray], test: Test) -> DataFrame:
+    """(u, v) that connect all members (node, part, n, data) of a group which pairs that pass connect; seeds (u, v) are tested first."""
+    first = written(tested(seeds, members, test), "seeds", FEW_FILES)
+    label = components(first, "u", "v")
+    labelled = members.join(label, "node", "left").withColumn("label", F.coalesce("component", "node"))
+    rest = blocks_met(labelled, floor, test)
+    out = written(first.unionByName(rest), "forest", FEW_FILES)
+    dropped(first, rest, label)
+    return out
 
-    def members_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, raw, at in runs(batches, "t"):
-            found = pa.array([s.tobytes() for s in sets(raw, at)], pa.binary())
-            yield pa.RecordBatch.from_arrays([*(rows.column(k) for k in range(4)), found], names=["node", "part", "blocks", "block", "members"])
 
-    kept = texts.mapInArrow(members_of, "node long, part long, blocks int, block int, members binary")
-    other = F.sequence(F.lit(0), F.col("blocks") - 1)
-    pairs = F.when(F.col("blocks") == 1, F.array(F.lit(0))).otherwise(F.filter(other, lambda x: x != F.col("block")))
-    sent = kept.withColumn("other", F.explode(pairs)).select("node", "part", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "members")
+def whole_groups(links: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
+    """(node, part) of every linked node; a part is named by its smallest node."""
+    group = components(links, u, v)
+    out = written(group.select("node", F.col("component").alias("part")).unionByName(group.select(F.col("component").alias("node"), F.col("component").alias("part")).distinct()), "groups", FEW_FILES)
+    dropped(group)
+    return out
 
-    def verify(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.drop_duplicates("node").sort_values("node")  # rows that repeat id and text
-        found = [np.frombuffer(x, dtype=np.uint64) for x in rows["members"]]
-        ids = rows["node"].to_numpy()
-        some = np.flatnonzero(hopeful(found))
-        if len(some) < 2:
-            return pd.DataFrame({"u": np.zeros(0, np.int64), "v": np.zeros(0, np.int64)})
-        label = some[linked([found[k] for k in some])]
-        far = label != some
-        return pd.DataFrame({"u": ids[some[far]], "v": ids[label[far]]})
 
-    return sent.groupBy("part", "i", "j").applyInPandas(verify, "u long, v long")
+def full_sets(docs: DataFrame, some: DataFrame, key: str, text: str) -> DataFrame:
+    """node, part, n, data: all members of the sets of some (node, mark, part)."""
+    texts = docs.select(marked(key, text).alias("mark"), F.col(text).alias("t")).join(some.hint("shuffle_hash"), "mark").select("node", "part", "t")
+
+    def members_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()  # of one task: rows that repeat id and text
+        for rows, raw, at in runs(batches, "t"):
+            ids = rows.column(0).to_pylist()
+            fresh = [k for k, i in enumerate(ids) if not (i in seen or seen.add(i))]
+            if fresh:
+                found = [sets(raw[at[k] : at[k + 1]], np.array([0, at[k + 1] - at[k]]))[0] for k in fresh]
+                kept = rows.take(pa.array(fresh))
+                yield pa.RecordBatch.from_arrays([kept.column(0), kept.column(1), pa.array([len(s) for s in found], pa.int64()), as_lists(found)], names=["node", "part", "n", "data"])
+
+    return texts.mapInArrow(members_of, "node long, part long, n long, data array<long>")
+
+
+def linked_nodes(classes: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(node, part) of every class that is linked with another one."""
+    overlaps = counted_overlaps(classes)
+    groups = whole_groups(overlaps, "node", "pivot")
+    members = written(groups.join(classes.select("node", "n", F.col("sketch").alias("data")), "node"), "members")
+    best = overlaps.groupBy(F.col("node").alias("u")).agg(F.max_by("pivot", F.struct(F.col("shared"), -F.col("pivot"))).alias("v"))
+    likely = refined(members, best, sketch_floor, by_sketch)
+    dropped(overlaps, groups, members)
+    groups = whole_groups(likely)
+    some = groups.join(classes.select("node", "row.mark"), "node")
+    members = written(full_sets(docs, some, key, text), "sets")
+    links = refined(members, likely, set_floor, by_set)
+    dropped(likely, groups, members)
+    out = whole_groups(links)
+    dropped(links)
+    return out
 
 
 def grouped(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """One row for each row of docs: doc, mark, n, head (doc and mark of the row that its component keeps; null without shingles)."""
+    """One row for each row of docs: doc, mark, n, head (no_id, doc and mark of the row that its component keeps; null without shingles)."""
     sk = written(sketches(docs, key, text), "sketches")
     first = F.min(F.struct(F.col("doc").isNull().alias("no_id"), "doc", "mark", "n", "sketch"))
     some = sk.filter("n > 0").groupBy("set_key").agg(first.alias("x"))
     classes = written(some.select("set_key", F.monotonically_increasing_id().alias("node"), F.struct("x.no_id", "x.doc", "x.mark").alias("row"), "x.n", "x.sketch"), "classes")
-    links = written(candidate_links(classes), "candidates")
-    group = components(links, "node", "pivot")
-    group = group.unionByName(group.select(F.col("component").alias("node"), "component").distinct())
-    members = written(classes.select("node", "row.mark", "n").join(group.select("node", F.col("component").alias("part")), "node"), "members")
-    found = components(verified_links(docs, members, key, text), "u", "v")
-    found = written(found.unionByName(found.select(F.col("component").alias("node"), "component").distinct()), "found")
-    heads = found.join(classes.select("node", "row"), "node").groupBy("component").agg(F.min("row").alias("head"))
-    heads = found.join(heads, "component").select("node", "head")
+    found = linked_nodes(classes, docs, key, text)
+    heads = found.join(classes.select("node", "row"), "node").groupBy("part").agg(F.min("row").alias("head"))
+    heads = found.join(heads, "part").select("node", "head")
     named = classes.join(heads, "node", "left").select("set_key", F.coalesce("head", "row").alias("head"))
-    return sk.select("doc", "mark", "n", "set_key").join(named, "set_key", "left").select("doc", "mark", "n", F.when(F.col("n") > 0, F.col("head")).alias("head"))
+    out = sk.select("doc", "mark", "n", "set_key").join(named, "set_key", "left").select("doc", "mark", "n", F.when(F.col("n") > 0, F.col("head")).alias("head"))
+    out = written(out, "grouped")
+    dropped(sk, classes, found)
+    return out
 
 
 def stands() -> Column:
