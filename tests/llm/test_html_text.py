@@ -3,7 +3,7 @@ import random
 import re
 from html import unescape
 
-from widelog.llm.html_text import extracted, main_text, minimum_cut
+from widelog.llm.html_text import Page, extracted, main_text, minimum_cut
 
 
 def test_small_table_against_its_article(spark, small):
@@ -38,6 +38,59 @@ def test_parts_of_a_page():
     assert main_text(PAGE) == "The title First paragraph of the story & more, with bold text. Second one, which has a link in it."
 
 
+ARTICLE = "<h1>The story</h1><p>First paragraph of three ordinary ones, with a few words.</p><p>Second paragraph, also ordinary.</p><p>Third.</p>"
+TOLD = "The story First paragraph of three ordinary ones, with a few words. Second paragraph, also ordinary. Third."
+
+
+def test_names_of_whole_pages_condemn_nothing():
+    for page in (
+        f'<body class="single-post no-sidebar comments-open">{ARTICLE}</body>',
+        f'<body class="has-sidebar"><article>{ARTICLE}</article></body>',
+        f'<div class="content-with-share-bar">{ARTICLE}</div>',
+        f'<main id="search-landing-main">{ARTICLE}</main>',
+        f'<div class="sidebar-layout"><nav><a href=x>Home</a></nav><article>{ARTICLE}</article></div>',
+        f"<form id=page>{ARTICLE}<input></form>",
+        f"<div data-hidden='false' title='A hidden gem'>{ARTICLE}</div>",
+    ):
+        assert main_text(page) == TOLD
+    assert main_text("<div><p>Short.</p><p>Also short.</p><p>Done.</p></div>") == "Short. Also short. Done."
+
+
+def test_parts_that_go():
+    comment = "I really do not think that this is a good article at all, since it does not say anything that I did not know before, and it says so at length. So there."
+    for more in (
+        f'<section id="comments"><article class="comment"><div class="comment-body"><p>{comment}</p></div></article></section>',
+        "<aside><h3>More</h3><p>Something else is over here.</p></aside>",
+        '<div class="related"><article><h3><a href=q>Next</a></h3><p>Teaser of the next one, short.</p></article></div>',
+        "<footer><div><div><p>All rights are reserved, and nothing here may be copied without a written word from us, ever, and we mean it.</p></div></div></footer>",
+        '<div style="display: none"><p>Nobody is to see this sentence, however long it goes on and on.</p></div>',
+        "<select><option>One</option><option>Two</option></select><template><p>A sentence that is never shown to anyone at all.</p></template>",
+    ):
+        assert main_text(f"<body><article>{ARTICLE}</article>{more}</body>") == TOLD
+
+
+def test_attributes_are_read_by_the_standard():
+    assert main_text(f"<article>{ARTICLE}<p title='it's fine'>Here it isn't.</p><p>Don't worry.</p></article>") == TOLD + " Here it isn't. Don't worry."
+    assert main_text('<article><p data-x=a>b" c>One.</p><p class = "x>y" / id=z>Two.</p></article>') == 'b" c>One. Two.'
+    assert main_text("<article><p>Let <math><mi>x</mi> = 2</math> be.</p><!--> <p>So.</p><!-- > --> <p>End.</article>") == "Let x = 2 be. So. End."
+
+
+def test_cut_decides_where_the_sign_is_wrong():
+    """Short lines between paragraphs lean to boilerplate, a sentence in a menu to content; their neighbours say otherwise."""
+    long = "This paragraph goes on for long enough to be taken as content without any doubt, since it has words and a full stop."
+    menu = "".join(f'<li><a href="/{k}">Item {k}</a></li>' for k in range(6))
+    page = Page(f"<div><p>{long}</p><p>A short line</p><p>{long}</p><p>Another one</p><p>{long}</p></div><ul>{menu}<li>We open at nine.</li>{menu}</ul>")
+    odds = [page.leaning(k) for k in range(len(page.blocks))]
+    kept = minimum_cut(odds, page.edges())
+    wrong = {page.blocks[k][0] for k, x in enumerate(odds) if (x > 0) != kept[k]}
+    assert wrong == {"A short line", "Another one", "We open at nine."}
+    assert [page.blocks[k][0] for k, x in enumerate(kept) if x] == [long, "A short line", long, "Another one", long]
+
+
+def test_broken_pages_take_linear_time():
+    assert main_text("<div>" * 30_000 + "</p></span></b>" * 30_000 + "<article><p>One sentence is here.</p>") == "One sentence is here."
+
+
 def test_plain_and_broken_markup():
     long = "This is a long enough sentence of plain text that has no landmark around it at all, and it goes on. "
     assert main_text(f"<div><p>{long}<p>{long}<div") .startswith("This is a long enough")
