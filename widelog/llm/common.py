@@ -68,6 +68,14 @@ def dropped(*tables: DataFrame) -> None:
         path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def free(df: DataFrame, name: str) -> str:
+    """name, or one like it that no column of df has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

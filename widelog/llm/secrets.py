@@ -1,19 +1,21 @@
 """Secret scans over a trigram inverted index, in DataFrame functions only.
 
-Each rule's regex yields a Boolean query of trigrams that any match must contain: a disjunction of conjunctions. The
-index holds, for the trigrams that some query asks for, the ids of the texts whose lower case contains them. Postings are
-intersected by counting, for each text and conjunction, the distinct trigrams found; texts that satisfy a rule's query
+Each rule's regex yields a Boolean query of trigrams that any match must contain: a disjunction of conjunctions. Of a
+literal the query takes every third trigram and the last, which together cover it. The index holds, for the trigrams that
+some query asks for, the ids of the texts whose lower case contains them. Postings are intersected by counting, for each text and conjunction, the distinct trigrams found; texts that satisfy a rule's query
 are its candidates, and only these are verified with the regex itself. A rule without a mandatory trigram is
 tried on every text.
 
-Verification cuts a text at the regex's leftmost non-overlapping matches; the lengths of the pieces and of the
-matches give positions in code points. Null and empty texts have no spans. Rows with equal ids are verified one by
+Verification cuts a text at the regex's leftmost non-overlapping matches; the running sum of the lengths of the pieces and of the
+matches gives positions in code points. Running values are taken chunk by chunk, so that a text of very many matches
+takes time in proportion to them. Null and empty texts have no spans. Rows with equal ids are verified one by
 one, each against the candidates of all; a null id is an id like any other. Columns besides the key and the text are
-ignored, or kept by ``redacted``.
+ignored, or kept by ``redacted``, whatever their names.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from itertools import product
 from re import _constants as sre
@@ -22,7 +24,7 @@ from re import _parser
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import dropped, free, written
 
 
 @dataclass(frozen=True)
@@ -97,7 +99,7 @@ def trigram_query(regex: str) -> list[frozenset[str]]:
 
     def close() -> None:
         if min(map(len, run)) >= 3:
-            clauses.append({frozenset(x[k : k + 3] for k in range(len(x) - 2)) for x in run})
+            clauses.append({frozenset(x[k : k + 3] for k in (*range(0, len(x) - 2, 3), len(x) - 3)) for x in run})
 
     for op, arg in _parser.parse(regex):
         one = literal(op, arg)
@@ -133,43 +135,75 @@ def candidates(index: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
     return held.groupBy("id").agg(F.bit_or(F.expr("shiftleft(1L, rule)")).alias("mask"))
 
 
+#: Elements of an array over which running values are taken at a time.
+STRETCH = 256
+Join = Callable[[Column, Column], Column]
+
+
+def paired(a: Column, b: Column) -> Column:
+    return F.zip_with(a, b, lambda x, y: F.struct(x.alias("a"), y.alias("b")))
+
+
+def held(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with value taken once; what stands in a lambda function is otherwise taken anew for each element."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def running(items: Column, value: Callable[[Column], Column], join: Join) -> Column:
+    """For each element, what join makes of 0 and the values of all elements before it. items has to be a name, not an expression."""
+
+    def all_of(some: Column, start: Column, of: Callable[[Column], Column]) -> Column:
+        return F.aggregate(some, F.array(start), lambda got, x: F.concat(got, F.array(join(F.element_at(got, -1), of(x)))))
+
+    def over(stretches: Column) -> Column:
+        sums = F.transform(stretches, lambda some: F.aggregate(some, F.lit(0), lambda got, x: join(got, value(x))))
+        starts = F.slice(all_of(sums, F.lit(0), lambda x: x), F.lit(1), F.size(stretches))
+        return F.flatten(F.transform(paired(stretches, starts), lambda z: F.slice(all_of(z["a"], z["b"], value), F.lit(1), F.size(z["a"]))))
+
+    stretches = F.transform(F.sequence(F.lit(0), F.floor((F.size(items) - 1) / STRETCH).cast("int")), lambda k: F.slice(items, k * STRETCH + 1, STRETCH))
+    return F.when(F.size(items) > 0, held(stretches, over)).otherwise(F.expr("cast(array() as array<int>)"))
+
+
 def spans_of(rule: Rule, text: Column) -> Column:
-    """array<struct<start, rank, end>> of a rule's matches that count."""
+    """array<struct<start, end>> of a rule's matches that count."""
     java = F.lit(rule.java)
     whole, part = F.regexp_extract_all(text, java, F.lit(0)), F.regexp_extract_all(text, java, F.lit(rule.group))
-    pieces = F.arrays_zip(F.split(text, rule.java, -1), whole, part)
-    empty = F.expr("struct(0 as at, cast(array() as array<struct<start:int,end:int>>) as got)")
 
-    def step(seen: Column, x: Column) -> Column:
-        start = seen["at"] + F.length(x["0"])
-        end = start + F.coalesce(F.length(x["1"]), F.lit(0))
-        new = F.array(F.struct(start.alias("start"), end.alias("end")))
-        got = F.when(F.length(x["2"]) >= rule.least, F.concat(seen["got"], new)).otherwise(seen["got"])
-        return F.struct(end.alias("at"), got.alias("got"))
+    def span(x: Column) -> Column:
+        start = x["b"] + F.length(x["a"]["0"])
+        return F.struct(start.alias("start"), (start + F.length(x["a"]["1"])).alias("end"))
+
+    def spans(pieces: Column) -> Column:
+        before = running(pieces, lambda x: F.length(x["0"]) + F.length(x["1"]), lambda a, b: a + b)
+        return F.transform(F.filter(paired(pieces, before), lambda x: F.length(x["a"]["2"]) >= rule.least), span)
 
-    return F.aggregate(pieces, empty, step)["got"]
+    # the piece after the last match has no match beside it
+    return held(F.filter(F.arrays_zip(F.split(text, rule.java, -1), whole, part), lambda x: x["1"].isNotNull()), spans)
 
 
 def ranked(spans: Column, rank: int) -> Column:
     return F.transform(spans, lambda x: F.struct(x["start"].alias("start"), F.lit(rank).alias("rank"), x["end"].alias("end")))
 
 
-def of_rank(rank: int) -> Column:
-    return F.filter("__spans", lambda x: x["rank"] == rank)
+def of_rank(spans: Column, rank: int) -> Column:
+    return F.filter(spans, lambda x: x["rank"] == rank)
 
 
-def spanned(docs: DataFrame, rules: tuple[Rule, ...], key: str, text: str) -> DataFrame:
-    """docs with a column __spans: array<struct<start, rank, end>> by start, then as the rules are listed."""
+def spanned(docs: DataFrame, rules: tuple[Rule, ...], key: str, text: str, out: str) -> DataFrame:
+    """docs with a column out: array<struct<start, rank, end>> by start, then as the rules are listed."""
     index = written(trigram_index(docs, rules, key, text), "trigrams")
-    found = candidates(index, rules).select(F.col("id").alias("__id"), F.col("mask").alias("__mask"))
-    joined = docs.join(found.hint("shuffle_hash"), F.col(key).eqNullSafe(F.col("__id")), "left")
+    found = written(candidates(index, rules), "candidates")
+    dropped(index)
+    own_id, mask = free(docs, "__id"), free(docs, "__mask")
+    found = found.select(F.col("id").alias(own_id), F.col("mask").alias(mask))
+    joined = docs.join(found.hint("shuffle_hash"), F.col(key).eqNullSafe(F.col(own_id)), "left")
     body = F.coalesce(F.col(text), F.lit(""))
     none = F.expr("cast(array() as array<struct<start:int,rank:int,end:int>>)")
     parts = []
     for k, rule in enumerate(rules):
-        maybe = F.expr(f"__mask & {1 << k}L") != 0 if trigram_query(rule.regex) else body.rlike(rule.java)
+        maybe = F.col(mask).bitwiseAND(F.lit(1 << k)) != 0 if trigram_query(rule.regex) else body.rlike(rule.java)
         parts.append(F.when(F.coalesce(maybe, F.lit(False)), ranked(spans_of(rule, body), k)).otherwise(none))
-    return joined.withColumn("__spans", F.array_sort(F.concat(*parts))).drop("__id", "__mask")
+    return joined.withColumn(out, F.array_sort(F.concat(*parts))).drop(own_id, mask)
 
 
 def told(spans: Column, rules: tuple[Rule, ...]) -> Column:
@@ -180,10 +214,11 @@ def told(spans: Column, rules: tuple[Rule, ...]) -> Column:
 def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", more: tuple[Rule, ...] = MORE) -> DataFrame:
     """One row for each row of docs: doc_id, n_assign, n_access, n_hex, base_sha256, spans."""
     rules = BASE + more
-    found = spanned(docs.select(F.col(key), F.col(text)), rules, key, text)
-    base = F.filter("__spans", lambda x: x["rank"] < len(BASE))
-    counts = [F.size(of_rank(k)).cast("long").alias(f"n_{r.kind}") for k, r in enumerate(BASE)]
-    return found.select(F.col(key).alias("doc_id"), *counts, F.sha2(told(base, rules), 256).alias("base_sha256"), told(F.col("__spans"), rules).alias("spans"))
+    found = spanned(docs.select(F.col(key).alias("key"), F.col(text).alias("body")), rules, "key", "body", "found")
+    every = F.col("found")
+    base = F.filter(every, lambda x: x["rank"] < len(BASE))
+    counts = [F.size(of_rank(every, k)).cast("long").alias(f"n_{r.kind}") for k, r in enumerate(BASE)]
+    return found.select(F.col("key").alias("doc_id"), *counts, F.sha2(told(base, rules), 256).alias("base_sha256"), told(every, rules).alias("spans"))
 
 
 def op6_secrets(spark, sf_dir: str) -> DataFrame:
@@ -192,23 +227,42 @@ def op6_secrets(spark, sf_dir: str) -> DataFrame:
     return scan(read(spark, sf_dir, "documents"))
 
 
-def redacted(docs: DataFrame, key: str = "doc_id", text: str = "text", more: tuple[Rule, ...] = CUT, mark: str = "[SECRET]") -> DataFrame:
-    """docs with each run of characters that spans cover replaced by mark, private keys whole; n_chars follows."""
-    found = spanned(docs, BASE + more, key, text)
-    start = F.expr("struct(0 as at, '' as done)")
-    body = F.col(text)
+#: Characters of a block of text; positions are found within one.
+BLOCK = 1024
 
-    def step(seen: Column, x: Column) -> Column:
-        fresh = F.concat(seen["done"], F.substr(body, seen["at"] + 1, x["start"] - seen["at"]), F.lit(mark))
-        return F.struct(F.greatest(seen["at"], x["end"]).alias("at"), F.when(x["start"] >= seen["at"], fresh).otherwise(seen["done"]).alias("done"))
 
-    clean = F.aggregate("__spans", start, step, lambda s: F.concat(s["done"], F.substr(body, s["at"] + 1, F.length(body))))
-    hit = F.size("__spans") > 0
+def stretch(blocks: Column, start: Column, end: Column) -> Column:
+    """The characters from start to end, which lie in blocks of BLOCK characters; no others than the blocks they are in are walked."""
+    first, last = F.floor(start / BLOCK).cast("int"), F.floor(end / BLOCK).cast("int")
+    tail = F.substr(F.coalesce(F.get(blocks, first), F.lit("")), start % BLOCK + 1, F.lit(BLOCK))
+    head = F.substr(F.coalesce(F.get(blocks, last), F.lit("")), F.lit(1), end % BLOCK)
+    one = F.substr(F.get(blocks, first), start % BLOCK + 1, end - start)
+    many = F.concat(tail, F.array_join(F.slice(blocks, first + 2, last - first - 1), ""), head)
+    return F.when(end <= start, F.lit("")).when(first == last, one).otherwise(many)
+
+
+def redacted(docs: DataFrame, key: str = "doc_id", text: str = "text", more: tuple[Rule, ...] = CUT, mark: str = "[SECRET]") -> DataFrame:
+    """docs with each run of characters that spans cover replaced by mark, private keys whole; n_chars follows."""
+    out, cut = free(docs, "__spans"), free(docs, "__clean")
+    found = spanned(docs, BASE + more, key, text, out)
+    spans, body = F.col(out), F.col(text)
+    every = F.regexp_extract_all(body, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+    reached = running(spans, lambda x: x["end"], lambda a, b: F.greatest(a, b))
+    # a span that begins before others have ended adds nothing of its own
+    fresh = F.filter(paired(spans, reached), lambda x: x["a"]["start"] >= x["b"])
+    last = F.array_max(F.transform(spans, lambda x: x["end"]))
+
+    def cut_out(blocks: Column) -> Column:
+        parts = F.transform(fresh, lambda x: F.concat(stretch(blocks, x["b"], x["a"]["start"]), F.lit(mark)))
+        return F.concat(F.array_join(parts, ""), stretch(blocks, last, F.length(body)))
+
+    clean = held(every, cut_out)
+    hit = F.size(spans) > 0
     # the new text has a name of its own: within lambdas, a replaced column's name would mean the replacement
-    done = found.withColumn("__clean", F.when(hit, clean).otherwise(body))
-    new = {text: F.col("__clean")}
+    done = found.withColumn(cut, F.when(hit, clean).otherwise(body))
+    new = {text: F.col(cut)}
     if "n_chars" in docs.columns:
-        new["n_chars"] = F.when(hit, F.length("__clean")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
+        new["n_chars"] = F.when(hit, F.length(cut)).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
     return done.withColumns(new).select(*docs.columns)
 
 
