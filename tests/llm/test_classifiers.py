@@ -28,6 +28,27 @@ def test_pairwise_identity():
     assert abs(machine.score(ids, x) - 1 / (1 + np.exp(-plain))) < 1e-9
 
 
+def test_scores_against_all_pairs(spark, small):
+    """Every row's score, with all pairs of its features written out."""
+    from widelog.llm.quality import trained
+
+    machine = trained(spark, small)
+    got = by_id(op1_quality(spark, small))
+    for r in spark.read.parquet(f"{small}/documents.parquet").collect()[:60]:
+        ids, x = features((r["text"] or "").encode(), r["n_chars"], {})
+        weights = np.triu(machine.factors[ids].astype(float) @ machine.factors[ids].T.astype(float), 1)
+        raw = machine.bias + machine.linear[ids] @ x + x @ weights @ x
+        assert abs(got[r["doc_id"]]["score"] - 1 / (1 + np.exp(-np.clip(raw, -30, 30)))) < 1e-5
+
+
+def test_labels_that_disagree_and_repeated_ids(spark):
+    docs = spark.createDataFrame([(1, "good text here", "en", "s", 1), (1, "another good one", "en", "s", 1), (2, "b*d b*d", "en", "s", 1), (3, "both", "en", "s", 1)], SCHEMA)
+    many = docs.unionByName(docs.filter("doc_id = 1").crossJoin(spark.range(50)).select(*docs.columns))
+    labels = spark.createDataFrame([(1, 1, 0), (2, 0, 0), (3, 0, 0), (3, 1, 0)], "doc_id long, quality int, toxic int")
+    a, b = train(docs, labels), train(many.repartition(7), labels.filter("doc_id != 3"))
+    assert a.bias == b.bias and (a.linear == b.linear).all() and (a.factors == b.factors).all()
+
+
 def test_quality_of_awkward_rows(spark):
     labels = spark.createDataFrame([(1, 1, 0), (3, 1, 0), (10, 0, 0), (7, 0, 1), (None, 1, 0), (99, 1, 0), (1, 1, 0), (2, None, 0)], "doc_id long, quality int, toxic int")
     model = train(awkward(spark), labels)

@@ -1,6 +1,9 @@
 import hashlib
+import random
 import re
 
+import pytest
+
 from tests.llm.helpers import SCHEMA, awkward, by_id, empty
 from widelog.llm.decontaminate import SuffixAutomaton, automaton, cleaned, contamination, cut, op5_decontaminate
 
@@ -40,6 +43,35 @@ def test_short_and_overlapping_items(spark):
         assert tuple(got[k].values())[1:] == brute(t, items), t
 
 
+def test_items_are_counted_by_id(spark):
+    items = [(1, "alpha beta gamma"), (1, "alpha beta gamma"), (1, "gamma delta"), (2, "alpha beta gamma"), (None, "zeta eta")]
+    docs = spark.createDataFrame([(1, "alpha beta gamma delta", "en", "s", 1), (2, "zeta eta", "en", "s", 1)], SCHEMA)
+    got = by_id(contamination(docs, automaton(spark.createDataFrame(items, "item_id long, text string"))))
+    assert (got[1]["n_items"], got[1]["items_sha256"], got[1]["n_hit"]) == (2, hashlib.sha256(b"1,2").hexdigest(), 4)
+    assert (got[2]["n_items"], got[2]["n_hit"]) == (1, 2)
+
+
+def test_random_items_and_texts():
+    rng = random.Random(4)
+    for _ in range(200):
+        items = [(str(k), " ".join(rng.choices("abc", k=rng.choice([1, 3, 9, 10, 11, 14])))) for k in range(rng.randint(1, 5))]
+        machine = SuffixAutomaton([(k, words(t)) for k, t in items])
+        text = " ".join(rng.choices("abcd", weights=[5, 5, 5, 1], k=60))
+        spans, found = machine.hits(words(text))
+        want = brute(text, items)
+        assert (sum(b - a for a, b in spans), len(found)) == want[1:3]
+
+
+def test_size_is_checked(spark):
+    words_of = [" ".join(f"w{rng}x{k}" for k in range(2000)) for rng in range(10)]
+    benchmark = spark.createDataFrame([(k, t) for k, t in enumerate(words_of)], "item_id long, text string")
+    machine = automaton(benchmark)
+    assert len(machine.link) <= 2 * 20_000 and machine.nbytes < 20_000 * 400
+    for least in (1000, machine.nbytes - 1):
+        with pytest.raises(ValueError):
+            automaton(benchmark, max_bytes=least)
+
+
 def test_cut_takes_exactly_the_hit_words():
     machine = SuffixAutomaton([("1", b"alpha beta gamma".split())])
     assert cut(b"Say: Alpha, beta gamma! Then more words follow here.", machine, 0.5) == b"Say: ! Then more words follow here."

@@ -8,7 +8,7 @@ by another seeded hash, which is a global shuffle.
 
 Without given targets, a source's weight is its number of rows to the power ``temperature``. Null sources form one source,
 null ids draw as the empty id, rows with equal ids draw alike. A source without a target gets rate 0. Documents of
-rate 0 or a count of 0 leave. The output has the input's columns and ``replica``, 1 to the count, which
+rate 0 or a count of 0 leave. The output has the input's columns, whatever their names, and ``replica``, 1 to the count, which
 replaces an input column of that name. An empty input gives an empty output.
 """
 
@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import partitions
+from .common import free, partitions
 
 SEED, TEMPERATURE, EPOCHS = "mix-1", 0.5, 1.0
 #: Sources up to here go to every task; beyond it rates meet documents in a shuffled join that skew can split.
@@ -29,18 +29,21 @@ def uniform(key: Column, seed: str) -> Column:
     return F.conv(F.substring(F.md5(F.concat(F.lit(seed + ":"), F.coalesce(key.cast("string"), F.lit("")))), 1, 13), 16, 10).cast("long") / F.lit(float(1 << 52))
 
 
-def distribution(rate: Column) -> Column:
-    """P(X <= 0), P(X <= 1), ... of a Poisson variable, far past where they reach 1; terms carry on as logarithms."""
+def poisson(rate: Column, u: Column) -> Column:
+    """How many of P(X <= 0), P(X <= 1), ... of a Poisson variable are no more than u; its time goes with the rate, as the copies do.
+
+    Terms go on far past where they sum to 1, and carry on as logarithms.
+    """
     last = F.ceil(rate + 12 * F.sqrt(rate) + 20).cast("int")
     first = F.exp(-rate)
-    start = F.struct((-rate).alias("log"), first.alias("sum"), F.array(first).alias("all"))
+    start = F.struct((-rate).alias("log"), first.alias("sum"), (first <= u).cast("int").alias("n"))
 
     def step(s: Column, j: Column) -> Column:
         log = s["log"] + F.ln(rate) - F.ln(j.cast("double"))
         total = s["sum"] + F.exp(log)
-        return F.struct(log.alias("log"), total.alias("sum"), F.concat(s["all"], F.array(total)).alias("all"))
+        return F.struct(log.alias("log"), total.alias("sum"), (s["n"] + (total <= u).cast("int")).alias("n"))
 
-    return F.aggregate(F.sequence(F.lit(1), last), start, step, lambda s: s["all"])
+    return F.aggregate(F.sequence(F.lit(1), last), start, step, lambda s: s["n"])
 
 
 def rates(docs: DataFrame, by: str, targets: dict[str, float] | None, temperature: float, epochs: float) -> tuple[DataFrame, int]:
@@ -59,15 +62,15 @@ def rates(docs: DataFrame, by: str, targets: dict[str, float] | None, temperatur
 
 def mixed(docs: DataFrame, key: str = "doc_id", by: str = "source", targets: dict[str, float] | None = None, temperature: float = TEMPERATURE, epochs: float = EPOCHS, seed: str = SEED) -> DataFrame:
     rate, sources = rates(docs, by, targets, temperature, epochs)
-    table = rate.filter("__rate > 0").select("__by", distribution(F.col("__rate")).alias("__cdf"))
+    own, r, u, n, spot = (free(docs, c) for c in ("__by", "__rate", "__u", "__n", "__spot"))
+    table = rate.filter("__rate > 0").select(F.col("__by").alias(own), F.col("__rate").alias(r))
     if sources <= BROADCAST_SOURCES:
         table = F.broadcast(table)
-    drawn = docs.withColumn("__u", uniform(F.col(key), seed)).join(table, F.col(by).eqNullSafe(F.col("__by")))
-    count = F.size(F.filter("__cdf", lambda c: c <= F.col("__u")))
+    drawn = docs.withColumn(u, uniform(F.col(key), seed)).join(table, F.col(by).eqNullSafe(F.col(own))).withColumn(n, poisson(F.col(r), F.col(u)))
     names = [c for c in docs.columns if c.lower() != "replica"]
-    copies = drawn.withColumn("__n", count).filter("__n > 0").select(*names, F.explode(F.sequence(F.lit(1), F.col("__n"))).alias("replica"))
-    spot = F.xxhash64(F.lit(seed), F.col(key), F.col("replica"))
-    return copies.withColumn("__spot", spot).repartition(partitions(docs.sparkSession), "__spot").sortWithinPartitions("__spot").drop("__spot")
+    copies = drawn.filter(F.col(n) > 0).select(*names, F.explode(F.sequence(F.lit(1), F.col(n))).alias("replica"))
+    place = F.xxhash64(F.lit(seed), F.col(key), F.col("replica"))
+    return copies.withColumn(spot, place).repartition(partitions(docs.sparkSession), spot).sortWithinPartitions(spot).drop(spot)
 
 
 def op8_mixing(spark, sf_dir: str) -> DataFrame:

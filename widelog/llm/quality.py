@@ -7,6 +7,8 @@ logistic loss over a bounded, documented sample of labelled rows, balanced over
 
 Every row gets a score in [0, 1]: null and empty texts have no words and score by their structure alone, as do very
 long ones by all their words. Repeated ids give repeated rows. With no labelled row of either kind the score is 0.5.
+An id whose labels disagree teaches nothing; of several texts with one labelled id, the one of the least digest is learned.
+Columns of docs are kept, whatever their names.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bytes_of, fold
+from .common import bytes_of, fold, free
 from .sample import bounded
 
 HASHED, RANK, BINS = 1 << 14, 8, 10
@@ -104,18 +106,20 @@ class FactorisationMachine:
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", per_label: int = 2500, max_chars: int = 20_000) -> FactorisationMachine:
     """Fits on up to per_label documents of each label with up to max_chars characters; folds are the caller's."""
-    marked = labels.select(F.col("doc_id").alias("k"), F.col(label).alias("y")).filter("k is not null and y in (0, 1)").dropDuplicates(["k"])
+    marked = labels.select(F.col("doc_id").alias("k"), F.col(label).alias("y")).filter("k is not null and y in (0, 1)")
+    marked = marked.groupBy("k").agg(F.min("y").alias("y"), F.max("y").alias("most")).filter("y = most").drop("most")
     chosen, _ = bounded(marked, "y", "k", per_label, 2)
     chosen = F.broadcast(chosen)  # 2 * per_label rows at most
     meta = F.col("n_chars").cast("long") if "n_chars" in docs.columns else F.lit(None).cast("long")
     texts = docs.select(F.col("doc_id").alias("k"), F.col("text").alias("t"), meta.alias("n")).filter("length(t) <= %d" % max_chars)
-    rows = texts.join(chosen, "k").orderBy("k", "t").collect()
+    one = texts.join(chosen, "k").groupBy("k", "y").agg(F.min(F.struct(F.md5("t").alias("digest"), "t", "n")).alias("x"))
+    rows = one.select("y", "x.t", "x.n").orderBy("k").collect()  # as many rows as chosen has
     cache: dict[bytes, int] = {}
     return FactorisationMachine.fitted([features(r["t"].encode(), r["n"], cache) for r in rows], [r["y"] for r in rows])
 
 
-def scored(docs: DataFrame, model: FactorisationMachine) -> DataFrame:
-    """docs with a column __quality after its own."""
+def scored(docs: DataFrame, model: FactorisationMachine, out: str = "__quality") -> DataFrame:
+    """docs with a column out after its own."""
     shipped = docs.sparkSession.sparkContext.broadcast(model)
     meta = F.col("n_chars").cast("long") if "n_chars" in docs.columns else F.lit(None).cast("long")
 
@@ -124,11 +128,11 @@ def scored(docs: DataFrame, model: FactorisationMachine) -> DataFrame:
         for batch in batches:
             raw, at = bytes_of(batch.column(batch.num_columns - 1))
             whole, declared = raw.tobytes(), batch.column(batch.num_columns - 2).to_pylist()
-            out = [machine.score(*features(whole[at[k] : at[k + 1]], declared[k], cache)) for k in range(batch.num_rows)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-2], pa.array(out, pa.float64())], names=[*batch.schema.names[:-2], "__quality"])
+            found = [machine.score(*features(whole[at[k] : at[k + 1]], declared[k], cache)) for k in range(batch.num_rows)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-2], pa.array(found, pa.float64())], names=[*batch.schema.names[:-2], out])
 
-    schema = docs.withColumn("__quality", F.lit(0.0)).schema
-    return docs.withColumns({"__declared": meta, "__text": F.col("text")}).mapInArrow(score, schema)
+    schema = docs.withColumn(out, F.lit(0.0)).schema
+    return docs.withColumns({free(docs, "__declared"): meta, free(docs, "__text"): F.col("text")}).mapInArrow(score, schema)
 
 
 def trained(spark, sf_dir: str) -> FactorisationMachine:
@@ -149,4 +153,5 @@ def op1_quality(spark, sf_dir: str) -> DataFrame:
 
 def keep_good(docs: DataFrame, model: FactorisationMachine, threshold: float = 0.3) -> DataFrame:
     """The rows of docs that the model does not reject, with all their columns."""
-    return scored(docs, model).filter(F.col("__quality") >= threshold).select(*docs.columns)
+    out = free(docs, "__quality")
+    return scored(docs, model, out).filter(F.col(out) >= threshold).select(*docs.columns)
