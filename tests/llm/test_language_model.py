@@ -3,9 +3,10 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pytest
 
 from tests.llm.helpers import SCHEMA, awkward, empty
-from widelog.llm import kneser_ney
+from widelog.llm import common, kneser_ney
 from widelog.llm.kneser_ney import op7_kneser_ney, scores, train
 
 START, END = "<start>", "<end>"
@@ -79,3 +80,22 @@ def test_nothing_to_learn_from(spark):
     docs = spark.createDataFrame([(1, "some words", "en", "s", 1)], SCHEMA)
     row = scores(docs, model, "doc_id", "text").first()
     assert (row["n_tokens"], row["n_known"], row["base_score"], row["score"]) == (3, 0, 0.0, 0.0)
+
+
+def test_missing_file_is_an_error(tmp_path):
+    np.save(tmp_path / "words-0.npy", np.array([3, 5], np.uint64))
+    look = kneser_ney.Lookup(str(tmp_path), "words", frozenset({0, 2}))
+    assert look.find(np.array([3, 4], np.uint64), np.array([0, 0]))[1].tolist() == [True, False]
+    assert look.find(np.array([3], np.uint64), np.array([1]))[1].tolist() == [False]
+    with pytest.raises(FileNotFoundError):
+        look.find(np.array([3], np.uint64), np.array([2]))
+
+
+def test_shards_follow_the_size(spark, small, monkeypatch):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    assert common.shards_for(docs, "text") == 4
+    monkeypatch.setattr(common, "SHARD_BYTES", 10_000)
+    assert common.shards_for(docs, "text") > 20
+    rows = {r["doc_id"]: r["score"] for r in op7_kneser_ney(spark, small).collect()}
+    monkeypatch.undo()
+    assert all(abs(rows[r["doc_id"]] - r["score"]) < 1e-6 for r in op7_kneser_ney(spark, small).collect())

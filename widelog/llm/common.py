@@ -165,33 +165,19 @@ def within(counts: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - counts, counts)
 
 
-def landing(n: int) -> list[int]:
-    """For each of n shuffle partitions an int that Spark's hash partitioning sends there."""
+#: Bytes of text for each shard at most, where shards are made for a whole table.
+SHARD_BYTES = 32 << 20
 
-    def murmur(x: int) -> int:
-        def rot(a: int, r: int) -> int:
-            return (a << r | a >> (32 - r)) & 0xFFFFFFFF
 
-        k = rot(x * 0xCC9E2D51 & 0xFFFFFFFF, 15) * 0x1B873593 & 0xFFFFFFFF
-        h = (rot(42 ^ k, 13) * 5 + 0xE6546B64) & 0xFFFFFFFF
-        h ^= 4
-        h = (h ^ h >> 16) * 0x85EBCA6B & 0xFFFFFFFF
-        h = (h ^ h >> 13) * 0xC2B2AE35 & 0xFFFFFFFF
-        h ^= h >> 16
-        return h - (1 << 32) if h >> 31 else h
-
-    found: dict[int, int] = {}
-    x = 0
-    while len(found) < n:
-        found.setdefault(murmur(x) % n, x)
-        x += 1
-    return [found[k] for k in range(n)]
+def shards_for(rows: DataFrame, text: str) -> int:
+    """How many shards a table's texts take: as many as shuffle partitions, more where those would hold more than SHARD_BYTES each."""
+    size = rows.agg(F.sum(F.octet_length(text)).alias("n")).first()["n"] or 0
+    return max(partitions(rows.sparkSession), -(-size // SHARD_BYTES))
 
 
 def dealt(df: DataFrame, n: int) -> DataFrame:
     """(shard, payload) rows with shard k of n in partition k: every task reads one shard."""
-    keys = F.array(*[F.lit(k) for k in landing(n)])
-    return df.withColumn("__to", F.get(keys, F.col("shard"))).repartition(n, "__to").sortWithinPartitions("shard").drop("__to")
+    return df.repartitionById(n, F.col("shard")).sortWithinPartitions("shard")
 
 
 def by_key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -11,7 +11,8 @@ Training makes three passes over packed, pre-summed counts, each dealt to shards
 
 The arrays lie as plain files in the shared folder, which must be mounted; workers map them into memory and look up
 sorted, distinct keys, so lookups walk each file in order. What a worker holds besides does not grow with the
-corpus. The model's files are removed once scores are written.
+corpus, since the number of shards does. A file that was written and is not there is an error. The model's files are removed once
+scores are written, or when the job fails.
 
 Words are maximal runs of bytes other than \\x09-\\x0D and \\x20 with A-Z in lower case; each text ends in one end
 token. The context of the first token is the start of text. A null or empty text is its end token alone. Words
@@ -25,6 +26,7 @@ from __future__ import annotations
 import os
 import shutil
 import uuid
+from collections import OrderedDict
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,12 +34,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHash, by_shard, dealt, fold, mix, mounted, packed, partitions, runs, saved, shared_folder, totals, unpacked, written
+from .common import WordHash, by_shard, dealt, dropped, fold, mix, mounted, packed, runs, saved, shards_for, shared_folder, totals, unpacked, written
 
 HASH = WordHash()
 END = np.uint64(0x5EED0E4D00000001)
 #: Tokens that are summed up before they are sent on.
 BUFFER = 500_000
+#: Files that one worker keeps mapped at a time, by kind.
+OPEN_FILES = 1024
 #: Rows are (shard, payload) between stages; a payload is one packed set of arrays.
 SENT = "shard int, payload binary"
 
@@ -64,15 +68,25 @@ def sent(shard: np.ndarray, *arrays: np.ndarray) -> Iterator[pa.RecordBatch]:
 
 
 class Lookup:
-    """Sorted arrays in files, one by shard."""
+    """Sorted arrays in files, one by shard. Shards that were written must be there; the others hold nothing."""
 
-    def __init__(self, folder: str, kind: str, n: int):
-        self.parts = [f"{folder}/{kind}-{k}.npy" for k in range(n)]
-        self.open: dict[int, np.ndarray] = {}
+    def __init__(self, folder: str, kind: str, written_shards: frozenset[int]):
+        self.folder, self.kind, self.there = folder, kind, written_shards
+        self.open: OrderedDict[int, np.ndarray] = OrderedDict()
 
     def part(self, k: int) -> np.ndarray:
-        if k not in self.open:
-            self.open[k] = np.load(self.parts[k], mmap_mode="r") if os.path.exists(self.parts[k]) else np.zeros(0, np.uint64)
+        if k in self.open:
+            self.open.move_to_end(k)
+            return self.open[k]
+        if len(self.open) >= OPEN_FILES:
+            self.open.popitem(last=False)
+        if k in self.there:
+            path = f"{self.folder}/{self.kind}-{k}.npy"
+            if not os.path.exists(path):
+                raise FileNotFoundError(f"{path} was written and is not there; spark.checkpoint.dir has to be mounted on all nodes")
+            self.open[k] = np.load(path, mmap_mode="r")
+        else:
+            self.open[k] = np.zeros(0, np.uint64)
         return self.open[k]
 
     def find(self, keys: np.ndarray, shard: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -102,11 +116,16 @@ class Model:
     def __init__(self, folder: str, shards: int):
         self.folder, self.shards = folder, shards
         self.offsets = np.zeros(shards + 1, np.int64)
+        #: Shards written, by kind of array.
+        self.there: dict[str, frozenset[int]] = {}
         self.tokens = 0
         self.pair_discounts = self.word_discounts = np.zeros(4)
         self.pair_kinds = 0
         self.word_spare = 1.0
 
+    def lookup(self, kind: str) -> Lookup:
+        return Lookup(self.folder, kind, self.there[kind])
+
     @property
     def vocabulary(self) -> int:
         return int(self.offsets[-1])
@@ -169,6 +188,7 @@ def count_words(train: DataFrame, model: Model) -> None:
     for row in dealt(train.mapInArrow(count, SENT), n).mapInArrow(merge, "shard int, n long, total long").collect():  # one row a shard
         sizes[row["shard"]] = row["n"]
         model.tokens += row["total"]
+    model.there["words"] = model.there["counts"] = frozenset(np.flatnonzero(sizes).tolist())
     model.offsets = np.concatenate([[0], np.cumsum(sizes)])
     if model.vocabulary >= (1 << 32) - 2:
         raise ValueError("more distinct words than numbers")
@@ -186,7 +206,7 @@ def count_pairs(train: DataFrame, model: Model) -> DataFrame:
     n, folder = model.shards, model.folder
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Lookup(folder, "words", n)
+        words = model.lookup("words")
         for t, counts in buffered(batches, "t"):
             keys, c = np.unique(model.pair_keys(numbered(model, words, t)[0], counts), return_counts=True)
             shard = pair_shard(keys, n)
@@ -199,7 +219,7 @@ def count_pairs(train: DataFrame, model: Model) -> DataFrame:
             keys, counts = totals(keys, counts.astype(np.int64))
             saved(f"{folder}/pairs-{shard}.npy", keys)
             saved(f"{folder}/times-{shard}.npy", counts.astype(np.uint32))
-            yield pa.RecordBatch.from_pydict({"shard": [-1], "payload": [np.array([(counts == k).sum() for k in (1, 2, 3, 4)] + [len(counts)], np.int64).tobytes()]}, schema=pa.schema({"shard": pa.int32(), "payload": pa.binary()}))
+            yield pa.RecordBatch.from_pydict({"shard": [-1], "payload": [np.array([(counts == k).sum() for k in (1, 2, 3, 4)] + [shard], np.int64).tobytes()]}, schema=pa.schema({"shard": pa.int32(), "payload": pa.binary()}))
             del parts
             context, word = (keys >> np.uint64(32)).astype(np.uint32), keys.astype(np.uint32)
             first = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]]))  # keys are ordered by context
@@ -239,14 +259,19 @@ def merge_contexts(sums: DataFrame, model: Model) -> None:
             saved(f"{folder}/sums-{shard}.npy", table)
             met = table[:, 4]
             counts = [int((met == k).sum()) for k in (1, 2, 3, 4)] + [int((met > 2).sum()), int(met.sum())]
-            yield pa.RecordBatch.from_pydict({"counts": [counts]}, schema=pa.schema({"counts": pa.list_(pa.int64())}))
+            yield pa.RecordBatch.from_pydict({"shard": [shard], "counts": [counts]}, schema=pa.schema({"shard": pa.int32(), "counts": pa.list_(pa.int64())}))
 
-    pair_counts = np.zeros(5, np.int64)
+    pair_counts, there = np.zeros(4, np.int64), set()
     for row in sums.filter("shard < 0").collect():  # one row a shard
-        pair_counts += np.frombuffer(row["payload"], np.int64)
-    met = np.zeros(6, np.int64)
-    for row in dealt(sums.filter("shard >= 0"), n).mapInArrow(merge, "counts array<long>").collect():  # one row a shard
+        *counts, shard = np.frombuffer(row["payload"], np.int64).tolist()
+        pair_counts += counts
+        there.add(shard)
+    model.there["pairs"] = model.there["times"] = frozenset(there)
+    met, there = np.zeros(6, np.int64), set()
+    for row in dealt(sums.filter("shard >= 0"), n).mapInArrow(merge, "shard int, counts array<long>").collect():  # one row a shard
         met += np.array(row["counts"])
+        there.add(row["shard"])
+    model.there["sums"] = frozenset(there)
     model.pair_discounts, model.word_discounts = discounts(pair_counts), discounts(met)
     model.pair_kinds = int(met[5])
     d = model.word_discounts
@@ -255,11 +280,17 @@ def merge_contexts(sums: DataFrame, model: Model) -> None:
 
 def train(docs: DataFrame, text: str) -> Model:
     spark = docs.sparkSession
-    model = Model(f"{mounted(shared_folder(spark))}/kneser-ney-{uuid.uuid4().hex}", partitions(spark))
-    os.makedirs(model.folder)
     rows = docs.select(F.col(text).alias("t"))
-    count_words(rows, model)
-    merge_contexts(written(count_pairs(rows, model), "sums"), model)
+    model = Model(f"{mounted(shared_folder(spark))}/kneser-ney-{uuid.uuid4().hex}", shards_for(rows, "t"))
+    os.makedirs(model.folder)
+    try:
+        count_words(rows, model)
+        sums = written(count_pairs(rows, model), "sums")
+        merge_contexts(sums, model)
+        dropped(sums)
+    except BaseException:
+        shutil.rmtree(model.folder, ignore_errors=True)
+        raise
     return model
 
 
@@ -268,8 +299,7 @@ def scores(docs: DataFrame, model: Model, key: str, text: str) -> DataFrame:
     names = ["doc_id", "n_tokens", "n_known", "base_score", "score"]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, counts_of = Lookup(model.folder, "words", model.shards), Lookup(model.folder, "counts", model.shards)
-        pairs, times, sums = (Lookup(model.folder, k, model.shards) for k in ("pairs", "times", "sums"))
+        words, counts_of, pairs, times, sums = map(model.lookup, ("words", "counts", "pairs", "times", "sums"))
         size, lowest = model.vocabulary, model.word_spare / (model.vocabulary + 1)
         d, u = model.pair_discounts, model.word_discounts
 
@@ -324,6 +354,8 @@ def op7_kneser_ney(spark, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     held_out = fold("doc_id", 7) == 2
     model = train(docs.filter(~held_out), "text")
-    out = written(scores(docs, model, "doc_id", "text"), "scores")
-    shutil.rmtree(model.folder)
+    try:
+        out = written(scores(docs, model, "doc_id", "text"), "scores")
+    finally:
+        shutil.rmtree(model.folder)
     return out.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import CHUNK, WordHash, by_shard, bytes_of, dealt, landing, mix, mounted, packed, partitions, runs, saved, shared_folder, totals, unpacked, within, written
+from .common import CHUNK, WordHash, by_shard, bytes_of, dealt, mix, mounted, packed, runs, saved, shards_for, shared_folder, totals, unpacked, within, written
 from .kneser_ney import SENT, Lookup, range_of, sent
 from .suffix_array import suffixes
 
@@ -85,8 +85,8 @@ def anchor_shard(anchor: np.ndarray, n: int) -> np.ndarray:
     return range_of(anchor << np.uint64(64 - ANCHOR_BITS), n)
 
 
-def shared_anchors(rows: DataFrame, folder: str, n: int) -> None:
-    """Files of the anchors that occur in two documents or more."""
+def shared_anchors(rows: DataFrame, folder: str, n: int) -> frozenset[int]:
+    """Writes files of the anchors that occur in two documents or more; which shards have one."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -115,9 +115,9 @@ def shared_anchors(rows: DataFrame, folder: str, n: int) -> None:
             anchor, times = (np.concatenate(x) for x in zip(*map(unpacked, parts), strict=True))
             anchor, times = totals(anchor, times.astype(np.int64))
             saved(f"{folder}/anchors-{shard}.npy", anchor[times > 1])
-            yield pa.RecordBatch.from_pydict({"n": [int((times > 1).sum())]})
+            yield pa.RecordBatch.from_pydict({"shard": [shard]}, schema=pa.schema({"shard": pa.int32()}))
 
-    dealt(rows.mapInArrow(count, SENT), n).mapInArrow(merge, "n long").agg(F.sum("n")).collect()
+    return frozenset(r["shard"] for r in dealt(rows.mapInArrow(count, SENT), n).mapInArrow(merge, "shard int").collect())  # one row a shard
 
 
 def gathered(raw: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -139,11 +139,11 @@ def opened(payload: bytes) -> tuple[list[np.ndarray], bytes]:
     return unpacked(payload[8:cut]), zstandard.ZstdDecompressor().decompress(payload[cut:])
 
 
-def stretches_sent(rows: DataFrame, folder: str, n: int, shards: int) -> DataFrame:
+def stretches_sent(rows: DataFrame, folder: str, there: frozenset[int], n: int, shards: int) -> DataFrame:
     """(shard, payload): stretches whose anchors are shared, with document, offset and length."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        anchors = Lookup(folder, "anchors", n)
+        anchors = Lookup(folder, "anchors", there)
         for batch, raw, at in runs(batches, "t", 2 * CHUNK):
             anchor, begin, end = stretches(raw, at)
             keys, back = np.unique(anchor, return_inverse=True)
@@ -164,7 +164,7 @@ def stretches_sent(rows: DataFrame, folder: str, n: int, shards: int) -> DataFra
     return rows.mapInArrow(send, SENT)
 
 
-def repeated_windows(texts: list[bytes], least: np.ndarray, budget: int = QUEUE_BYTES) -> tuple[np.ndarray, np.ndarray]:
+def repeated_windows(texts: list[bytes], least: np.ndarray, folder: str | None = None, budget: int = QUEUE_BYTES) -> tuple[np.ndarray, np.ndarray]:
     """(text, begin) of windows that some text of a smaller id has too, by the texts' suffix array."""
     size = np.array([len(t) for t in texts])
     ends = np.cumsum(size)
@@ -204,12 +204,12 @@ def repeated_windows(texts: list[bytes], least: np.ndarray, budget: int = QUEUE_
         if cut < len(position):
             tail.append((position[cut:], ~fresh[cut:]))
 
-    suffixes(np.frombuffer(b"".join(texts), np.uint8), ends, WIDTH, sink, budget=budget)
+    suffixes(np.frombuffer(b"".join(texts), np.uint8), ends, WIDTH, sink, folder, budget)
     closed(True)
     return np.concatenate([*hit_text, np.zeros(0, np.int64)]), np.concatenate([*hit_at, np.zeros(0, np.int64)])
 
 
-def covered(anchor: np.ndarray, doc: np.ndarray, offset: np.ndarray, size: np.ndarray, text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def covered(anchor: np.ndarray, doc: np.ndarray, offset: np.ndarray, size: np.ndarray, text: bytes, folder: str | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(document, begin, end) of what repeated windows cover, of all stretches of some whole anchors, ordered by anchor."""
     ends = np.cumsum(size)
     known: dict[bytes, int] = {}
@@ -234,7 +234,7 @@ def covered(anchor: np.ndarray, doc: np.ndarray, offset: np.ndarray, size: np.nd
     while a < len(first):
         b = max(a + 1, int(np.searchsorted(np.cumsum(filled[a:]), SYMBOLS_AT_ONCE, "right")) + a)
         some = order[first[a] : first[b] if b < len(first) else len(order)]
-        t, w = repeated_windows([texts[k] for k in some], least[some])
+        t, w = repeated_windows([texts[k] for k in some], least[some], folder)
         hit_text.append(some[t])
         hit_at.append(w)
         a = b
@@ -260,7 +260,7 @@ def doc_shard(doc: np.ndarray, n: int) -> np.ndarray:
     return (doc ^ (doc >> 15) ^ (doc >> 31)) % n
 
 
-def spans_found(sent_rows: DataFrame, n: int, shards: int) -> DataFrame:
+def spans_found(sent_rows: DataFrame, folder: str, n: int, shards: int) -> DataFrame:
     """(shard, payload): spans by shards of documents."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -281,7 +281,7 @@ def spans_found(sent_rows: DataFrame, n: int, shards: int) -> DataFrame:
                 while b < len(order) and not edge[b]:
                     b += 1
                 some = order[a:b]
-                got = covered(anchor[some], doc[some], offset[some].astype(np.int64), size[some].astype(np.int64), gathered(text, begin[some], size[some]).tobytes())
+                got = covered(anchor[some], doc[some], offset[some].astype(np.int64), size[some].astype(np.int64), gathered(text, begin[some], size[some]).tobytes(), folder)
                 a = b
                 shard = doc_shard(got[0], n)
                 order_out = np.lexsort((got[1], got[0], shard))
@@ -294,11 +294,10 @@ def spans_found(sent_rows: DataFrame, n: int, shards: int) -> DataFrame:
 def cut(rows: DataFrame, spans: DataFrame, n: int) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
     doc = F.col("doc")
-    shard = F.coalesce(F.pmod(doc.bitwiseXOR(F.shiftright(doc, 15)).bitwiseXOR(F.shiftright(doc, 31)), F.lit(n)), F.lit(0)).cast("int")
+    shard = F.coalesce(F.pmod(doc.bitwiseXOR(F.shiftright(doc, 15)).bitwiseXOR(F.shiftright(doc, 31)), F.lit(n)), F.pmod(F.xxhash64("t"), F.lit(n))).cast("int")  # rows without an id have no spans to meet
     texts = rows.select(shard.alias("shard"), F.lit(1).alias("kind"), "doc", "t", F.lit(None).cast("binary").alias("payload"))
     told = spans.select("shard", F.lit(0).alias("kind"), F.lit(None).cast("long").alias("doc"), F.lit(None).cast("string").alias("t"), "payload")
-    keys = F.array(*[F.lit(k) for k in landing(n)])
-    met = texts.unionByName(told).withColumn("to", F.get(keys, F.col("shard"))).repartition(n, "to").sortWithinPartitions("kind").drop("to", "shard")
+    met = texts.unionByName(told).repartitionById(n, F.col("shard")).sortWithinPartitions("kind").drop("shard")
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -344,15 +343,16 @@ def cut(rows: DataFrame, spans: DataFrame, n: int) -> DataFrame:
 
 def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row for each row of docs: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
-    spark = docs.sparkSession
-    n = partitions(spark)
-    folder = f"{mounted(shared_folder(spark))}/anchors-{uuid.uuid4().hex}"
-    os.makedirs(folder)
+    folder = f"{mounted(shared_folder(docs.sparkSession))}/anchors-{uuid.uuid4().hex}"
     rows = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("t"))
     some = rows.filter("doc is not null")
-    shared_anchors(some, folder, n)
-    spans = written(spans_found(stretches_sent(some, folder, n, 2 * n), n, 2 * n), "spans")
-    shutil.rmtree(folder)
+    n = shards_for(some, "t")
+    os.makedirs(folder)
+    try:
+        there = shared_anchors(some, folder, n)
+        spans = written(spans_found(stretches_sent(some, folder, there, n, 2 * n), folder, n, 2 * n), "spans")
+    finally:
+        shutil.rmtree(folder)
     return cut(rows, spans, n)
 
 
