@@ -4,7 +4,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from widelog.operators.merge import merge_elements, merge_on_read, union_runs
+from widelog.operators.merge import merge_elements, merge_on_read, swept, union_runs
 from widelog.spec import LAST_MODIFIED, TableSpec
 
 SPEC = TableSpec.of("t", {"p": "int"}, {"c": "int"}, {"x": "int", "y": "text"}, {"s": "text"})
@@ -75,14 +75,14 @@ write = st.tuples(small, small, st.one_of(st.none(), small), st.one_of(st.none()
 delete = st.tuples(small, small, st.none(), st.none(), st.none(), st.integers(1, 12).map(lambda k: k * 90_000_000), st.sampled_from(["delete_row", "delete_partition", "delete_range"]), st.none(), st.none(), st.one_of(st.none(), small), st.one_of(st.none(), small))
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.one_of(write, write, write, delete), max_size=25))
 def test_any_log(spark, log):
     log = [(*r[:1], None if r[6] == "delete_partition" or r[6] == "delete_range" else r[1], *r[2:]) for r in log]
     assert merged(spark, log) == brute(log)
 
 
-def test_many_random_logs_at_once(spark):
+def random_log():
     rng = random.Random(4)
     log = []
     for _ in range(4000):
@@ -92,7 +92,73 @@ def test_many_random_logs_at_once(spark):
         low, high = (rng.choice([None, 1, 2]), rng.choice([None, 4, 5])) if op == "delete_range" else (None, None)
         value = op in ("insert", "update", "delete_columns")
         log.append((rng.randrange(200), key, rng.choice([None, 1, 2, 3]) if value else None, rng.choice([None, "a", "b"]) if value else None, rng.choice([None, "u", "v"]) if value else None, rng.randrange(1, 10**9), op, rng.choice([None, None, 300, 900]) if value else None, sets if value else None, low, high))
-    assert merged(spark, log) == brute(log)
+    return log
+
+
+def test_many_random_logs_at_once(spark):
+    assert merged(spark, random_log()) == brute(random_log())
+
+
+def test_source_merges_by_the_same_rules(spark, tmp_path):
+    """The same log dealt to three paths of sorted runs, through the table source."""
+    from pyspark.sql import functions as F
+
+    from widelog.sources.datasource import register
+    from widelog.sources.write import write_log
+
+    log = random_log()
+    for k in range(3):
+        write_log(spark.createDataFrame(log[k::3], LOG), SPEC, f"file://{tmp_path}/{k}", 3)
+    ddl = "CREATE TABLE ks.t (p int, c int, s text static, x int, y text, PRIMARY KEY (p, c));"
+    load = lambda **more: register(spark).read.format("widelog").options(ddl=ddl, paths=",".join(f"file://{tmp_path}/{k}" for k in range(3)), now=NOW, default_parallelism=4, **more).load()
+    df = load(lastModifiedTimestamp="true")
+    assert df.columns == ["p", "c", "s", "x", "y", LAST_MODIFIED]
+    want = brute(log)
+    assert {tuple(r) for r in df.withColumn(LAST_MODIFIED, F.unix_micros(LAST_MODIFIED)).collect()} == want
+    assert {tuple(r) for r in load().filter("p = 7").collect()} == {r[:5] for r in want if r[0] == 7}
+    assert {tuple(r) for r in load(columns="p,y").filter("p in (3, 4)").collect()} == {(r[0], r[4]) for r in want if r[0] in (3, 4)}
+
+
+def test_sweep_of_ranges():
+    rng = random.Random(1)
+    for _ in range(500):
+        given = sorted(((rng.choice([None, *range(8)]), rng.choice([None, *range(10)]), rng.randint(1, 5)) for _ in range(rng.randint(0, 6))), key=lambda r: (r[0] is not None, r[0] or 0))
+        out = list(swept(given))
+        cover = lambda ranges, x: [t for a, b, t in ranges if (a is None or x >= a) and (b is None or x < b)]
+        assert len(out) <= 2 * len(given) and all(cover(out, x) == sorted(cover(given, x))[-1:] for x in range(-1, 12))
+
+
+def test_hot_partition_with_many_ranges(spark):
+    """100,000 rows and 10,000 range deletes of one partition: no row meets all ranges."""
+    import time
+
+    from pyspark.sql import functions as F
+
+    rows = spark.range(100_000).select(F.lit(1).alias("p"), F.col("id").cast("int").alias("c"), F.lit(1).alias("x"), F.lit(5).cast("long").alias("_writetime"), F.lit("insert").alias("_op"))
+    gone = spark.range(10_000).select(F.lit(1).alias("p"), (F.col("id") * 10).cast("int").alias("_from"), (F.col("id") * 10 + 4).cast("int").alias("_to"), F.lit(9).cast("long").alias("_writetime"), F.lit("delete_range").alias("_op"))
+    began = time.time()
+    assert merge_on_read(union_runs(rows, gone), SPEC, NOW).count() == 60_000
+    assert time.time() - began < 60
+
+
+@pytest.mark.parametrize("spec", [SPEC, TableSpec.of("t", {"p": "int"}, {"c": "int"}, {"x": "int"})])
+def test_rows_are_shuffled_once(spark, tmp_path, spec):
+    path = str(tmp_path / "log")
+    spark.createDataFrame(random_log(), LOG).drop("_from", "_to").write.parquet(path)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = merge_on_read(spark.read.parquet(path), spec, NOW)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("FileScan parquet") == 1
+
+
+def test_clashing_names(spark):
+    spec = TableSpec.of("t", {"_row": "int"}, {"_gone": "int"}, {"_cells": "int", "_marker": "text"}, {"_static": "text", "_deleted": "int"})
+    log = spark.createDataFrame([(1, 2, 3, "a", "s", 4, 10), (1, 2, 5, None, None, None, 20)], "_row int, _gone int, _cells int, _marker string, _static string, _deleted int, _writetime long")
+    assert [tuple(r) for r in merge_on_read(log, spec).collect()] == [(1, 2, None, None, 5, None)]
+    with pytest.raises(ValueError):
+        merge_on_read(log.withColumnRenamed("_row", "__merge_row"), TableSpec.of("t", {"__merge_row": "int"}))
 
 
 def test_newer_columns_and_older_files(spark):

@@ -14,15 +14,21 @@ and still hides older ones. A row is there if a write that was an insert left a
 is live. Static columns belong to the partition and are repeated on its rows; a partition with nothing but static cells
 reads as one row without a clustering key.
 
-The row part takes one shuffle by partition key: aggregates are partial, and the joins on the partition key reuse that
-partitioning. Unused columns' aggregates and reads are pruned. Filters on key columns go below the merge, others stay above it.
+The log is read once and shuffled once, by partition key: rows are grouped within that partitioning, and what the partition says for
+all of them - its deletes, static columns and range deletes - reaches them by windows over it. Range deletes are first cut into ranges
+that don't overlap, by a sweep, so a row meets one of them at most. A partition's rows are sorted in one task, which
+spills. Filters on the partition key go below the merge, others stay above it. Table columns may have any name that
+doesn't begin with "__merge".
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
+from heapq import heappop, heappush
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -72,15 +78,28 @@ def order_of(value: Column, kind: T.DataType) -> Column:
     return F.array_sort(F.map_entries(value)) if isinstance(kind, T.MapType) else value
 
 
+def sets(name: str) -> Column:
+    """Whether a write sets a column."""
+    return (F.col(SET).isNull() & F.col(OP).isin(*WRITES)) | F.array_contains(F.col(SET), name)
+
+
+def rank_of(log: DataFrame, name: str, spec: TableSpec) -> Column:
+    """What the newest write of a column is the largest by; null for writes that don't set it."""
+    value = col(name)
+    deletes = (F.col(OP) == "delete_columns") | value.isNull()
+    return F.when(sets(name), F.struct(F.col(WRITETIME).alias("at"), deletes.alias("gone"), order_of(value, log.schema[name].dataType).alias("value"), expiry(spec).alias("until")))
+
+
 def newest(log: DataFrame, name: str, spec: TableSpec) -> Column:
     """struct<at, until, gone, value> of the newest write that sets a column; null if none does."""
     value = col(name)
-    kind = log.schema[name].dataType
     deletes = (F.col(OP) == "delete_columns") | value.isNull()
-    sets = (F.col(SET).isNull() & F.col(OP).isin(*WRITES)) | F.array_contains(F.col(SET), name)
     cell = F.struct(F.col(WRITETIME).alias("at"), expiry(spec).alias("until"), deletes.alias("gone"), value.alias("value"))
-    rank = F.struct(F.col(WRITETIME), deletes, order_of(value, kind), expiry(spec))
-    return F.max_by(F.when(sets, cell), F.when(sets, rank))
+    return F.max_by(F.when(sets(name), cell), rank_of(log, name, spec))
+
+
+def newest_rank(log: DataFrame, name: str, spec: TableSpec) -> Column:
+    return F.max(rank_of(log, name, spec))
 
 
 def live(cell: Column, deleted: Column, now: int) -> Column:
@@ -89,22 +108,66 @@ def live(cell: Column, deleted: Column, now: int) -> Column:
     return F.coalesce(ok, F.lit(False))
 
 
-def partition_deletes(log: DataFrame, spec: TableSpec) -> DataFrame:
-    return log.filter(F.col(OP) == "delete_partition").groupBy(*map(col, spec.partition_key)).agg(F.max(WRITETIME).alias("_gone"))
-
-
-def range_deleted(rows: DataFrame, log: DataFrame, spec: TableSpec) -> DataFrame:
-    """rows with _range: when the last range delete that covers each was written.
-
-    Ranges meet rows by partition key and bounds; keys of rows, not rows, pass the aggregate.
-    """
-    first = col(spec.clustering_key[0])
-    ranges = log.filter(F.col(OP) == "delete_range").select(*[col(k).alias(f"_r{i}") for i, k in enumerate(spec.partition_key)], FROM, TO, F.col(WRITETIME).alias("_at"))
-    on = reduce(lambda a, b: a & b, [col(k) == F.col(f"_r{i}") for i, k in enumerate(spec.partition_key)])
-    inside = (F.col(FROM).isNull() | (first >= F.col(FROM))) & (F.col(TO).isNull() | (first < F.col(TO)))
-    keys = [col(k) for k in spec.primary_key]
-    hit = rows.select(*keys).join(ranges, on & inside).groupBy(*keys).agg(F.max("_at").alias("_range"))
-    return rows.join(hit, spec.primary_key, "left")
+def swept(ranges: list[tuple[object, object, int]]) -> Iterator[tuple[object, object, int]]:
+    """Ranges (from, to, at) in order of from, null first, as ranges that don't overlap, each with the last time that covers it."""
+    active: list[tuple[int, int, object]] = []  # by falling time
+    at: object = None
+    low_open = True  # the place reached is before all values
+
+    def until(stop: object, none: bool) -> Iterator[tuple[object, object, int]]:
+        """What the active ranges cover from the place reached to stop, or to the end if none."""
+        nonlocal at, low_open
+        while active:
+            _, _, end = active[0]
+            if end is not None and not low_open and end <= at:
+                heappop(active)
+                continue
+            to = end if none or (end is not None and end < stop) else stop
+            if low_open or to is None or at < to:
+                yield (None if low_open else at, to, -active[0][0])
+            if to is None or (not none and to == stop):
+                if to is None:
+                    active.clear()
+                return
+            at, low_open = to, False
+
+    for k, (start, end, time) in enumerate(ranges):
+        if start is not None:
+            yield from until(start, False)
+            at, low_open = start, False
+        if end is None or start is None or start < end:
+            heappush(active, (-time, k, end))
+    yield from until(None, True)
+
+
+def range_segments(log: DataFrame, spec: TableSpec) -> DataFrame:
+    """(partition key, _from, _to, _writetime) of range deletes that don't overlap, a row for each stretch and the last delete that covers it."""
+    keys = [col(k) for k in spec.partition_key]
+    some = log.filter(F.col(OP) == "delete_range").select(*keys, FROM, TO, F.col(WRITETIME).cast("long").alias(WRITETIME))
+    names, width = some.columns, len(keys)
+
+    def sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held_key, held, schema = None, [], None
+
+        def out() -> Iterator[pa.RecordBatch]:
+            found = list(swept(held))
+            if found:
+                columns = [[x] * len(found) for x in held_key] + [list(c) for c in zip(*found, strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], names=names)
+
+        for batch in batches:
+            schema = batch.schema
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                key, rest = row[:width], row[width:]
+                if key != held_key:
+                    if held:
+                        yield from out()
+                    held_key, held = key, []
+                held.append(rest)
+        if held:
+            yield from out()
+
+    return some.repartition(*keys).sortWithinPartitions(*keys, FROM).mapInArrow(sweep, some.schema)
 
 
 def merge_on_read(log: DataFrame, spec: TableSpec, now: int = 0, columns: list[str] | None = None, features: tuple[str, ...] = (), ranges: bool | None = None, last_modified: str = LAST_MODIFIED, **marks: str) -> DataFrame:
@@ -114,48 +177,70 @@ def merge_on_read(log: DataFrame, spec: TableSpec, now: int = 0, columns: list[s
     live regular cells, else of its marker and its partition's static cells, named last_modified. ranges: whether the log has range deletes;
     by default it may if it has a column _from. marks: _writetime="ts" and the like name a log's own columns.
     """
+    if clash := [n for n in spec.names if n.startswith("__merge")]:
+        raise ValueError(f"columns {clash} have names that a merge uses itself")
     log = completed(log, spec, marks)
     if ranges is None:
-        ranges = FROM in log.columns and bool(spec.clustering_key)
-    keys = spec.primary_key
+        ranges = FROM in log.columns
+    ranges = ranges and bool(spec.clustering_key)
+    partition, clustering = spec.partition_key, spec.clustering_key
     kept = [c.name for c in spec.columns if columns is None or c.name in columns]
     modified = LAST_MODIFIED in features
-    regulars = spec.regulars  # unused ones are pruned where no one asks whether the row lives
+    every = lambda names: reduce(lambda a, b: a & b, [col(k).isNotNull() for k in names])
+
+    said = log.filter(every(partition))
+    if ranges:
+        said = said.filter(F.col(OP) != "delete_range")
     marker = F.struct(F.col(WRITETIME).alias("at"), expiry(spec).alias("until"), F.lit(False).alias("gone"))
     inserts = F.col(OP) == "insert"
-    has_keys = reduce(lambda a, b: a & b, [col(k).isNotNull() for k in keys])
-    row_log = log.filter(F.col(OP).isin(*WRITES, "delete_row", "delete_columns") & has_keys)
-    rows = row_log.groupBy(*map(col, keys)).agg(
-        *[newest(log, n, spec).alias(n) for n in regulars],
-        F.max_by(F.when(inserts, marker), F.when(inserts, F.struct(F.col(WRITETIME), expiry(spec)))).alias("_marker"),
-        F.max(F.when(F.col(OP) == "delete_row", F.col(WRITETIME))).alias("_row"),
+    if clustering:  # a write without a whole clustering key is about the partition only
+        said = said.withColumns({k: F.when(every(clustering), col(k)) for k in clustering})
+    rows = said.repartition(*map(col, partition)).groupBy(*map(col, spec.primary_key)).agg(
+        *[newest(log, n, spec).alias(n) for n in spec.regulars],
+        *[F.struct(newest(log, n, spec).alias("cell"), newest_rank(log, n, spec).alias("rank")).alias(n) for n in spec.statics],
+        F.max_by(F.when(inserts, marker), F.when(inserts, F.struct(F.col(WRITETIME), expiry(spec)))).alias("__merge_marker"),
+        F.max(F.when(F.col(OP) == "delete_row", F.col(WRITETIME))).alias("__merge_row"),
+        F.max(F.when(F.col(OP) == "delete_partition", F.col(WRITETIME))).alias("__merge_gone"),
     )
-    rows = rows.join(partition_deletes(log, spec), spec.partition_key, "left")
+    whole = Window.partitionBy(*map(col, partition))
+    shared = {"__merge_gone": F.max("__merge_gone").over(whole)}
+    shared |= {n: F.max_by(col(n)["cell"], col(n)["rank"]).over(whole) for n in spec.statics}
+    rows = rows.withColumns(shared)
     if ranges:
-        rows = range_deleted(rows, log, spec)
-    deleted = F.greatest(F.lit(NEVER), F.col("_row"), F.col("_gone"), *([F.col("_range")] if ranges else []))
-    rows = rows.withColumn("_deleted", deleted)
-    alive = {n: live(col(n), F.col("_deleted"), now) for n in regulars}
-    marked = live(F.col("_marker"), F.col("_deleted"), now)
-    rows = rows.filter(reduce(lambda a, b: a | b, [marked, *alive.values()]))
-    out = {n: F.when(alive[n], col(n)["value"]) for n in regulars}
-    times = [F.when(alive[n], col(n)["at"]) for n in regulars]
-    rows = rows.select(*map(col, keys), *[x.alias(n) for n, x in out.items()], (F.greatest(*times) if len(times) > 1 else times[0] if times else F.lit(None).cast("long")).alias("_cells"), F.when(marked, F.col("_marker")["at"]).alias("_inserted"))
-
+        first = clustering[0]
+        segments = range_segments(log, spec).select(*map(col, partition), F.col(FROM).alias(first), F.struct(TO, WRITETIME).alias("__merge_segment"))
+        inorder = whole.orderBy(col(first).asc_nulls_first(), F.col("__merge_segment").isNull())
+        met = rows.withColumn("__merge_a_row", F.lit(True)).unionByName(segments, allowMissingColumns=True)
+        last = F.last("__merge_segment", ignorenulls=True).over(inorder)
+        rows = met.withColumn("__merge_segment", last).filter("__merge_a_row").drop("__merge_a_row")
+        covered = F.col("__merge_segment")[TO].isNull() | (col(first) < F.col("__merge_segment")[TO])
+        ended = F.when(covered, F.col("__merge_segment")[WRITETIME])
+    deleted = F.greatest(F.lit(NEVER), F.col("__merge_row"), F.col("__merge_gone"), *([ended] if ranges else []))
+    rows = rows.withColumn("__merge_deleted", deleted)
+    a_row = every(clustering) if clustering else F.lit(True)
+    alive = {n: live(col(n), F.col("__merge_deleted"), now) for n in spec.regulars}
+    marked = live(F.col("__merge_marker"), F.col("__merge_deleted"), now)
+    rows = rows.withColumn("__merge_live", a_row & reduce(lambda a, b: a | b, [marked, *alive.values()]))
+    there = {n: live(col(n), F.coalesce("__merge_gone", F.lit(NEVER)), now) for n in spec.statics}
     if spec.statics:
-        parts = log.filter(F.col(OP).isin(*WRITES, "delete_columns")).groupBy(*map(col, spec.partition_key)).agg(*[newest(log, n, spec).alias(n) for n in spec.statics])
-        parts = parts.join(partition_deletes(log, spec), spec.partition_key, "left").withColumn("_deleted", F.coalesce("_gone", F.lit(NEVER)))
-        there = {n: live(col(n), F.col("_deleted"), now) for n in spec.statics}
-        parts = parts.filter(reduce(lambda a, b: a | b, there.values()))
-        times = [F.when(x, col(n)["at"]) for n, x in there.items()]
-        parts = parts.select(*map(col, spec.partition_key), *[F.when(there[n], col(n)["value"]).alias(n) for n in spec.statics], (F.greatest(*times) if len(times) > 1 else times[0]).alias("_static"))
-        rows = rows.join(parts, spec.partition_key, "full")
+        # a partition of nothing but live static cells shows as one row
+        number = F.row_number().over(whole.orderBy(*map(col, clustering or partition)))
+        rows = rows.withColumns({"__merge_number": number, "__merge_any": F.max("__merge_live").over(whole)})
+        lone = ~F.col("__merge_any") & (F.col("__merge_number") == 1) & reduce(lambda a, b: a | b, there.values())
+        rows = rows.filter(F.col("__merge_live") | lone)
     else:
-        rows = rows.withColumn("_static", F.lit(None).cast("long"))
-    shown = [col(n) for n in kept]
+        rows = rows.filter("__merge_live")
+    shown_row = F.col("__merge_live")
+    out = {k: col(k) for k in partition} | {k: F.when(shown_row, col(k)) for k in clustering}
+    out |= {n: F.when(there[n], col(n)["value"]) for n in spec.statics} | {n: F.when(shown_row & alive[n], col(n)["value"]) for n in spec.regulars}
+    if not spec.statics:
+        out |= {k: col(k) for k in clustering}
+    shown = [out[n].alias(n) for n in kept]
     if modified:
-        last = F.coalesce("_cells", F.greatest("_static", "_inserted"))
-        shown.append(F.timestamp_micros(last).alias(last_modified))
+        newest_of = lambda times: F.greatest(*times) if len(times) > 1 else times[0] if times else F.lit(None).cast("long")
+        cells = newest_of([F.when(shown_row & alive[n], col(n)["at"]) for n in spec.regulars])
+        others = newest_of([F.when(there[n], col(n)["at"]) for n in spec.statics] + [F.when(shown_row & marked, F.col("__merge_marker")["at"])])
+        shown.append(F.timestamp_micros(F.coalesce(cells, others)).alias(last_modified))
     return rows.select(*shown)
 
 

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
+import threading
 import time
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 from typing import Protocol
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.convert import converted, write_time
 from ..functions.tokens import MAX_TOKEN, MIN_TOKEN, key_bytes, murmur3_token
@@ -24,13 +28,10 @@ INSERT, DELETE_PARTITION = "INSERT", "DELETE_PARTITION"
 # Options of a write with their defaults.
 DEFAULTS: dict[str, object] = {
     "BULK_WRITER_CL": DEFAULT_WRITE,
-    "COMMIT_BATCH_SIZE": 10_000,
-    "COMMIT_THREADS_PER_INSTANCE": 2,
     "COORDINATED_WRITE_CONFIG": None,
     "DATA_TRANSPORT": "DIRECT",
     "DIGEST": "XXHASH32",
     "JOB_ID": None,
-    "JOB_KEEP_ALIVE_MINUTES": 30,
     "JOB_TIMEOUT_SECONDS": -1,
     "KEYSPACE": None,
     "LOCAL_DC": None,
@@ -46,10 +47,20 @@ DEFAULTS: dict[str, object] = {
 }
 
 
+# Options of the remote protocol, which files don't have. They are refused, so that nobody counts on them.
+REFUSED = frozenset(
+    "COMMIT_BATCH_SIZE COMMIT_THREADS_PER_INSTANCE JOB_KEEP_ALIVE_MINUTES SIDECAR_CONTACT_POINTS SIDECAR_PORT SIDECAR_REQUEST_RETRIES KEYSTORE_PATH KEYSTORE_PASSWORD "
+    "KEYSTORE_BASE64_ENCODED KEYSTORE_TYPE TRUSTSTORE_PATH TRUSTSTORE_PASSWORD TRUSTSTORE_BASE64_ENCODED TRUSTSTORE_TYPE".split()
+)
+TRANSPORTS = ("DIRECT", "S3_COMPAT")
+
+
 def write_options(given: dict[str, object] | None = None) -> dict[str, object]:
     """Options with defaults; names in any case."""
     out = dict(DEFAULTS)
     for k, v in (given or {}).items():
+        if k.upper() in REFUSED:
+            raise ValueError(f"write option {k} belongs to a remote protocol and has no effect here")
         if k.upper() not in out:
             raise ValueError(f"unknown write option {k}")
         default = out[k.upper()]
@@ -60,6 +71,10 @@ def write_options(given: dict[str, object] | None = None) -> dict[str, object]:
         out[k.upper()] = v
     if out["WRITE_MODE"] not in (INSERT, DELETE_PARTITION):
         raise ValueError(f"unknown write mode {out['WRITE_MODE']}")
+    if out["DATA_TRANSPORT"] not in TRANSPORTS:
+        raise ValueError(f"unknown transport {out['DATA_TRANSPORT']}")
+    if out["RUN_SIZE_IN_MIB"] < 1:
+        raise ValueError("a run has a MiB at least")
     if out["DIGEST"] not in ("XXHASH32", "MD5"):
         raise ValueError(f"unknown digest {out['DIGEST']}")
     return out
@@ -103,11 +118,13 @@ def statement(df: DataFrame, spec: TableSpec, options: dict[str, object] | None
     return said + (" USING " + " AND ".join(using) if using else "") + ";"
 
 
-def validate(df: DataFrame, spec: TableSpec, options: dict[str, object] | None = None) -> None:
-    """Fails if df's columns don't fit the table and the mode."""
+def check_columns(have: list[str], spec: TableSpec, options: dict[str, object] | None = None) -> None:
+    """Fails if columns don't fit the table and the mode, or the options name another table."""
     o = write_options(options)
     validate_for_write(spec)
-    have = list(df.columns)
+    for name, own in (("KEYSPACE", spec.keyspace), ("TABLE", spec.name)):
+        if o[name] not in (None, own):
+            raise ValueError(f"{name} is {o[name]}, the table's is {own}")
     if o["WRITE_MODE"] == DELETE_PARTITION:
         if set(have) != set(spec.partition_key):
             raise ValueError(f"only partition key columns ({','.join(spec.partition_key)}) go with DELETE_PARTITION, not ({','.join(have)})")
@@ -121,6 +138,10 @@ def validate(df: DataFrame, spec: TableSpec, options: dict[str, object] | None =
         raise ValueError(f"missing option columns: {absent}")
 
 
+def validate(df: DataFrame, spec: TableSpec, options: dict[str, object] | None = None) -> None:
+    check_columns(list(df.columns), spec, options)
+
+
 def normalized(df: DataFrame, spec: TableSpec) -> DataFrame:
     """df with each of the table's columns converted to the column's type; the others stay."""
     out = []
@@ -163,6 +184,10 @@ def dealt_by_token(log: DataFrame, spec: TableSpec, parts: list, extra: list[str
     return log.withColumn("_part", number).repartitionById(len(parts), F.col("_part")).sortWithinPartitions("_part", *order)
 
 
+#: Bytes that a digest takes at a time.
+CHUNK = 8 << 20
+
+
 @dataclass(frozen=True)
 class Written:
     job: str
@@ -174,20 +199,26 @@ class Written:
 
 
 def file_digests(spark: SparkSession, path: str, kind: str) -> DataFrame:
-    """(file, length, digest) of each data file, hashed where it lies, a file at a time."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(path)
-    if kind == "MD5":
-        digest = F.md5("content")
-    else:
+    """(file, length, digest) of each data file, hashed where it is read, some bytes at a time."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(path).select("path", "length")
 
-        @F.pandas_udf(T.StringType())
-        def digest_of(content):
-            import xxhash
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+        from pyarrow import fs
 
-            return content.map(lambda b: xxhash.xxh32(bytes(b), seed=0).hexdigest())
+        for batch in batches:
+            out = []
+            for file in batch.column(0).to_pylist():
+                digest = hashlib.md5() if kind == "MD5" else xxhash.xxh32(seed=0)
+                system, inner = fs.FileSystem.from_uri(file if "://" in file else file.replace("file:/", "file:///", 1))
+                with system.open_input_stream(inner) as opened:
+                    while chunk := opened.read(CHUNK):
+                        digest.update(chunk)
+                out.append(digest.hexdigest())
+            names = [f.rsplit("/", 1)[-1] for f in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(names), batch.column(1), pa.array(out)], names=["file", "length", "digest"])
 
-        digest = digest_of("content")
-    return files.select(F.element_at(F.split("path", "/"), -1).alias("file"), F.col("length"), digest.alias("digest"))
+    return files.mapInArrow(hashed, "file string, length long, digest string")
 
 
 def manifest_of(spark: SparkSession, path: str, spec: TableSpec, digest: str) -> DataFrame:
@@ -218,22 +249,60 @@ class Transport(Protocol):
     def failed(self, job: str, error: BaseException) -> None: ...
 
 
+@contextmanager
+def time_limit(spark: SparkSession, job: str, what: str, seconds: int) -> Iterator[None]:
+    """Cancels what runs inside after so many seconds, if there are any, and says so by a TimeoutError."""
+    context, over = spark.sparkContext, threading.Event()
+
+    def end() -> None:
+        over.set()
+        context.cancelJobGroup(job)
+
+    if seconds <= 0:
+        yield
+        return
+    timer = threading.Timer(seconds, end)
+    context.setJobGroup(job, what, True)
+    timer.start()
+    try:
+        yield
+        if over.is_set():  # between two of its jobs
+            raise TimeoutError(f"job {job} took more than {seconds} s")
+    except Exception as e:
+        if over.is_set() and not isinstance(e, TimeoutError):
+            raise TimeoutError(f"job {job} was cancelled after {seconds} s") from e
+        raise
+    finally:
+        timer.cancel()
+        for name in ("spark.jobGroup.id", "spark.job.description", "spark.job.interruptOnCancel"):
+            context.setLocalProperty(name, None)
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """The size that the optimizer expects of df; 0 if it has no idea."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size if size < 1 << 60 else 0
+
+
 def bulk_write(df: DataFrame, spec: TableSpec, path: str, options: dict[str, object] | None = None, ring: Ring | None = None, mode: str = "append", transport: Transport | None = None, now_micros: int | None = None) -> Written:
     """Writes df to a table's log under path as one more set of runs. Only mode append is there.
 
     With a ring, its ranges deal the work and its instances must be able to meet the consistency level at start, and
-    again at the end; else the token space is cut evenly.
+    again at the end; else the token space is cut evenly. There are as many runs as cores, and more where a run would be larger than
+    RUN_SIZE_IN_MIB by the optimizer's estimate of df. JOB_TIMEOUT_SECONDS cancels the job; what it has written by then is removed.
     """
     if mode.lower() == "overwrite":
         raise ValueError("overwrite would need the table truncated; use append")
     if mode.lower() != "append":
         raise ValueError(f"unknown mode {mode}")
     o = write_options(options)
+    if o["DATA_TRANSPORT"] != "DIRECT" and transport is None:
+        raise ValueError(f"{o['DATA_TRANSPORT']} needs a transport")
     spark = df.sparkSession
     level, center = str(o["BULK_WRITER_CL"]), o["LOCAL_DC"]
     if ring:
         check_availability(ring, level, center)
-    workers = spark.sparkContext.defaultParallelism
+    workers = max(spark.sparkContext.defaultParallelism, -(-estimated_bytes(df) // (int(o["RUN_SIZE_IN_MIB"]) << 20)))
     splits = int(o["NUMBER_SPLITS"])
     parts = TokenPartitioner.of_ring(ring, workers, splits=splits).parts if ring else split_range(MIN_TOKEN, MAX_TOKEN, splits if splits > 0 else workers)
     job = str(o["JOB_ID"] or uuid.uuid4())
@@ -241,30 +310,36 @@ def bulk_write(df: DataFrame, spec: TableSpec, path: str, options: dict[str, obj
     if transport:
         transport.started(job)
     try:
-        if timeout := max(0, int(o["JOB_TIMEOUT_SECONDS"])):
-            spark.sparkContext.setJobGroup(job, f"bulk write to {spec.keyspace}.{spec.name}", True)
-        log = dealt_by_token(log_of(df, spec, options, now_micros), spec, parts).drop("_part")
-        log.write.mode("append").parquet(out)
-        manifest = manifest_of(spark, out, spec, str(o["DIGEST"]))
-        totals = manifest.agg(F.sum("rows").alias("rows"), F.sum("length").alias("bytes")).first()
-        if not o["SKIP_EXTENDED_VERIFY"]:
-            verify(spark, out, spec)
-        if ring:
-            check_availability(ring, level, center)
-        if timeout and time.time() - began > timeout:
-            spark.sparkContext.cancelJobGroup(job)
-            raise TimeoutError(f"job {job} took more than {timeout} s")
+        with time_limit(spark, job, f"bulk write to {spec.keyspace}.{spec.name}", int(o["JOB_TIMEOUT_SECONDS"])):
+            log = dealt_by_token(log_of(df, spec, options, now_micros), spec, parts).drop("_part")
+            log.write.mode("append").parquet(out)
+            manifest = manifest_of(spark, out, spec, str(o["DIGEST"]))
+            totals = manifest.agg(F.sum("rows").alias("rows"), F.sum("length").alias("bytes")).first()
+            if not o["SKIP_EXTENDED_VERIFY"]:
+                verify(spark, out, spec)
+            if ring:
+                check_availability(ring, level, center)
         if transport:
             for row in bundles(manifest, int(o["MAX_SIZE_PER_BUNDLE_IN_BYTES"])).toLocalIterator():
                 transport.bundle_ready(job, row.asDict(True))
             transport.finished(job, int(totals["rows"] or 0))
     except BaseException as e:
+        if isinstance(e, TimeoutError) and not o["JOB_ID"]:  # a given job's folder may hold earlier runs
+            target = spark._jvm.org.apache.hadoop.fs.Path(out)
+            target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
         if transport:
             transport.failed(job, e)
         raise
     return Written(job, out, int(totals["rows"] or 0), int(totals["bytes"] or 0), time.time() - began, manifest)
 
 
+def write_log(log: DataFrame, spec: TableSpec, path: str, parts: int | None = None) -> None:
+    """Adds rows that are a log already (writes and deletes with their marks) to path as runs in order of tokens."""
+    with_key = log.withColumn("_key", key_bytes(spec))
+    ready = with_key.withColumn("token", murmur3_token(F.col("_key")))
+    dealt_by_token(ready, spec, split_range(MIN_TOKEN, MAX_TOKEN, parts or log.sparkSession.sparkContext.defaultParallelism)).drop("_part").write.mode("append").parquet(path)
+
+
 def verify(spark: SparkSession, path: str, spec: TableSpec) -> None:
     """Reads a set of runs back: every row must have its keys and the token that its key hashes to."""
     data = spark.read.parquet(path)
