@@ -5,8 +5,8 @@ from widelog.functions.convert import converted, from_stored_date, inet_text, st
 from widelog.operators.sizes import partition_sizes, prorated, run_summaries, with_compressed
 from widelog.plans.ring import Instance, Ring
 from widelog.sources.datasource import register
-from widelog.sources.read import ClearStrategy, ReadOptions, Snapshot, read_log, read_table, whole_ring
-from widelog.sources.write import PerWrite, bulk_write, bundles, coordinated_write, log_of, statement, validate, write_options
+from widelog.sources.read import ClearStrategy, ReadOptions, Snapshot, read_log, read_replicas, read_table, replica_log, token_parts, whole_ring
+from widelog.sources.write import PerWrite, bulk_write, bundles, estimated_bytes, file_digests, coordinated_write, log_of, statement, validate, write_options
 from widelog.spec import Replication, TableSpec
 from widelog.types import parse_type
 
@@ -35,9 +35,12 @@ def test_validation(spark):
         with pytest.raises(ValueError):
             validate(bad, SPEC, options)
     validate(df.select("id"), SPEC, {"WRITE_MODE": "DELETE_PARTITION"})
-    for bad in ({"nothing": 1}, {"WRITE_MODE": "x"}, {"DIGEST": "x"}):
+    for bad in ({"nothing": 1}, {"WRITE_MODE": "x"}, {"DIGEST": "x"}, {"COMMIT_BATCH_SIZE": 5}, {"DATA_TRANSPORT": "PIGEON"}, {"RUN_SIZE_IN_MIB": 0}):
         with pytest.raises(ValueError):
             write_options(bad)
+    for bad in ({"KEYSPACE": "other"}, {"TABLE": "other"}):
+        with pytest.raises(ValueError):
+            validate(df, SPEC, bad)
     with pytest.raises(Exception, match="non-null"):
         log_of(df.withColumn("c", F.lit(None).cast("int")), SPEC).collect()
 
@@ -110,8 +113,12 @@ def test_bundles(spark):
 def test_options_and_snapshots(spark, tmp_path):
     o = ReadOptions.of({"snapshotName": "s", "createSnapshot": "false", "DEFAULT_PARALLELISM": "7", "lastModifiedColumnName": "lm"})
     assert (o.snapshot_name, o.create_snapshot, o.default_parallelism, o.features) == ("s", False, 7, ("last_modified_timestamp",))
+    for bad in ({"nothing": 1}, {"read_index_offset": True}, {"sizing": "huge"}):
+        with pytest.raises(ValueError):
+            ReadOptions.of(bad)
+    assert len(token_parts(SPEC, ReadOptions.of({"sizing": "dynamic", "max_partition_size": 2}), whole_ring(1), 9 << 30)) == 5
     with pytest.raises(ValueError):
-        ReadOptions.of({"nothing": 1})
+        read_table(spark, SPEC, str(tmp_path), options={"keyspace": "other"})
     assert ClearStrategy.of("TTL 2d").ttl_seconds == 172_800 and ClearStrategy.of("noOp").ttl_seconds is None
     for bad in ("TTL", "noOp 2d", "TTL 2x", "never"):
         with pytest.raises(ValueError):
@@ -121,6 +128,11 @@ def test_options_and_snapshots(spark, tmp_path):
     bulk_write(rows(spark, 50), SPEC, f"file://{tmp_path}/t", {"TIMESTAMP": "2", "JOB_ID": job.job})
     assert snap.read(spark).count() == 10 and read_log(spark, SPEC, job.path).count() == 60
     assert not snap.expired() and snap.expired(snap.taken + 10**6)
+    snap.finish()
+    with pytest.raises(RuntimeError):
+        snap.read(spark)
+    seen = read_table(spark, SPEC, job.path, options={"enable_stats": True, "last_modified_column_name": "lm"}, now=0)
+    assert seen.count() == 50 and seen.read_stats.get["rows"] == 50
     same = [read_table(spark, SPEC, job.path, options={"cacheDataLayer": True, "createSnapshot": c}, now=0) for c in (True, False)]
     assert same[0] is same[1]
 
@@ -133,6 +145,66 @@ def test_python_source(spark, tmp_path):
     assert load().filter("id = 3").count() == 10 and load().filter("id in (3, 4) and c > 100").count() == 10 and load().filter("id = 99").count() == 0
 
 
+DDL = "CREATE TABLE ks.t (id bigint, c int, v text, n int, PRIMARY KEY (id, c));"
+
+
+def test_sink(spark, tmp_path):
+    path, df = f"file://{tmp_path}/t", rows(spark)
+    register(spark)
+    save = lambda x, mode="append", **more: x.write.format("widelog").options(ddl=DDL, path=path, **more).mode(mode).save()
+    load = lambda: spark.read.format("widelog").options(ddl=DDL, path=path, now=6).load()
+    save(df.repartition(3), TIMESTAMP=1000, RUN_SIZE_IN_MIB=1, JOB_ID="first")
+    save(df.filter("id < 5").withColumn("n", F.lit(7).cast("short")).drop("v"), TIMESTAMP=2000)
+    save(df.filter("id = 9").select("id").distinct(), TIMESTAMP=3000, WRITE_MODE="DELETE_PARTITION")
+    save(df.filter("id = 6").withColumn("late", F.lit(5)), TIMESTAMP=4000, TTL="late")
+    got = load()
+    assert got.count() == 180 and got.filter("id < 5 and n = 7 and v is not null").count() == 50
+    assert got.exceptAll(read_table(spark, SPEC, *[f"file://{p}" for p in sorted(tmp_path.glob("t/*"))], now=6).select(*got.columns)).count() == 0
+    assert len(list((tmp_path / "t" / "first").glob("*.parquet"))) == 3 and (tmp_path / "t" / "first" / "_manifest.json").exists()
+    for bad, more in ((df, {"mode": "overwrite"}), (df.drop("c"), {}), (df.withColumn("c", F.lit(None).cast("int")), {}), (df.withColumn("n", F.lit("x")), {})):
+        with pytest.raises(Exception):  # noqa: B017 - of the writer's process
+            save(bad, **more)
+    assert load().count() == 180
+
+
+def test_a_run_that_is_too_late_is_cancelled(spark, tmp_path):
+    import time
+
+    slow = rows(spark, 8).repartition(8).withColumn("v", F.expr("reflect('java.lang.Thread', 'sleep', 8000L)"))
+    began = time.time()
+    with pytest.raises(TimeoutError):
+        bulk_write(slow, SPEC, f"file://{tmp_path}/t", {"JOB_TIMEOUT_SECONDS": 3})
+    assert time.time() - began < 14 and not list((tmp_path / "t").glob("*"))
+    assert bulk_write(rows(spark, 8), SPEC, f"file://{tmp_path}/t", {"JOB_TIMEOUT_SECONDS": 300}).rows == 8
+    assert spark.sparkContext.getLocalProperty("spark.jobGroup.id") is None
+
+
+def test_run_size_and_digests(spark, tmp_path):
+    import hashlib
+
+    spark.range(200_000).select((F.col("id") % 50).alias("id"), F.col("id").cast("int").alias("c"), F.md5(F.col("id").cast("string")).alias("v")).write.parquet(f"file://{tmp_path}/in")
+    df = spark.read.parquet(f"file://{tmp_path}/in")
+    small = bulk_write(df, SPEC, f"file://{tmp_path}/t", {"RUN_SIZE_IN_MIB": 1, "SKIP_EXTENDED_VERIFY": True})
+    assert small.manifest.count() > 4 and estimated_bytes(df) > 4 << 20
+    for r in file_digests(spark, small.path, "MD5").collect():
+        body = next((tmp_path / "t").rglob(r["file"])).read_bytes()
+        assert (r["length"], r["digest"]) == (len(body), hashlib.md5(body).hexdigest())
+
+
+def test_replicas(spark, tmp_path):
+    """Each node has its ranges only; the level decides how many are read, and a node without a path is replaced."""
+    log = log_of(rows(spark), SPEC, {"TIMESTAMP": "1"}).withColumn("_repaired", F.col("id") % 2 == 0)
+    for node in "abc":
+        log.write.parquet(f"{tmp_path}/{node}")
+    paths = {n: f"{tmp_path}/{n}" for n in "abc"}
+    count = lambda level, where=paths, **more: replica_log(spark, SPEC, RING, where, {"consistency_level": level, **more}).count()
+    assert count("ONE") == 200 and count("QUORUM") == 300 and count("ALL") == 400 and count("QUORUM", use_incremental_repair="false") == 400
+    two = {n: paths[n] for n in "bc"}
+    assert count("QUORUM", two) == 300 and read_replicas(spark, SPEC, RING, two, {"consistency_level": "QUORUM"}, now=0).count() == 200
+    with pytest.raises(RuntimeError):
+        count("ALL", two)
+
+
 def test_conversions(spark):
     df = spark.createDataFrame([(1_700_000_000_123, "127.0.0.1", "::1", [3, 1, 3])], "ms long, a string, b string, xs array<int>")
     kinds = {f.name: f.dataType for f in df.schema}

@@ -16,8 +16,9 @@ from .operators.sizes import index_entries, partition_sizes, run_summaries, with
 from .plans.consistency import failed_ranges, ranked_replicas, topology_changes, write_check
 from .plans.filters import EqualTo, In, filtered_keys, key_product, key_values, keys_frame, split_filters
 from .plans.ring import Instance, Ring, parts_of, split_range
-from .sources.read import read_table
-from .sources.write import bulk_write, bundles, log_of, normalized
+from .sources.datasource import register
+from .sources.read import read_replicas, read_table, replica_log
+from .sources.write import bulk_write, bundles, log_of, normalized, write_log
 from .spec import LAST_MODIFIED, Replication, TableSpec
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -330,14 +331,54 @@ def ring() -> Ring:
     return Ring(NODES, Replication("SimpleStrategy", {"replication_factor": 3}))
 
 
-@query("token_hash")
+def _hash_sql(table: str, columns: str, key: list[str]) -> str:
+    """The token of key bytes (SQL texts of each byte) in steps of 64-bit arithmetic, for keys of 8 and of 16 to 23 bytes."""
+    word = 1 << 64
+    c1, c2 = 0x87C37B91114253D5, 0x4CF5AD432745937F
+    big = lambda x: f"'{x}'::uhugeint"
+    mul = lambda x, c: f"(({x}) * {big(c)}) % {big(word)}"
+    xor = lambda a, b: f"xor(({a})::ubigint, ({b})::ubigint)::uhugeint"
+    plus = lambda a, b: f"(({a}) + ({b})) % {big(word)}"
+    turn = lambda x, r: f"((({x}) * {big(1 << r)}) % {big(word)} + ({x}) // {big(1 << (64 - r))})"
+    lane = lambda some: " + ".join(f"({b})::uhugeint * {big(1 << (8 * i))}" for i, b in enumerate(some))
+    tail = big(0)
+    for i, b in enumerate(key[len(key) // 16 * 16 :]):  # as signed bytes
+        tail = xor(tail, f"case when ({b}) < 128 then ({b})::uhugeint * {big(1 << (8 * i))} else {big(word)} - (256 - ({b}))::uhugeint * {big(1 << (8 * i))} end")
+    steps = [("h1", big(0)), ("h2", big(0))]
+    if len(key) >= 16:
+        steps += [("m1", mul(lane(key[:8]), c1)), ("h1", mul(turn("m1", 31), c2)), ("h1", plus(turn("h1", 27), "h2")), ("h1", plus(mul("h1", 5), big(0x52DCE729)))]
+        steps += [("m2", mul(lane(key[8:16]), c2)), ("h2", mul(turn("m2", 33), c1)), ("h2", plus(turn("h2", 31), "h1")), ("h2", plus(mul("h2", 5), big(0x38495AB5)))]
+    steps += [("m1", mul(tail, c1)), ("h1", xor("h1", mul(turn("m1", 31), c2))), ("h1", xor("h1", len(key))), ("h2", xor("h2", len(key))), ("h1", plus("h1", "h2")), ("h2", plus("h2", "h1"))]
+    for h in ("h1", "h2"):
+        for c in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53):
+            steps += [(h, xor(h, f"{h} // {big(1 << 33)}")), (h, mul(h, c))]
+        steps.append((h, xor(h, f"{h} // {big(1 << 33)}")))
+    steps.append(("h1", plus("h1", "h2")))
+    seen: set[str] = set()
+    out = f"select * from {table}"
+    for name, expr in steps:
+        out = f"select * {'replace' if name in seen else ','} {f'({expr} as {name})' if name in seen else f'{expr} as {name}'} from ({out})"
+        seen.add(name)
+    signed = f"case when h1 >= {big(1 << 63)} then (h1::hugeint - '{word}'::hugeint) else h1::hugeint end::bigint"
+    return f"select {columns}, {signed} as token from ({out})"
+
+
+def _bytes_sql(column: str) -> list[str]:
+    return [f"(({column} >> {8 * k}) & 255)" for k in range(7, -1, -1)]
+
+
+COMPOSITE = ["0", "8", *_bytes_sql("conv_id"), "0", "0", "8", *_bytes_sql("turn"), "0"]
+COMPOSITE_TEXT = "'0008' || printf('%016X', conv_id) || '000008' || printf('%016X', turn) || '00'"
+
+
+@query("token_hash", _hash_sql("events", "user_id, event_id", _bytes_sql("user_id")))
 def token_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_token(table(spark, sf_dir, "events").select("user_id", "event_id"), EVENTS)
 
 
-@query("token_composite")
+@query("token_composite", _hash_sql("conversations", f"conv_id, turn, {COMPOSITE_TEXT} as key", COMPOSITE))
 def token_composite(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "conversations").select("conv_id", "turn", key_bytes(TURNS).alias("key"), murmur3_token(key_bytes(TURNS)).alias("token"))
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", F.hex(key_bytes(TURNS)).alias("key"), murmur3_token(key_bytes(TURNS)).alias("token"))
 
 
 @query("key_bytes", "select conv_id, turn, '0008' || printf('%016X', conv_id) || '000008' || printf('%016X', turn) || '00' as key from conversations")
@@ -427,10 +468,10 @@ def normalize_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     return n.select("k", "i", F.col("d").cast("string").alias("d"), F.col("v").cast("string").alias("v"), F.unix_micros("ts").alias("ts"), F.unix_date("da").cast("long").alias("da"), "ti", F.array_join("tags", ",").alias("tags"))
 
 
-@query("stored_values", "select event_id, epoch_us(ts) // 86400000000 + 2147483648 as stored, '7F000001' as home from events")
+@query("stored_values", "select event_id, epoch_us(ts) // 86400000000 + 2147483648 as stored, printf('%02X%02X%02X%02X', 10, user_id % 256, event_id % 256, event_id // 256 % 256) as home from events")
 def stored_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
-    return e.select("event_id", stored_date(F.to_date("ts")).alias("stored"), F.hex(inet_bytes(F.concat(F.lit("127.0.0."), F.lit(1).cast("string")))).alias("home"))
+    return e.select("event_id", stored_date(F.to_date("ts")).alias("stored"), F.hex(inet_bytes(F.concat_ws(".", F.lit("10"), F.col("user_id") % 256, F.col("event_id") % 256, F.floor(F.col("event_id") / 256) % 256))).alias("home"))
 
 
 @query("time_ids", "select event_id, lower(printf('%08X', t & 4294967295) || '-' || printf('%04X', (t >> 32) & 65535) || '-1' || printf('%03X', t >> 48) || '-8080-808080808080') as id from (select event_id, (epoch_us(ts) // 1000) * 10000 + 122192928000000000 as t from events)")
@@ -497,6 +538,90 @@ def round_trip_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
     return given.exceptAll(back).unionByName(back.exceptAll(given)).agg(F.count("*").alias("n"))
 
 
+# ---- the table as a source and a sink of its own ----
+
+
+EVENTS_DDL = "CREATE TABLE ks.events (user_id bigint, event_type text, event_id bigint, value double, PRIMARY KEY (user_id, event_type));"
+
+
+def through_source(spark: SparkSession, log: DataFrame, paths: int = 1, **options: object) -> DataFrame:
+    """Current rows of a log that was dealt to so many paths, as the source reads them."""
+    folder = scratch(spark)
+    for k in range(paths):
+        write_log(log.filter(F.pmod(F.col("event_id"), F.lit(paths)) == k), EVENTS, f"{folder}/{k}")
+    return register(spark).read.format("widelog").options(ddl=EVENTS_DDL, paths=",".join(f"{folder}/{k}" for k in range(paths)), **{"now": 0, "num_cores": 4, **options}).load()
+
+
+@query("source_lww", f"select user_id, event_type, arg_max(event_id, ts) as event_id, arg_max(value, ts) as value, max({MICROS}) as modified from events group by all")
+def source_lww(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three paths of runs as one log."""
+    rows = through_source(spark, event_log(spark, sf_dir).drop("props"), 3, lastModifiedColumnName="modified")
+    return rows.withColumn("modified", F.unix_micros("modified"))
+
+
+@query("source_partition_delete", SQL["partition_tombstone"])
+def source_partition_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = event_log(spark, sf_dir).drop("props").withColumn("_op", F.when(F.col("event_type") == "error", "delete_partition").otherwise("insert"))
+    return through_source(spark, log, 2).select("user_id", "event_type", "value")
+
+
+@query("source_row_delete", SQL["row_tombstone"])
+def source_row_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = event_log(spark, sf_dir).drop("props").withColumn("_op", F.when(F.col("event_id") % 5 == 0, "delete_row").otherwise("insert"))
+    return through_source(spark, log, 2).select("user_id", "event_type", "value")
+
+
+@query("source_range_delete", SQL["range_tombstone"])
+def source_range_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    gone = F.col("event_id") % 37 == 0
+    log = event_log(spark, sf_dir).drop("props").withColumns({"_op": F.when(gone, "delete_range").otherwise("insert"), "_from": F.when(gone, "c"), "_to": F.when(gone, "q")})
+    return through_source(spark, log, 2).select("user_id", "event_type", "value")
+
+
+@query("source_ttl", "with m as (select user_id, event_type, arg_max(value, ts) as value, arg_max(event_id, ts) as event_id, max(epoch_us(ts)) as t from events group by all) select user_id, event_type, value from m where event_id % 2 = 0 or t // 1000000 + 604800 > 1706000000")
+def source_ttl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of one write each, which lives a week or, with an even id, for ever, read at a fixed second."""
+    last = event_log(spark, sf_dir).groupBy("user_id", "event_type").agg(F.max_by(F.struct("event_id", "value"), "_writetime").alias("x"), F.max("_writetime").alias("_writetime"))
+    log = last.select("user_id", "event_type", "x.*", "_writetime").withColumn("_ttl", F.when(F.col("event_id") % 2 == 1, F.lit(604_800)))
+    return through_source(spark, log, 1, now=1_706_000_000).select("user_id", "event_type", "value")
+
+
+@query("source_key_filter", "select user_id, event_type, arg_max(value, ts) as value from events where user_id in (3, 5, 7) group by all")
+def source_key_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return through_source(spark, event_log(spark, sf_dir).drop("props"), 2, columns="user_id,event_type,value").filter("user_id in (3, 5, 7)")
+
+
+@query("sink_round_trip", "select user_id, event_type, arg_max(event_id, ts) as event_id, arg_max(value, ts) as value from events where user_id % 4 > 0 group by all")
+def sink_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Writes and deletes of partitions through the sink, read back through the source."""
+    path = scratch(spark)
+    given = table(spark, sf_dir, "events").select("user_id", "event_type", "event_id", "value", micros("ts").alias("at"))
+    register(spark)
+    given.write.format("widelog").options(ddl=EVENTS_DDL, path=path, TIMESTAMP="at").mode("append").save()
+    keys = given.filter("user_id % 4 = 0").select("user_id").distinct()
+    keys.write.format("widelog").options(ddl=EVENTS_DDL, path=path, WRITE_MODE="DELETE_PARTITION", TIMESTAMP=str(1 << 62)).mode("append").save()
+    return spark.read.format("widelog").options(ddl=EVENTS_DDL, path=path, now=0).load()
+
+
+THREE = [Instance(-(6 * 10**18), "a"), Instance(0, "b"), Instance(6 * 10**18, "c")]
+
+
+@query(
+    "replica_read",
+    """select m.*, n from (select user_id, event_type, arg_max(event_id, ts) as event_id, arg_max(value, ts) as value from events group by all) m
+    join (select user_id, event_type, sum(case when event_id % 2 = 0 then 1 else 2 end)::bigint as n from events group by all) c using (user_id, event_type)""",
+)
+def replica_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three replicas read at QUORUM: rows of repaired runs come from one of them, others from two; n counts them."""
+    folder, around = scratch(spark), Ring(THREE, Replication("SimpleStrategy", {"replication_factor": 3}))
+    log = event_log(spark, sf_dir).drop("props").withColumn("_repaired", F.col("event_id") % 2 == 0)
+    write_log(log, EVENTS, folder)
+    options = {"consistency_level": "QUORUM"}
+    paths = {i.node: folder for i in THREE}
+    counted = replica_log(spark, EVENTS, around, paths, options).groupBy("user_id", "event_type").agg(F.count("*").alias("n"))
+    return read_replicas(spark, EVENTS, around, paths, options, now=0).join(counted, ["user_id", "event_type"])
+
+
 # ---- what Spark brings itself, over merged rows ----
 
 
@@ -545,6 +670,12 @@ for _kind, _word in {"left_semi": "exists", "left_anti": "not exists"}.items():
     SQL[f"join_{_kind}"] = f"select c_custkey, c_name from customer where {_word} (select 1 from orders where o_custkey = c_custkey and o_totalprice > 300000)"
 
 
+@query("join_cross", "select r_name, n_name from region cross join nation")
+def join_cross(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of two tables of a few rows."""
+    return table(spark, sf_dir, "region").select("r_name").crossJoin(table(spark, sf_dir, "nation").select("n_name"))
+
+
 @query("window_rank", "select o_custkey, o_orderkey, row_number() over (partition by o_custkey order by o_totalprice desc, o_orderkey) as r, round(sum(o_totalprice) over (partition by o_custkey), 2) as total from orders")
 def window_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     by = Window.partitionBy("o_custkey")
