@@ -234,7 +234,19 @@ def tested(pairs: DataFrame, members: DataFrame, test: Test) -> DataFrame:
 
     u = members.select(F.col("node").alias("u"), F.col("n").alias("n"), F.col("data").alias("a"))
     v = members.select(F.col("node").alias("v"), F.col("n").alias("m"), F.col("data").alias("b"))
-    return pairs.join(u, "u").join(v, "v").select("u", "v", "n", "a", "m", "b").mapInArrow(judge, "u long, v long")
+    # what many share comes first, while rows are small
+    return pairs.join(v, "v").join(u, "u").select("u", "v", "n", "a", "m", "b").mapInArrow(judge, "u long, v long")
+
+
+#: Into how many a group's members are dealt where they meet what is known of the group.
+SALT = 16
+
+
+def salted(members: DataFrame, known: DataFrame, by: list[str]) -> DataFrame:
+    """members joined with known, a row a group, without a group's members going to one task."""
+    salt = F.pmod(F.xxhash64("node"), F.lit(SALT)).cast("int")
+    copies = known.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
+    return members.withColumn("salt", salt).join(copies, [*by, "salt"]).drop("salt")
 
 
 def blocks_met(members: DataFrame, floor: Callable[[np.ndarray, np.ndarray], np.ndarray], test: Test) -> DataFrame:
@@ -243,12 +255,12 @@ def blocks_met(members: DataFrame, floor: Callable[[np.ndarray, np.ndarray], np.
     A large part has blocks of its own, which never meet each other; the members of small parts share blocks. Blocks hold sets of one band of
     sizes and meet those of the same band and the next one only.
     """
-    several = members.groupBy("part").agg(F.min("label").alias("a"), F.max("label").alias("b")).filter("a < b").select("part")
+    labels = members.groupBy("part", "label").agg(F.count("*").alias("rows"))
+    several = labels.groupBy("part").agg(F.count("*").alias("labels")).filter("labels > 1").select("part")
+    known = labels.join(several, "part").select("part", "label", F.when(F.col("rows") >= BLOCK_ROWS // 2, F.col("label")).otherwise(F.lit(-1)).alias("own"))
     band = F.floor(F.log(BAND, F.col("n").cast("double"))).cast("int")
-    placed = members.join(several, "part").select("node", "part", "label", "n", F.size("data").alias("size"), band.alias("band"))
-    large = placed.groupBy("part", "label").agg(F.count("*").alias("rows")).filter(F.col("rows") >= BLOCK_ROWS // 2).select("part", "label", F.lit(True).alias("large"))
-    placed = placed.join(large, ["part", "label"], "left").withColumn("own", F.when(F.col("large"), F.col("label")).otherwise(F.lit(-1)))
-    placed = written(placed.select("node", "part", "label", "n", "size", "own", "band"), "placed", FEW_FILES)
+    placed = members.select("node", "part", "label", "n", F.size("data").alias("size"), band.alias("band"))
+    placed = written(salted(placed, known, ["part", "label"]).select("node", "part", "label", "n", "size", "own", "band"), "placed", FEW_FILES)
     cells = placed.groupBy("part", "own", "band").agg(F.count("*").alias("rows"), F.greatest(F.ceil(F.count("*") / BLOCK_ROWS), F.ceil(F.sum("size") / BLOCK_VALUES)).cast("int").alias("blocks"))
     cells = written(cells, "cells", FEW_FILES)
     a, b = (cells.select("part", *(F.col(c).alias(f"{s}_{c}") for c in ("own", "band", "rows", "blocks"))) for s in "ab")
@@ -263,7 +275,7 @@ def blocks_met(members: DataFrame, floor: Callable[[np.ndarray, np.ndarray], np.
     sides = met.select("part", F.col("a_own").alias("own"), F.col("a_band").alias("band"), F.col("i").alias("block"), "task", F.lit(0).alias("side"))
     sides = sides.unionByName(met.filter(~lone).select("part", F.col("b_own").alias("own"), F.col("b_band").alias("band"), F.col("j").alias("block"), "task", F.lit(1).alias("side")))
     block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    dealt = placed.join(cells.select("part", "own", "band", "blocks"), ["part", "own", "band"]).withColumn("block", block)
+    dealt = salted(placed, cells.select("part", "own", "band", "blocks"), ["part", "own", "band"]).withColumn("block", block)
     dealt = dealt.join(sides, ["part", "own", "band", "block"]).select("task", "side", "node", "label", "n")
     sent = dealt.join(members.select("node", "data"), "node").select("task", "side", "node", "label", "n", "data")
 
@@ -343,7 +355,7 @@ def grouped(docs: DataFrame, key: str, text: str) -> DataFrame:
     classes = written(some.select("set_key", F.monotonically_increasing_id().alias("node"), F.struct("x.no_id", "x.doc", "x.mark").alias("row"), "x.n", "x.sketch"), "classes")
     found = linked_nodes(classes, docs, key, text)
     heads = found.join(classes.select("node", "row"), "node").groupBy("part").agg(F.min("row").alias("head"))
-    heads = found.join(heads, "part").select("node", "head")
+    heads = salted(found, heads, ["part"]).select("node", "head")
     named = classes.join(heads, "node", "left").select("set_key", F.coalesce("head", "row").alias("head"))
     out = sk.select("doc", "mark", "n", "set_key").join(named, "set_key", "left").select("doc", "mark", "n", F.when(F.col("n") > 0, F.col("head")).alias("head"))
     out = written(out, "grouped")
