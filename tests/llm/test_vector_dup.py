@@ -88,3 +88,33 @@ def test_failed_audits_are_an_error(spark, monkeypatch):
 def test_orders_grow_with_rows():
     few, many, more = (vector_dup.orders(n, 0.9, 8, 6) for n in (1_000, 40_000, 4_000_000))
     assert 6 <= few < many < more < 100
+
+
+def cloud(rng, n, cosine, dims=64):
+    """n unit vectors whose pairs have about that cosine."""
+    centre, noise = rng.normal(size=dims), rng.normal(size=(n, dims))
+    centre /= np.linalg.norm(centre)
+    noise -= np.outer(noise @ centre, centre)
+    noise /= np.linalg.norm(noise, axis=1, keepdims=True)
+    return cosine**0.5 * centre + (1 - cosine) ** 0.5 * noise
+
+
+def test_dense_groups_that_form_no_balls(spark, monkeypatch):
+    """Groups whose pairs are mostly linked, none near enough for a ball, among them two that only some links connect; lists stay at 8."""
+    monkeypatch.setattr(vector_dup, "BLOCK", 256)
+    rng = np.random.default_rng(3)
+    near = cloud(rng, 2, 0.9)
+    rows = np.concatenate([cloud(rng, 900, 0.927), cloud(rng, 300, 0.905), rng.normal(size=(300, 64)), near, near[:1]]).astype(np.float32)
+    rows = rows[rng.permutation(len(rows))]
+    u = rows.astype(np.float64)
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    link = u @ u.T >= 0.9
+    np.fill_diagonal(link, False)
+    label = np.arange(len(u))
+    while True:
+        least = np.minimum(label, np.where(link, label[None, :], len(u)).min(1))
+        if (least == label).all():
+            break
+        label = least
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in near_vectors(frame(spark, {i: list(v) for i, v in enumerate(rows)})).collect()}
+    assert got == {i: (int(link[i].sum()), int(label[i])) for i in range(len(u))}

@@ -8,7 +8,8 @@
    be: more links may exist than it holds. Then nodes within half the
    linking angle of a smaller-numbered one join the ball around it - all members of a ball are linked with each other,
    by the triangle inequality, without looking at their pairs - and the descent goes on among the centres of saturated lists.
-   Where nothing can be joined, lists are enlarged instead.
+   Where nothing can be joined any more, saturated nodes that hang together make a group, whose pairs are settled by blocks; their lists
+   then hold nodes of other groups only, and the descent goes on until none is saturated. Lists never grow.
 4. Found edges name pairs of balls. A pair of balls near enough to link throughout counts as such; any other is settled by
    exact cosines between blocks of members. What a task compares is bounded, however large a ball.
 5. Recall is audited: a bounded set of nodes is compared with all others, and each node's share of its links counts
@@ -84,14 +85,14 @@ class Lists:
         self.own, self.size, self.sim, self.other = [], [], [], []
         self.held = 0
 
-    def add(self, ids: np.ndarray, raw: list[bytes], k: int) -> None:
-        """Each row's k nearest among the others."""
+    def add(self, ids: np.ndarray, groups: np.ndarray, raw: list[bytes], k: int) -> None:
+        """Each row's k nearest among those of other groups; a node of no group is one of its own."""
         for spot, u in matrices(raw):
             if len(spot) < 2:
                 continue
-            mine = ids[spot]
+            mine, own = ids[spot], groups[spot]
             s = u @ u.T
-            s[mine[:, None] == mine[None, :]] = -2
+            s[own[:, None] == own[None, :]] = -2
             many = min(k, len(spot) - 1)
             best = np.argpartition(-s, many - 1, axis=1)[:, :many]
             sims = np.take_along_axis(s, best, axis=1)
@@ -133,7 +134,7 @@ def started(nodes: DataFrame, k: int, trees: int, seed: int, many: int) -> DataF
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            raw = batch.column(1).to_pylist()
+            raw = batch.column(2).to_pylist()
             code, value = np.zeros((len(raw), trees), np.int64), np.zeros((len(raw), trees))
             for spot, u in matrices(raw):
                 for t in range(trees):
@@ -143,28 +144,29 @@ def started(nodes: DataFrame, k: int, trees: int, seed: int, many: int) -> DataF
                     value[spot, t] = along[:, bits]
             take = np.repeat(np.arange(len(raw)), trees)
             columns = [pa.array(np.tile(np.arange(trees), len(raw)).astype(np.int32)), pa.array(code.reshape(-1)), pa.array(value.reshape(-1))]
-            yield pa.RecordBatch.from_arrays([*columns, batch.column(0).take(pa.array(take)), batch.column(1).take(pa.array(take))], names=["tree", "code", "value", "id", "raw"])
+            yield pa.RecordBatch.from_arrays([*columns, *(c.take(pa.array(take)) for c in batch.columns)], names=["tree", "code", "value", "id", "grp", "raw"])
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree, ids, raw, out = -1, [], [], Lists()
+        tree, ids, groups, raw, out = -1, [], [], [], Lists()
         for batch in batches:
-            for t, i, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            for t, i, g, x in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if t != tree or len(ids) == chunk:
                     if len(ids) > 1:
-                        out.add(np.array(ids), raw, k)
-                    tree, ids, raw = t, [], []
+                        out.add(np.array(ids), np.array(groups), raw, k)
+                    tree, ids, groups, raw = t, [], [], []
                 ids.append(i)
+                groups.append(g)
                 raw.append(x)
             if out.held > 200_000:
                 yield out.batch()
         if len(ids) > 1:
-            out.add(np.array(ids), raw, k)
+            out.add(np.array(ids), np.array(groups), raw, k)
         if out.held:
             yield out.batch()
 
-    placed = nodes.select("id", "raw").mapInArrow(place, "tree int, code long, value double, id long, raw binary")
+    placed = nodes.select("id", "grp", "raw").mapInArrow(place, "tree int, code long, value double, id long, grp long, raw binary")
     ordered = placed.repartitionByRange(partitions(nodes.sparkSession), "tree", "code", "value").sortWithinPartitions("tree", "code", "value")
-    return best_of(ordered.select("tree", "id", "raw").mapInArrow(meet, LISTS), k)
+    return best_of(ordered.select("tree", "id", "grp", "raw").mapInArrow(meet, LISTS), k)
 
 
 def descended(nodes: DataFrame, graph: DataFrame, k: int) -> DataFrame:
@@ -174,26 +176,27 @@ def descended(nodes: DataFrame, graph: DataFrame, k: int) -> DataFrame:
     rank = F.row_number().over(Window.partitionBy("at").orderBy(F.desc("sim"), "id"))
     back = back.withColumn("r", rank).filter(F.col("r") <= k).select("at", "id")
     met = ahead.unionByName(back).unionByName(graph.select(F.col("id").alias("at"), "id")).distinct()
-    sent = met.join(nodes.select("id", "raw"), "id")
+    sent = met.join(nodes.select("id", "grp", "raw"), "id")
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, ids, raw, out = None, [], [], Lists()
+        at, ids, groups, raw, out = None, [], [], [], Lists()
         for batch in batches:
-            for a, i, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            for a, i, g, x in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if a != at:
                     if len(ids) > 1:
-                        out.add(np.array(ids), raw, max(3, k // 2))
-                    at, ids, raw = a, [], []
+                        out.add(np.array(ids), np.array(groups), raw, max(3, k // 2))
+                    at, ids, groups, raw = a, [], [], []
                 ids.append(i)
+                groups.append(g)
                 raw.append(x)
                 if out.held > 200_000:
                     yield out.batch()
         if len(ids) > 1:
-            out.add(np.array(ids), raw, max(3, k // 2))
+            out.add(np.array(ids), np.array(groups), raw, max(3, k // 2))
         if out.held:
             yield out.batch()
 
-    together = sent.select("at", "id", "raw").repartition(partitions(nodes.sparkSession), "at").sortWithinPartitions("at")
+    together = sent.select("at", "id", "grp", "raw").repartition(partitions(nodes.sparkSession), "at").sortWithinPartitions("at")
     fresh = together.mapInArrow(meet, LISTS)
     single = fresh.select("id", F.explode("near").alias("x")).select("id", "x.sim", "x.other").distinct()  # partial: the same pair is met at many nodes
     top = F.row_number().over(Window.partitionBy("id").orderBy(F.desc("sim"), "other"))
@@ -247,38 +250,88 @@ def joined_balls(members: DataFrame, nodes: DataFrame, edges: DataFrame, thresho
     return written(after, "members", FEW_FILES), moved.count()
 
 
-def found_edges(nodes: DataFrame, threshold: float, k: int, trees: int, rounds: int, seed: int, times: int = 1) -> tuple[DataFrame, DataFrame]:
-    """Edges (id, other) between linked or nearly linked nodes, and members (id, centre) of balls."""
+def found_edges(nodes: DataFrame, threshold: float, k: int, trees: int, rounds: int, seed: int, times: int = 1) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Edges (id, other) between linked or nearly linked nodes, members (id, centre) of balls, and links (u, v) that make groups of centres."""
     members = written(nodes.select("id", F.col("id").alias("centre")), "members", FEW_FILES)
-    active, many, all_edges = nodes, nodes.count(), None
-    dense = True  # first, dense groups shrink to centres by the starting lists alone, as long as much moves
-    while True:
+    active, many, all_edges = nodes.withColumn("grp", F.col("id")), nodes.count(), None
+    group_links = written(nodes.select(F.col("id").alias("u"), F.col("id").alias("v")).limit(0), "group-links", FEW_FILES)
+    dense, balls = True, True  # first, dense groups shrink to centres by the starting lists alone, as long as much moves
+    while many > 1:
         enough = orders(many, threshold, k, trees) * times
         graph = written(started(active, k, enough, seed, many), "graph", FEW_FILES) if dense else descent(active, k, enough, rounds, seed, many)
         # a radius beyond the threshold, for balls whose members link where their centres do not
         edges = graph.select("id", F.explode("near").alias("x")).select("id", "x.other", "x.sim").filter(F.col("sim") >= 2 * threshold**2 - 1 - SLACK)
         edges = written(edges, "edges", FEW_FILES)
         all_edges = edges if all_edges is None else all_edges.unionByName(edges)
-        members, moved = joined_balls(members, nodes, edges, threshold)
+        moved = 0
+        if balls:
+            members, moved = joined_balls(members, nodes, edges, threshold)
         left = members.select(F.col("centre").alias("id")).distinct()
-        descended_once = not dense
         if dense:
             dense = moved > SHRUNK * many
+            active = left.join(nodes, "id").withColumn("grp", F.col("id"))
         else:
             several = members.groupBy(F.col("centre").alias("id")).agg((F.count("*") > 1).alias("several"))
             reach = F.when(F.col("several"), 2 * threshold**2 - 1).otherwise(threshold) - SLACK
-            full = graph.filter(F.size("near") >= k).join(several, "id").filter(F.col("near")[k - 1]["sim"] >= reach).select("id")
-            left = full.join(left, "id", "left_semi")
-        active, seed = written(left.join(nodes, "id"), "active", FEW_FILES), seed + 1
+            full = graph.filter(F.size("near") >= k).join(several, "id").filter(F.col("near")[k - 1]["sim"] >= reach)
+            active = full.select("id").join(left, "id", "left_semi").join(nodes, "id").withColumn("grp", F.col("id"))
+            if not moved:
+                balls = False
+                fresh = full.select("id", "near", reach.alias("reach")).select(F.col("id").alias("u"), "reach", F.explode("near").alias("x"))
+                fresh = fresh.filter(F.col("x.sim") >= F.col("reach")).select("u", F.col("x.other").alias("v"))
+                group_links = written(group_links.unionByName(fresh), "group-links", FEW_FILES)
+                label = components(group_links, "u", "v")
+                active = active.drop("grp").join(label.withColumnRenamed("node", "id"), "id", "left").withColumn("grp", F.coalesce("component", "id")).drop("component")
+        active, seed = written(active, "active", FEW_FILES), seed + 1
         many = active.count()
-        if many < 2 or (descended_once and not moved and k >= many):
-            return all_edges, members
-        if descended_once and not moved:
-            k *= 4
+    if all_edges is None:
+        all_edges = nodes.select("id", F.col("id").alias("other"), F.lit(0.0).cast("float").alias("sim")).limit(0)
+    return all_edges, members, group_links
 
 
-def settled(nodes: DataFrame, members: DataFrame, edges: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
-    """(id, centre, n_links) of each node, and links (u, v) between names of balls."""
+def in_groups(weighed: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
+    """(id, n, to) of nodes of groups, by blocks of a group that meet each other in tasks of their own: weights of others linked there, and a smallest node reached there.
+
+    weighed has id, grp, weight. A node's counts add up over tasks; links to the smallest nodes connect what the group's links do.
+    """
+    some = weighed.filter("grp is not null").select("id", "grp", "weight")
+    blocks = some.groupBy("grp").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    mine = some.join(nodes.select("id", "raw"), "id").join(blocks, "grp").withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    mine = mine.withColumn("across", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    sent = mine.select("grp", F.least("own", "across").alias("i"), F.greatest("own", "across").alias("j"), (F.col("own") > F.col("across")).cast("int").alias("side"), "id", "weight", "raw")
+
+    def compare(rows: pd.DataFrame) -> pd.DataFrame:
+        a, b = rows[rows["side"] == 0], rows[rows["side"] == 1]
+        if not len(b):  # a block with itself, or one that nothing meets
+            b = a if rows["i"].iloc[0] == rows["j"].iloc[0] else b
+        if not len(a) or not len(b):
+            return pd.DataFrame({"id": [], "n": [], "to": []}).astype("int64")
+        ids, others = a["id"].to_numpy(), b["id"].to_numpy()
+        u, v = (unit(np.frombuffer(b"".join(x["raw"]), np.float64).reshape(len(x), -1)) for x in (a, b))
+        link = (u @ v.T >= threshold) & (ids[:, None] != others[None, :])
+        least, most = ids.copy(), others.copy()
+        while True:
+            x = np.minimum(least, np.where(link, most[None, :], np.iinfo(np.int64).max).min(1))
+            y = np.minimum(most, np.where(link, x[:, None], np.iinfo(np.int64).max).min(0))
+            if (x == least).all() and (y == most).all():
+                break
+            least, most = x, y
+        n = link @ b["weight"].to_numpy()
+        if b is a:
+            return pd.DataFrame({"id": ids, "n": n.astype(np.int64), "to": np.minimum(least, most)})
+        return pd.DataFrame({"id": np.concatenate([ids, others]), "n": np.concatenate([n, a["weight"].to_numpy() @ link]).astype(np.int64), "to": np.concatenate([least, most])})
+
+    return written(sent.groupBy("grp", "i", "j").applyInPandas(compare, "id long, n long, to long"), "in-groups", FEW_FILES)
+
+
+def settled(nodes: DataFrame, members: DataFrame, edges: DataFrame, group_links: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """(id, name, n_links) of each node, and links (u, v) between names of balls."""
+    centre_of = lambda c: members.select(F.col("id").alias(c), F.col("centre").alias(f"{c}_centre"))
+    joined = group_links.join(centre_of("u"), "u").join(centre_of("v"), "v").select("u_centre", "v_centre")
+    label = components(joined, "u_centre", "v_centre")
+    groups = label.select(F.col("node").alias("centre"), F.col("component").alias("grp")).unionByName(label.select(F.col("component").alias("centre"), F.col("component").alias("grp")).distinct())
+    groups = written(groups, "groups", FEW_FILES)
+    members = written(members.join(groups, "centre", "left").select("id", "centre", "grp"), "members", FEW_FILES)
     weighed = members.join(nodes.select("id", "weight"), "id")
     ball = weighed.groupBy("centre").agg(F.sum("weight").alias("size"), F.min("id").alias("name"), F.count("*").alias("rows"))
     to_centre = members.join(nodes.select("id", F.col("raw").alias("a")), "id").join(nodes.select(F.col("id").alias("centre"), F.col("raw").alias("b")), "centre")
@@ -286,8 +339,9 @@ def settled(nodes: DataFrame, members: DataFrame, edges: DataFrame, threshold: f
     ball = written(ball.join(spread, "centre", "left").withColumn("angle", F.acos(F.least(F.coalesce("least", F.lit(1.0)), F.lit(1.0)))), "balls", FEW_FILES)
 
     ends = edges.select("id", "other").distinct()
-    ends = ends.join(members.withColumnRenamed("centre", "p"), "id").join(members.select(F.col("id").alias("other"), F.col("centre").alias("q")), "other")
-    pairs = ends.filter("p != q").select(F.least("p", "q").alias("p"), F.greatest("p", "q").alias("q")).distinct()
+    ends = ends.join(members.select("id", F.col("centre").alias("p"), F.col("grp").alias("p_grp")), "id")
+    ends = ends.join(members.select(F.col("id").alias("other"), F.col("centre").alias("q"), F.col("grp").alias("q_grp")), "other")
+    pairs = ends.filter((F.col("p") != F.col("q")) & ~F.coalesce(F.col("p_grp") == F.col("q_grp"), F.lit(False))).select(F.least("p", "q").alias("p"), F.greatest("p", "q").alias("q")).distinct()
     for side in ("p", "q"):
         pairs = pairs.join(ball.select(F.col("centre").alias(side), *(F.col(c).alias(f"{side}_{c}") for c in ("size", "name", "rows", "angle"))), side)
         pairs = pairs.join(nodes.select(F.col("id").alias(side), F.col("raw").alias(f"{side}_raw")), side)
@@ -325,9 +379,14 @@ def settled(nodes: DataFrame, members: DataFrame, edges: DataFrame, threshold: f
 
     single = written(sent[0].unionByName(sent[1]).groupBy("p", "q", "i", "j").applyInPandas(compare, "p long, q long, id long, n long"), "across", FEW_FILES)
     extra = single.groupBy("id").agg(F.sum("n").alias("extra"))
-    counted = members.join(ball.select("centre", "size", "name"), "centre").join(more, "centre", "left").join(extra, "id", "left")
-    counted = counted.select("id", "name", (F.col("size") - 1 + F.coalesce("more", F.lit(0)) + F.coalesce("extra", F.lit(0))).alias("n_links"))
-    links = whole.select("p_name", "q_name").unionByName(pairs.join(single.select("p", "q").distinct(), ["p", "q"], "left_semi").select("p_name", "q_name"))
+    met = in_groups(weighed, nodes, threshold)
+    within = met.groupBy("id").agg(F.sum("n").alias("within"))
+    counted = weighed.join(ball.select("centre", "size", "name"), "centre").join(more, "centre", "left").join(extra, "id", "left").join(within, "id", "left")
+    own = F.when(F.col("grp").isNull(), F.col("size") - 1).otherwise(F.col("weight") - 1 + F.coalesce("within", F.lit(0)))
+    counted = counted.select("id", "name", (own + F.coalesce("more", F.lit(0)) + F.coalesce("extra", F.lit(0))).alias("n_links"))
+    named = members.join(ball.select("centre", "name"), "centre").select("id", "name")
+    reached = met.filter("id != to").select("id", "to").distinct().join(named.withColumnRenamed("name", "p_name"), "id").join(named.select(F.col("id").alias("to"), F.col("name").alias("q_name")), "to").select("p_name", "q_name")
+    links = reached.unionByName(whole.select("p_name", "q_name")).unionByName(pairs.join(single.select("p", "q").distinct(), ["p", "q"], "left_semi").select("p_name", "q_name"))
     return written(counted, "counted", FEW_FILES), written(links, "links", FEW_FILES)
 
 
@@ -362,15 +421,16 @@ def near_vectors(df: DataFrame, key: str = "vec_id", column: str = "embedding",
     named = all_rows.filter("raw is not null")
     ids = F.coalesce(F.min("vec_id"), F.min(-F.abs(F.xxhash64("raw")) - 1))  # a class without any id gets a negative number of its own
     nodes = written(named.groupBy("same").agg(ids.alias("id"), F.count("*").alias("weight"), F.min("raw").alias("raw")), "nodes", FEW_FILES)
-    edges, members = found_edges(nodes, threshold, k, trees, rounds, 1)
+    edges, members, group_links = found_edges(nodes, threshold, k, trees, rounds, 1)
     for again in range(AUDITS):
-        counted, links = settled(nodes, members, edges, threshold)
+        counted, links = settled(nodes, members, edges, group_links, threshold)
         recall = audited(nodes, counted, threshold)
         if recall >= RECALL:
             break
         if again + 1 == AUDITS:
             raise RuntimeError(f"recall of links is {recall:.4f} after {AUDITS} descents, less than {RECALL}")
-        fresh, _ = found_edges(nodes, threshold, k, trees, rounds + 1, 101 * (again + 1), 2 << again)
+        fresh, _, more_links = found_edges(nodes, threshold, k, trees, rounds + 1, 101 * (again + 1), 2 << again)
+        group_links = written(group_links.unionByName(more_links), "group-links", FEW_FILES)
         edges = written(edges.unionByName(fresh).select("id", "other", "sim"), "edges", FEW_FILES)
     group = components(links, "p_name", "q_name").select(F.col("node").alias("name"), "component")
     told = counted.join(group, "name", "left").select("id", "n_links", F.coalesce("component", "name").alias("component"))
