@@ -60,12 +60,17 @@ def written(df: DataFrame, name: str, files: int = FILES) -> DataFrame:
     return out
 
 
+def removed(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of the shared file system."""
+    context = spark.sparkContext
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def dropped(*tables: DataFrame) -> None:
     """Removes tables made by ``written`` that nothing will read again."""
     for df in tables:
-        context = df.sparkSession.sparkContext
-        path = context._jvm.org.apache.hadoop.fs.Path(df.written_at)
-        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+        removed(df.sparkSession, df.written_at)
 
 
 def free(df: DataFrame, name: str) -> str:
