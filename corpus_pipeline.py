@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from widelog.llm import decontaminate, mixing, near_dup, quality, secrets
-from widelog.llm.common import read, shared_folder
+from widelog.llm.common import read, removed, shared_folder
 from widelog.shipping import ship
 
 #: No SQL expresses the learned and the hashed stages; tests/llm compares the stages with brute force.
@@ -52,10 +52,14 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents, each through a table in the shared folder."""
+    """All stages over documents, each through a table in the shared folder; only the last one's stays there."""
     docs = read(spark, sf_dir, "documents")
     folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
+    before = None
     for name, stage in STAGES:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
-        docs = spark.read.parquet(f"{folder}/{name}")
+        if before:
+            removed(spark, before)
+        before = f"{folder}/{name}"
+        docs = spark.read.parquet(before)
     return docs
