@@ -73,6 +73,18 @@ def test_rows_meet_their_range(spark):
     assert parts_of(spark.createDataFrame([(1,)], "token long"), []).count() == 0
 
 
+def test_many_parts_are_found_without_an_expression(spark, monkeypatch):
+    from widelog.plans import ring
+
+    parts, tokens = split_range(MIN_TOKEN, MAX_TOKEN, 700), [MIN_TOKEN + 1, -5, 0, 17, MAX_TOKEN, None, *(p.upper for p in split_range(MIN_TOKEN, MAX_TOKEN, 700)[::50])]
+    df = spark.createDataFrame([(t,) for t in tokens], "token long")
+    many = [r[0] for r in df.select(range_number(parts, df.token)).collect()]
+    monkeypatch.setattr(ring, "IN_AN_EXPRESSION", 1000)
+    assert many == [r[0] for r in df.select(range_number(parts, df.token)).collect()] and many[5] is None
+    monkeypatch.setattr(ring, "BROADCAST_PARTS", 0)
+    assert parts_of(df.dropna(), parts).count() == len(tokens) - 1
+
+
 def test_block_for():
     want = {"ONE": 1, "LOCAL_ONE": 1, "ANY": 1, "TWO": 2, "THREE": 3, "QUORUM": 4, "LOCAL_QUORUM": 2, "EACH_QUORUM": 4, "ALL": 6}
     assert {k: block_for(k, TWO, "dc1") for k in want} == want

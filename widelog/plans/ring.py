@@ -6,8 +6,11 @@ from bisect import bisect_left
 from collections.abc import Iterable
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.tokens import MAX_TOKEN, MIN_TOKEN, RANDOM_MAX
 from ..spec import Replication
@@ -179,9 +182,21 @@ class TokenPartitioner:
         return k
 
 
+#: Up to so many parts are found by an expression; beyond it would outgrow code generation.
+IN_AN_EXPRESSION = 256
+
+
 def range_number(parts: list[TokenRange], token: Column) -> Column:
-    """The number of the part that each token is in, JVM-side, by halving the sorted upper ends."""
+    """The number of the part that each token is in, by halving the sorted upper ends: in an expression, or in Arrow batches where there are many."""
     ends = [p.upper for p in parts]
+    if len(parts) > IN_AN_EXPRESSION:
+        sorted_ends = np.array(ends, np.int64)  # 8 bytes a part go along with the plan
+
+        @F.pandas_udf(T.IntegerType())
+        def place(tokens: pd.Series) -> pd.Series:
+            return pd.Series(np.minimum(np.searchsorted(sorted_ends, tokens.to_numpy(np.int64)), len(sorted_ends) - 1).astype(np.int32))
+
+        return F.when(token.isNotNull(), place(F.coalesce(token.cast("long"), F.lit(0).cast("long"))))
 
     def halved(a: int, b: int) -> Column:
         if a == b:
@@ -192,6 +207,10 @@ def range_number(parts: list[TokenRange], token: Column) -> Column:
     return F.when(token.isNotNull(), halved(0, len(ends) - 1))
 
 
+#: Up to so many parts go to every task; beyond it they meet rows in a shuffled join.
+BROADCAST_PARTS = 500_000
+
+
 def parts_of(df: DataFrame, parts: list[TokenRange], token: str = "token") -> DataFrame:
     """df with lower and upper of the range that each row's token is in; rows outside all leave.
 
@@ -204,7 +223,7 @@ def parts_of(df: DataFrame, parts: list[TokenRange], token: str = "token") -> Da
     rows = [(b, p.lower, p.upper) for p in some for b in range((p.lower + 1) >> drop, (p.upper >> drop) + 1)]
     ranges = df.sparkSession.createDataFrame(rows, "__leading long, lower long, upper long")
     within = (F.shiftright(F.col(token).cast("long"), drop) == F.col("__leading")) & (F.col(token) > F.col("lower")) & (F.col(token) <= F.col("upper"))
-    return df.join(F.broadcast(ranges), within).drop("__leading")
+    return df.join(F.broadcast(ranges) if len(rows) <= BROADCAST_PARTS else ranges, within).drop("__leading")
 
 
 def consolidated(*rings: Ring) -> list[tuple[TokenRange, tuple[Instance, ...]]]:
