@@ -197,3 +197,17 @@ def test_only_needed_columns_are_read(spark, tmp_path):
     df = merge_on_read(spark.read.parquet(f"{tmp_path}/t"), TableSpec.of("t", {"p": "int"}, {"c": "int"}, {"x": "int"})).filter("p = 1").select("p", "x")
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(p,1)" in plan and "y:string" not in plan.split("ReadSchema")[1]
+
+
+def test_features_of_ones_own(spark):
+    from pyspark.sql import functions as F
+
+    from widelog.operators.merge import Feature, last_modified_feature
+
+    oldest = Feature("oldest", lambda row: F.least(*row.times.values(), row.inserted))
+    length = Feature("length", lambda row: F.length(row.values["y"]))
+    log = spark.createDataFrame([(1, 1, 5, "abc", "s", 10), (1, 1, 6, None, None, 20), (2, 1, 1, "z", None, 7)], "p int, c int, x int, y string, s string, _writetime long")
+    log = log.withColumn("_set", F.when(F.col("_writetime") == 20, F.array(F.lit("x"))))
+    rows = merge_on_read(log, SPEC, features=(oldest, LAST_MODIFIED, length, last_modified_feature("again"))).orderBy("p").collect()
+    assert [(r["p"], r["oldest"], r["length"]) for r in rows] == [(1, 10, 3), (2, 7, 1)] and all(r[LAST_MODIFIED] == r["again"] for r in rows)
+    assert rows[0].__fields__ == ["p", "c", "s", "x", "y", "oldest", LAST_MODIFIED, "length", "again"]

@@ -23,7 +23,8 @@ doesn't begin with "__merge".
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from functools import reduce
 from heapq import heappop, heappush
 
@@ -170,11 +171,42 @@ def range_segments(log: DataFrame, spec: TableSpec) -> DataFrame:
     return some.repartition(*keys).sortWithinPartitions(*keys, FROM).mapInArrow(sweep, some.schema)
 
 
-def merge_on_read(log: DataFrame, spec: TableSpec, now: int = 0, columns: list[str] | None = None, features: tuple[str, ...] = (), ranges: bool | None = None, last_modified: str = LAST_MODIFIED, **marks: str) -> DataFrame:
+@dataclass(frozen=True)
+class Live:
+    """What a merge knows of a current row, for columns that features add.
+
+    times and values are of the live regular and static columns by name, null where there is none; inserted is the
+    time of the row's marker. Times are microseconds.
+    """
+
+    spec: TableSpec
+    times: dict[str, Column]
+    values: dict[str, Column]
+    inserted: Column
+
+    def last(self, names: list[str], *more: Column) -> Column:
+        times = [*(self.times[n] for n in names), *more]
+        return F.greatest(*times) if len(times) > 1 else times[0] if times else F.lit(None).cast("long")
+
+
+@dataclass(frozen=True)
+class Feature:
+    """A column that a read adds to the table's own: its name, and what it holds for each row."""
+
+    name: str
+    value: Callable[[Live], Column]
+
+
+def last_modified_feature(name: str = LAST_MODIFIED) -> Feature:
+    """The newest write time of a row's live regular cells, else of its marker and its partition's static cells."""
+    return Feature(name, lambda row: F.timestamp_micros(F.coalesce(row.last(row.spec.regulars), row.last(row.spec.statics, row.inserted))))
+
+
+def merge_on_read(log: DataFrame, spec: TableSpec, now: int = 0, columns: list[str] | None = None, features: tuple[str | Feature, ...] = (), ranges: bool | None = None, last_modified: str = LAST_MODIFIED, **marks: str) -> DataFrame:
     """Current rows of a log. now: the reference time of expiry in epoch seconds, one for the whole read.
 
-    columns: which to return, all by default. features: ("last_modified_timestamp",) adds the newest write time of a row's
-    live regular cells, else of its marker and its partition's static cells, named last_modified. ranges: whether the log has range deletes;
+    columns: which to return, all by default. features: further columns, in order; "last_modified_timestamp" stands for
+    last_modified_feature(last_modified). ranges: whether the log has range deletes;
     by default it may if it has a column _from. marks: _writetime="ts" and the like name a log's own columns.
     """
     if clash := [n for n in spec.names if n.startswith("__merge")]:
@@ -185,7 +217,7 @@ def merge_on_read(log: DataFrame, spec: TableSpec, now: int = 0, columns: list[s
     ranges = ranges and bool(spec.clustering_key)
     partition, clustering = spec.partition_key, spec.clustering_key
     kept = [c.name for c in spec.columns if columns is None or c.name in columns]
-    modified = LAST_MODIFIED in features
+    added = [f if isinstance(f, Feature) else last_modified_feature(last_modified) for f in features if isinstance(f, Feature) or f == LAST_MODIFIED]
     every = lambda names: reduce(lambda a, b: a & b, [col(k).isNotNull() for k in names])
 
     said = log.filter(every(partition))
@@ -236,11 +268,10 @@ def merge_on_read(log: DataFrame, spec: TableSpec, now: int = 0, columns: list[s
     if not spec.statics:
         out |= {k: col(k) for k in clustering}
     shown = [out[n].alias(n) for n in kept]
-    if modified:
-        newest_of = lambda times: F.greatest(*times) if len(times) > 1 else times[0] if times else F.lit(None).cast("long")
-        cells = newest_of([F.when(shown_row & alive[n], col(n)["at"]) for n in spec.regulars])
-        others = newest_of([F.when(there[n], col(n)["at"]) for n in spec.statics] + [F.when(shown_row & marked, F.col("__merge_marker")["at"])])
-        shown.append(F.timestamp_micros(F.coalesce(cells, others)).alias(last_modified))
+    if added:
+        times = {n: F.when(shown_row & alive[n], col(n)["at"]) for n in spec.regulars} | {n: F.when(there[n], col(n)["at"]) for n in spec.statics}
+        row = Live(spec, times, {n: out[n] for n in (*spec.regulars, *spec.statics)}, F.when(shown_row & marked, F.col("__merge_marker")["at"]))
+        shown += [f.value(row).alias(f.name) for f in added]
     return rows.select(*shown)
 
 
