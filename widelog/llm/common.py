@@ -11,6 +11,7 @@ import os
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -57,6 +58,32 @@ def written(df: DataFrame, name: str, files: int = FILES) -> DataFrame:
     df.coalesce(files * spark.sparkContext.defaultParallelism).write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.written_at = path
+    for made in _MADE:
+        made.append(out)
+    return out
+
+
+#: Tables made since each ``own_tables`` that has not ended yet.
+_MADE: list[list[DataFrame]] = []
+
+
+@contextmanager
+def own_tables() -> Iterator[None]:
+    """Removes, at the end or when it fails, all tables made inside by ``written``; what leaves has to be written outside."""
+    made: list[DataFrame] = []
+    _MADE.append(made)
+    try:
+        yield
+    finally:
+        _MADE.remove(made)
+        dropped(*made)
+
+
+def kept_table(df: DataFrame, name: str, files: int = FILES) -> DataFrame:
+    """df as a written table that outlives the ``own_tables`` it is made in."""
+    out = written(df, name, files)
+    for made in _MADE:
+        made.remove(out)
     return out
 
 

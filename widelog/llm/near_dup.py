@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import FEW_FILES, by_key, dropped, runs, written
+from .common import FEW_FILES, by_key, dropped, kept_table, own_tables, runs, written
 from .components import components
 from .shingles import sets
 
@@ -349,18 +349,17 @@ def linked_nodes(classes: DataFrame, docs: DataFrame, key: str, text: str) -> Da
 
 def grouped(docs: DataFrame, key: str, text: str) -> DataFrame:
     """One row for each row of docs: doc, mark, n, head (no_id, doc and mark of the row that its component keeps; null without shingles)."""
-    sk = written(sketches(docs, key, text), "sketches")
-    first = F.min(F.struct(F.col("doc").isNull().alias("no_id"), "doc", "mark", "n", "sketch"))
-    some = sk.filter("n > 0").groupBy("set_key").agg(first.alias("x"))
-    classes = written(some.select("set_key", F.monotonically_increasing_id().alias("node"), F.struct("x.no_id", "x.doc", "x.mark").alias("row"), "x.n", "x.sketch"), "classes")
-    found = linked_nodes(classes, docs, key, text)
-    heads = found.join(classes.select("node", "row"), "node").groupBy("part").agg(F.min("row").alias("head"))
-    heads = salted(found, heads, ["part"]).select("node", "head")
-    named = classes.join(heads, "node", "left").select("set_key", F.coalesce("head", "row").alias("head"))
-    out = sk.select("doc", "mark", "n", "set_key").join(named, "set_key", "left").select("doc", "mark", "n", F.when(F.col("n") > 0, F.col("head")).alias("head"))
-    out = written(out, "grouped")
-    dropped(sk, classes, found)
-    return out
+    with own_tables():
+        sk = written(sketches(docs, key, text), "sketches")
+        first = F.min(F.struct(F.col("doc").isNull().alias("no_id"), "doc", "mark", "n", "sketch"))
+        some = sk.filter("n > 0").groupBy("set_key").agg(first.alias("x"))
+        classes = written(some.select("set_key", F.monotonically_increasing_id().alias("node"), F.struct("x.no_id", "x.doc", "x.mark").alias("row"), "x.n", "x.sketch"), "classes")
+        found = linked_nodes(classes, docs, key, text)
+        heads = found.join(classes.select("node", "row"), "node").groupBy("part").agg(F.min("row").alias("head"))
+        heads = salted(found, heads, ["part"]).select("node", "head")
+        named = classes.join(heads, "node", "left").select("set_key", F.coalesce("head", "row").alias("head"))
+        out = sk.select("doc", "mark", "n", "set_key").join(named, "set_key", "left").select("doc", "mark", "n", F.when(F.col("n") > 0, F.col("head")).alias("head"))
+        return kept_table(out, "grouped")
 
 
 def stands() -> Column:

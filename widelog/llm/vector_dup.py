@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import FEW_FILES, partitions, written
+from .common import FEW_FILES, kept_table, own_tables, partitions, written
 from .components import components
 
 THRESHOLD = 0.9
@@ -417,27 +417,29 @@ def audited(nodes: DataFrame, counted: DataFrame, threshold: float) -> float:
 
 def near_vectors(df: DataFrame, key: str = "vec_id", column: str = "embedding", threshold: float = THRESHOLD, k: int = K, trees: int = TREES, rounds: int = ROUNDS) -> DataFrame:
     """One row for each row of df: vec_id, n_links, component_id, kept."""
-    all_rows = written(vectors(df, key, column).withColumn("same", F.md5("raw")), "vectors", FEW_FILES)
-    named = all_rows.filter("raw is not null")
-    ids = F.coalesce(F.min("vec_id"), F.min(-F.abs(F.xxhash64("raw")) - 1))  # a class without any id gets a negative number of its own
-    nodes = written(named.groupBy("same").agg(ids.alias("id"), F.count("*").alias("weight"), F.min("raw").alias("raw")), "nodes", FEW_FILES)
-    edges, members, group_links = found_edges(nodes, threshold, k, trees, rounds, 1)
-    for again in range(AUDITS):
-        counted, links = settled(nodes, members, edges, group_links, threshold)
-        recall = audited(nodes, counted, threshold)
-        if recall >= RECALL:
-            break
-        if again + 1 == AUDITS:
-            raise RuntimeError(f"recall of links is {recall:.4f} after {AUDITS} descents, less than {RECALL}")
-        fresh, _, more_links = found_edges(nodes, threshold, k, trees, rounds + 1, 101 * (again + 1), 2 << again)
-        group_links = written(group_links.unionByName(more_links), "group-links", FEW_FILES)
-        edges = written(edges.unionByName(fresh).select("id", "other", "sim"), "edges", FEW_FILES)
-    group = components(links, "p_name", "q_name").select(F.col("node").alias("name"), "component")
-    told = counted.join(group, "name", "left").select("id", "n_links", F.coalesce("component", "name").alias("component"))
-    told = nodes.select("same", "id").join(told, "id").select("same", "n_links", "component")
-    out = all_rows.select("vec_id", "same").join(told, "same", "left")
-    component = F.coalesce("component", "vec_id")
-    return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(False)).alias("kept"))
+    with own_tables():
+        all_rows = written(vectors(df, key, column).withColumn("same", F.md5("raw")), "vectors", FEW_FILES)
+        named = all_rows.filter("raw is not null")
+        ids = F.coalesce(F.min("vec_id"), F.min(-F.abs(F.xxhash64("raw")) - 1))  # a class without any id gets a negative number of its own
+        nodes = written(named.groupBy("same").agg(ids.alias("id"), F.count("*").alias("weight"), F.min("raw").alias("raw")), "nodes", FEW_FILES)
+        edges, members, group_links = found_edges(nodes, threshold, k, trees, rounds, 1)
+        for again in range(AUDITS):
+            counted, links = settled(nodes, members, edges, group_links, threshold)
+            recall = audited(nodes, counted, threshold)
+            if recall >= RECALL:
+                break
+            if again + 1 == AUDITS:
+                raise RuntimeError(f"recall of links is {recall:.4f} after {AUDITS} descents, less than {RECALL}")
+            fresh, _, more_links = found_edges(nodes, threshold, k, trees, rounds + 1, 101 * (again + 1), 2 << again)
+            group_links = written(group_links.unionByName(more_links), "group-links", FEW_FILES)
+            edges = written(edges.unionByName(fresh).select("id", "other", "sim"), "edges", FEW_FILES)
+        group = components(links, "p_name", "q_name").select(F.col("node").alias("name"), "component")
+        told = counted.join(group, "name", "left").select("id", "n_links", F.coalesce("component", "name").alias("component"))
+        told = nodes.select("same", "id").join(told, "id").select("same", "n_links", "component")
+        out = all_rows.select("vec_id", "same").join(told, "same", "left")
+        component = F.coalesce("component", "vec_id")
+        told = out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(False)).alias("kept"))
+        return kept_table(told, "near-vectors")
 
 
 def op9_near_vectors(spark, sf_dir: str) -> DataFrame:
