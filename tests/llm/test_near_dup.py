@@ -1,7 +1,9 @@
 import random
+from math import comb
 
 from tests.llm.helpers import SCHEMA, awkward, by_id, empty, prose
 from widelog.llm.components import components
+from widelog.llm import near_dup
 from widelog.llm.near_dup import keep_first, near_duplicates
 
 
@@ -39,8 +41,6 @@ def test_whole_small_table(spark, small):
 
 
 def test_large_group_is_dealt_in_blocks(spark, monkeypatch):
-    from widelog.llm import near_dup
-
     monkeypatch.setattr(near_dup, "BLOCK_ROWS", 16)
     rng, base = random.Random(3), prose(1, 1, 150)[0].split()
     texts = {}
@@ -64,6 +64,29 @@ def test_whole_sets_meet_sampled_ones(spark):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_duplicates(docs).collect()} == want
 
 
+def test_sizes_around_the_sketch_against_all_pairs(spark):
+    """Pairs of sizes 40 to 130 at and just under the threshold: recall of links is 1, and nothing else is linked."""
+    rng, texts = random.Random(11), {}
+    word = lambda: f"w{rng.randrange(10**9)}"
+    for n in range(40, 131, 2):
+        for m in {-(-100 * n // 75) - 1, -(-100 * n // 75), -(-100 * n // 75) + 1, n + 3}:
+            base, k = [word() for _ in range(n + 4)], len(texts)
+            at = rng.randrange(2)
+            texts[k], texts[k + 1] = " ".join(base), " ".join(([word() for _ in range(m - n)] if at else []) + base + ([] if at else [word() for _ in range(m - n)]))
+    sizes = {i: len(shingles(t)) for i, t in texts.items()}
+    want = {i: (sizes[i], i - i % 2 if 100 * sizes[i - i % 2] >= 75 * sizes[i - i % 2 + 1] else i) for i in texts}
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in texts.items()], SCHEMA)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_duplicates(docs).collect()}
+    links = [i for i in texts if want[i][1] != i]
+    assert len(links) > 90 and sum(got[i] == want[i] for i in links) / len(links) == 1 and got == want
+
+
+def test_bounds():
+    assert all(near_dup.fewest_shared(n) >= -(-3 * n // 4) - 6 for n in range(1, 49)) and near_dup.fewest_shared(65) == near_dup.fewest_of_sample()
+    t, k = 0.75, near_dup.fewest_of_sample()
+    assert sum(comb(near_dup.K, j) * t**j * (1 - t) ** (near_dup.K - j) for j in range(k)) < near_dup.MISS
+
+
 def test_awkward_rows(spark):
     rows = near_duplicates(awkward(spark)).collect()
     assert len(rows) == 14

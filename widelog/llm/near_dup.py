@@ -298,18 +298,13 @@ def refined(members: DataFrame, seeds: DataFrame, floor: Callable[[np.ndarray, n
     first = written(tested(seeds, members, test), "seeds", FEW_FILES)
     label = components(first, "u", "v")
     labelled = members.join(label, "node", "left").withColumn("label", F.coalesce("component", "node"))
-    rest = blocks_met(labelled, floor, test)
-    out = written(first.unionByName(rest), "forest", FEW_FILES)
-    dropped(first, rest, label)
-    return out
+    return first.unionByName(blocks_met(labelled, floor, test))
 
 
 def whole_groups(links: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
     """(node, part) of every linked node; a part is named by its smallest node."""
-    group = components(links, u, v)
-    out = written(group.select("node", F.col("component").alias("part")).unionByName(group.select(F.col("component").alias("node"), F.col("component").alias("part")).distinct()), "groups", FEW_FILES)
-    dropped(group)
-    return out
+    group = components(links, u, v).withColumnRenamed("component", "part")
+    return group.unionByName(group.select(F.col("part").alias("node"), "part").distinct())
 
 
 def full_sets(docs: DataFrame, some: DataFrame, key: str, text: str) -> DataFrame:
@@ -336,15 +331,9 @@ def linked_nodes(classes: DataFrame, docs: DataFrame, key: str, text: str) -> Da
     members = written(groups.join(classes.select("node", "n", F.col("sketch").alias("data")), "node"), "members")
     best = overlaps.groupBy(F.col("node").alias("u")).agg(F.max_by("pivot", F.struct(F.col("shared"), -F.col("pivot"))).alias("v"))
     likely = refined(members, best, sketch_floor, by_sketch)
-    dropped(overlaps, groups, members)
-    groups = whole_groups(likely)
-    some = groups.join(classes.select("node", "row.mark"), "node")
-    members = written(full_sets(docs, some, key, text), "sets")
-    links = refined(members, likely, set_floor, by_set)
-    dropped(likely, groups, members)
-    out = whole_groups(links)
-    dropped(links)
-    return out
+    some = whole_groups(likely).join(classes.select("node", "row.mark"), "node")
+    sets_of = written(full_sets(docs, some, key, text), "sets")
+    return whole_groups(refined(sets_of, likely, set_floor, by_set))
 
 
 def grouped(docs: DataFrame, key: str, text: str) -> DataFrame:
