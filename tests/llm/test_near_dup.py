@@ -126,3 +126,24 @@ def test_components_of_a_path_and_a_star(spark):
     got = by_id(components(spark.createDataFrame(links, "a long, b long"), "a", "b"), "node")
     assert all(got[k]["component"] == 0 for k in range(1, 41)) and all(got[k]["component"] == 100 for k in range(101, 130))
     assert components(spark.createDataFrame([], "a long, b long"), "a", "b").count() == 0
+
+
+def test_few_links_are_settled_without_rounds(spark):
+    links = spark.createDataFrame([(k * 37 % 200, k * 37 % 200 + 1) for k in range(200)], "a long, b long").repartition(4)
+    spark.sparkContext.setJobGroup("few links", "")
+    try:
+        got = by_id(components(links, "a", "b"), "node")
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("few links")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert {k: r["component"] for k, r in got.items()} == dict.fromkeys(range(1, 201), 0)
+    assert len(jobs) <= 8
+
+
+def test_many_links_are_settled_by_rounds(spark, monkeypatch):
+    from widelog.llm import components as module
+
+    monkeypatch.setattr(module, "AT_ONCE", 20)
+    links = [(k * 37 % 200, k * 37 % 200 + 1) for k in range(200)] + [(300, k) for k in range(301, 500)] + [(7, 7)]
+    got = by_id(components(spark.createDataFrame(links, "a long, b long").repartition(4), "a", "b"), "node")
+    assert {k: r["component"] for k, r in got.items()} == dict.fromkeys(range(1, 201), 0) | dict.fromkeys(range(301, 500), 300)

@@ -2,8 +2,9 @@
 
 No vertex's neighbours are ever gathered in one place: a round takes each vertex's smallest neighbour by a partial
 aggregate and joins it back, and the few vertices with a large share of all links are joined by broadcast. First, each task contracts
-the links that it reads, a bounded number at a time, to stars of their own, so that long chains take few rounds. Every round ends in a
-table in the shared folder. An empty link table gives an empty result; self links and repeated links change nothing.
+the links that it reads, a bounded number at a time, to stars of their own, so that long chains take few rounds. As soon as what is left
+is no more than one task contracts at a time, one task settles it, without rounds: every round costs the driver many exchanges
+and broadcasts. Every round ends in a table in the shared folder. An empty link table gives an empty result; self links and repeated links change nothing.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from .common import FEW_FILES, dropped, written
 
 #: A vertex with more than a share 1 / HOT of all link ends is joined by broadcast; there are fewer than HOT of them.
 HOT, FEW = 500, 64
-#: Links that a task contracts at a time.
+#: Links that a task contracts at a time; so many at most are settled by one task.
 AT_ONCE = 1_000_000
 
 
@@ -92,8 +93,14 @@ def settled(links: DataFrame) -> tuple[int, bool]:
 def components(links: DataFrame, u: str, v: str, max_rounds: int = 60) -> DataFrame:
     """(node, component) of every linked node but the smallest of each component, which is its component's name; a written table."""
     now = written(contracted(links.select(F.col(u).alias("u"), F.col(v).alias("v"))), "links", FEW_FILES)
+    total, done = now.count(), False
     for _ in range(max_rounds):
-        total, done = settled(now)
+        if total <= AT_ONCE:
+            stars = written(contracted(now.coalesce(1)), "links", 1)
+            dropped(now)
+            now, done = stars, True
+        else:
+            total, done = settled(now)
         if done:
             out = now.select(F.col("u").alias("node"), F.col("v").alias("component"))
             out.written_at = now.written_at
@@ -102,4 +109,5 @@ def components(links: DataFrame, u: str, v: str, max_rounds: int = 60) -> DataFr
         small = written(starred(large, small=True, total=total), "links", FEW_FILES)
         dropped(now, large)
         now = small
+        total = now.count()
     raise RuntimeError("components did not settle")
